@@ -87,6 +87,7 @@ def relate_events(
     spec: ChangeSpec = GRANTS,
     mode: str = "all",
     hot_limit: int | None = None,
+    with_origin: bool = True,
 ) -> DataFrame:
     """Give each event what the merges need to know of its key's other events in the batch.
 
@@ -97,6 +98,8 @@ def relate_events(
                        comes first or right after a delete
     had_delete         a delete occurred so far
 
+    The last two serve the current state only; with_origin=False leaves them out.
+
     mode="latest" keeps one event per key, as the merge of one event per run does;
     mode="all" keeps every event.
     """
@@ -119,16 +122,21 @@ def relate_events(
         next={"__next": F.struct("business_ts", "op")},
     )
     first = F.col("__prev").isNull()
+    related = [
+        first.alias("is_first"),
+        F.col("__next").isNull().alias("is_last"),
+        F.col("__next.business_ts").alias("next_ts"),
+        F.col("__next.op").alias("next_op"),
+    ]
+    if not with_origin:
+        return runs.rows().select(*staged.columns, *related)
     inserts = (op != "d") & (first | (F.col("__prev.op") == "d"))
     runs = runs.add(
         last={"origin": F.when(inserts, origin), "__deleted": F.when(op == "d", F.lit(True))}
     )
     return runs.rows().select(
         *staged.columns,
-        first.alias("is_first"),
-        F.col("__next").isNull().alias("is_last"),
-        F.col("__next.business_ts").alias("next_ts"),
-        F.col("__next.op").alias("next_op"),
+        *related,
         "origin",
         F.coalesce(F.col("__deleted"), F.lit(False)).alias("had_delete"),
     )

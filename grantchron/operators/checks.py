@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from grantchron.model import GRANTS, ChangeSpec
 from grantchron.operators.ordered import OrderedRuns
-from grantchron.operators.temporal import active_access
+from grantchron.operators.temporal import PERIOD_ORDER, active_access
 
 
 def duplicate_current(history: DataFrame, spec: ChangeSpec = GRANTS) -> DataFrame:
@@ -68,8 +68,7 @@ def period_problems(
     history: DataFrame, spec: ChangeSpec = GRANTS, hot_limit: int | None = None
 ) -> DataFrame:
     """V7: periods that end before they start, are empty, or start before the last one ended."""
-    order = ("effective_start", "effective_end", "is_current")
-    rows = OrderedRuns(history, spec.key, order, hot_limit).add(
+    rows = OrderedRuns(history, spec.key, PERIOD_ORDER, hot_limit).add(
         prev={"__prev": F.struct("effective_end")}
     ).rows()
     start, end = F.col("effective_start"), F.col("effective_end")

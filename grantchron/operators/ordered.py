@@ -42,12 +42,11 @@ def find_hot_keys(df: DataFrame, key, limit: int | None = None) -> HotKeys | Non
         if estimated_bytes(df) < small_input_bytes(spark):
             return None
         limit = hot_key_rows(spark)
-    counts = materialize(
-        df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit),
-        "hot-keys",
-    )
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
     n_keys, n_rows = counts.agg(F.count(F.lit(1)), F.sum("__n")).first()
-    return HotKeys(counts.drop("__n"), n_keys, n_rows, limit) if n_keys else None
+    if not n_keys:
+        return None
+    return HotKeys(materialize(counts.drop("__n"), "hot-keys"), n_keys, n_rows, limit)
 
 
 class OrderedRuns:
@@ -57,7 +56,7 @@ class OrderedRuns:
         self.key, self.order = tuple(key), tuple(order)
         hot = find_hot_keys(df, self.key, hot_limit)
         if hot is None:
-            self._plain, self._ranged, self._edge_rows = df, None, 0
+            self._plain, self._ranged = df, None
             return
         # At most rows/limit keys, so broadcasting them is bounded.
         keys = F.broadcast(hot.keys)
@@ -76,65 +75,87 @@ class OrderedRuns:
         prev: dict[str, Column] | None = None,
         next: dict[str, Column] | None = None,
         last: dict[str, Column] | None = None,
+        coming: dict[str, Column] | None = None,
     ) -> "OrderedRuns":
-        """Add columns: the previous row's value, the next row's, and the last non-NULL so far.
+        """Add columns, each named after the value it carries from other rows of the key.
 
-        prev and next values are structs in use here, so NULL means there is no such row.
+        prev, next    the value in the row before or after; asked for as a struct, NULL
+                      means that there is no such row
+        last, coming  the nearest value that is not NULL, from this row back or after it
         """
-        asked = (prev or {}, next or {}, last or {})
+        asked = (prev or {}, next or {}, last or {}, coming or {})
         out = object.__new__(OrderedRuns)
         out.key, out.order = self.key, self.order
         out._plain = self._windowed(self._plain, self.key, *asked)
         out._ranged = None if self._ranged is None else self._linked(*asked)
         return out
 
+    @property
+    def split(self) -> bool:
+        """Whether a key was too large for one task."""
+        return self._ranged is not None
+
     def rows(self) -> DataFrame:
         if self._ranged is None:
             return self._plain
         return self._plain.unionByName(self._ranged.drop(_RANGE))
 
-    def _windowed(self, df, partition, prev, next, last) -> DataFrame:
+    def _windowed(self, df, partition, prev, next, last, coming) -> DataFrame:
         w = Window.partitionBy(*partition).orderBy(*self.order)
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        back = Window.partitionBy(*partition).orderBy(*[F.col(c).desc() for c in self.order])
+        ahead = back.rowsBetween(Window.unboundedPreceding, -1)
         return df.select(
             "*",
             *[F.lag(c).over(w).alias(a) for a, c in prev.items()],
             *[F.lead(c).over(w).alias(a) for a, c in next.items()],
             *[F.last(c, ignorenulls=True).over(so_far).alias(a) for a, c in last.items()],
+            *[F.last(c, ignorenulls=True).over(ahead).alias(a) for a, c in coming.items()],
         )
 
-    def _linked(self, prev, next, last) -> DataFrame:
+    def _linked(self, prev, next, last, coming) -> DataFrame:
+        def some(c: Column) -> Column:
+            return F.when(c.isNotNull(), position)
+
         position = F.struct(*self.order)
+        boxes = {
+            **{a: F.max_by(_box(c), position) for a, c in prev.items()},
+            **{a: F.min_by(_box(c), position) for a, c in next.items()},
+            **{a: F.max_by(_box(c), some(c)) for a, c in last.items()},
+            **{a: F.min_by(_box(c), some(c)) for a, c in coming.items()},
+        }
         edges = self._ranged.groupBy(*self.key, _RANGE).agg(
-            *[F.max_by(F.struct(c.alias("v")), position).alias(f"__e_{a}") for a, c in prev.items()],
-            *[F.min_by(F.struct(c.alias("v")), position).alias(f"__e_{a}") for a, c in next.items()],
-            *[
-                F.max_by(F.struct(c.alias("v")), F.when(c.isNotNull(), position)).alias(f"__e_{a}")
-                for a, c in last.items()
-            ],
+            *[box.alias(f"__e_{a}") for a, box in boxes.items()]
         )
         w = Window.partitionBy(*self.key).orderBy(_RANGE)
         before = w.rowsBetween(Window.unboundedPreceding, -1)
+        after = w.rowsBetween(1, Window.unboundedFollowing)
+        # One row per (key, range): at most the number of ranges plus the number of hot keys.
         edges = edges.select(
             *[F.col(k).alias(f"__k_{k}") for k in (*self.key, _RANGE)],
             *[F.lag(f"__e_{a}").over(w).alias(f"__x_{a}") for a in prev],
             *[F.lead(f"__e_{a}").over(w).alias(f"__x_{a}") for a in next],
             *[F.last(f"__e_{a}", ignorenulls=True).over(before).alias(f"__x_{a}") for a in last],
+            *[F.first(f"__e_{a}", ignorenulls=True).over(after).alias(f"__x_{a}") for a in coming],
         )
         inner = self._windowed(
             self._ranged,
             (*self.key, _RANGE),
-            {a: F.struct(c.alias("v")) for a, c in prev.items()},
-            {a: F.struct(c.alias("v")) for a, c in next.items()},
-            {a: F.when(c.isNotNull(), F.struct(c.alias("v"))) for a, c in last.items()},
+            {a: _box(c) for a, c in prev.items()},
+            {a: _box(c) for a, c in next.items()},
+            {a: F.when(c.isNotNull(), _box(c)) for a, c in last.items()},
+            {a: F.when(c.isNotNull(), _box(c)) for a, c in coming.items()},
         )
         on = reduce(
             lambda a, b: a & b,
             [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in (*self.key, _RANGE)],
         )
-        added = (*prev, *next, *last)
-        # One row per (key, range): at most the number of ranges plus the number of hot keys.
         return inner.join(F.broadcast(edges), on, "left").select(
             *[F.col(c) for c in self._ranged.columns],
-            *[F.coalesce(F.col(a), F.col(f"__x_{a}"))["v"].alias(a) for a in added],
+            *[F.coalesce(F.col(a), F.col(f"__x_{a}"))["v"].alias(a) for a in boxes],
         )
+
+
+def _box(c: Column) -> Column:
+    """A value that is there, even if NULL, as opposed to a row that is not."""
+    return F.struct(c.alias("v"))

@@ -117,7 +117,8 @@ def access_history(
     hot_limit: int | None = None,
 ) -> DataFrame:
     """The whole history of a log in one pass."""
-    return opened_periods(relate_events(stage(bronze, spec), spec, mode, hot_limit), spec, prerevoked)
+    events = relate_events(stage(bronze, spec), spec, mode, hot_limit, with_origin=False)
+    return opened_periods(events, spec, prerevoked)
 
 
 def current_state(

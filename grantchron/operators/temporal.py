@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from grantchron.functions.times import at, covers
 from grantchron.model import GRANTS, ChangeSpec
 from grantchron.operators.ordered import OrderedRuns
+from grantchron.session import materialize
+
+# Of periods that start together, the open one is the last.
+PERIOD_ORDER = ("effective_start", "is_current", "effective_end")
 
 
 def _only(df: DataFrame, **values) -> DataFrame:
@@ -38,8 +42,6 @@ def ended_at(history: DataFrame, t) -> DataFrame:
 def ended_between(history: DataFrame, since, until) -> DataFrame:
     """A5 for a range [since, until)."""
     end = F.col("effective_end")
-    if "start_day" in history.columns:
-        history = history.filter(F.col("start_day") < at(until).cast("date") + F.lit(1))
     return history.filter((end >= at(since)) & (end < at(until)))
 
 
@@ -47,9 +49,9 @@ def with_ending(
     history: DataFrame, spec: ChangeSpec = GRANTS, hot_limit: int | None = None
 ) -> DataFrame:
     """How each period ended: open, hard delete, replaced by a next version, or revoked."""
-    versions = OrderedRuns(
-        history, spec.key, ("effective_start", "effective_end", "is_current"), hot_limit
-    ).add(next={"__next": F.struct("effective_start")})
+    versions = OrderedRuns(history, spec.key, PERIOD_ORDER, hot_limit).add(
+        next={"__next": F.struct("effective_start")}
+    )
     ending = (
         F.when(F.col("is_current"), F.lit("open"))
         .when(F.col("is_deleted"), F.lit("hard_delete"))
@@ -101,7 +103,7 @@ def as_of_probes(
     time, where the last period started before a probe is the only one that can cover it,
     except for periods reaching past the start of a later one. Those are joined on their
     own, by the pieces of time they consist of. `tie` orders periods of one key that
-    start together, such as the grants of one user.
+    start together, such as the grants of one user. The ordered pass runs at once.
     """
     on, tie = tuple(on), tuple(tie)
     columns = [c for c in history.columns if c not in probes.columns]
@@ -115,33 +117,42 @@ def as_of_probes(
         F.struct(*tie, "effective_end").alias("__tie"),
         F.struct(*dict.fromkeys((*columns, "effective_end"))).alias("__period"),
     )
-    end = F.col("__period.effective_end")
-
     both = periods.withColumn("__is_probe", F.lit(False)).unionByName(
         asked.withColumn("__is_probe", F.lit(True)), allowMissingColumns=True
     )
-    last_started = (
+    probe = F.col("__is_probe")
+    ordered = (
         OrderedRuns(both, on, ("__t", "__is_probe", "__tie"), hot_limit)
-        .add(last={"__found": F.col("__period")})
+        .add(
+            last={"__found": F.col("__period")},
+            coming={"__from": F.when(~probe, F.col("__t"))},
+        )
         .rows()
-        .filter("__is_probe")
-        .select("__t", "__probe", F.col("__found").alias("__period"))
-        .filter(F.col("__period").isNotNull() & (end.isNull() | (end > F.col("__t"))))
     )
-    reaching = (
-        OrderedRuns(periods, on, ("__t", "__tie"), hot_limit)
-        .add(next={"__next": F.struct("__t")})
-        .rows()
-        .filter(F.col("__next").isNotNull() & (end.isNull() | (end > F.col("__next.__t"))))
-        .select(*on, F.col("__next.__t").alias("__from"), "__period")
+    found_end = F.col("__found.effective_end")
+    answers = probe & F.col("__found").isNotNull() & _after(found_end, F.col("__t"))
+    reaches = ~probe & F.col("__from").isNotNull() & _after(found_end, F.col("__from"))
+    # Written once, as both its parts are used; usually no period reaches that far.
+    kept = materialize(
+        ordered.filter(answers | reaches).select(
+            *on, "__is_probe", "__probe", F.col("__found").alias("__period"), "__from"
+        ),
+        "probed",
     )
-    found = last_started.select("__probe", "__period").unionByName(_stab(reaching, asked, on))
+    found = kept.filter(probe).select("__probe", "__period")
+    reaching = kept.filter(~probe).select(*on, "__from", "__period")
+    if not reaching.isEmpty():
+        found = found.unionByName(_stab(reaching, asked, on))
     return found.select(
         *[F.col("__probe")[c].alias(c) for c in probes.columns],
         *[F.col("__period")[c].alias(c) for c in columns],
     )
 
 
+def _after(end: Column, t: Column) -> Column:
+    return end.isNull() | (end > t)
+
+
 # Seconds from 1901 to 2173 fit in this many binary levels.
 _LEVELS = 33
 _BASE_SECOND = -(2**31)
@@ -199,6 +210,6 @@ def _stab(reaching: DataFrame, asked: DataFrame, on) -> DataFrame:
     )
     return (
         named.join(cut, [*on, "__at"])
-        .filter((F.col("__t") >= F.col("__from")) & (end.isNull() | (end > F.col("__t"))))
+        .filter((F.col("__t") >= F.col("__from")) & _after(end, F.col("__t")))
         .select("__probe", "__period")
     )

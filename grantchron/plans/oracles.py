@@ -264,7 +264,7 @@ FROM probes p JOIN hist h ON p.resource_id = h.resource_id AND h.effective_start
     "removal_kind": _with(
         _HIST,
         f"""SELECT {_PERIOD}, CASE WHEN is_current THEN 'open' WHEN is_deleted THEN 'hard_delete'
-  WHEN lead(effective_start) OVER (PARTITION BY grant_id ORDER BY effective_start, effective_end)
+  WHEN lead(effective_start) OVER (PARTITION BY grant_id ORDER BY effective_start, is_current, effective_end)
     = effective_end THEN 'replaced' ELSE 'revoked' END AS ending FROM hist""",
     ),
     "event_trail": _with(
@@ -277,7 +277,7 @@ FROM log WINDOW w AS (PARTITION BY grant_id ORDER BY __source_ts_ns, event_id)""
         _HIST,
         """SELECT grant_id, role_id, effective_start, effective_end,
   lag(role_id) OVER w AS previous_role_id, lag(effective_end) OVER w AS previous_end
-FROM hist WINDOW w AS (PARTITION BY grant_id ORDER BY effective_start, effective_end)""",
+FROM hist WINDOW w AS (PARTITION BY grant_id ORDER BY effective_start, is_current, effective_end)""",
     ),
     "dup_current_guard": _with(
         _HIST,
@@ -312,8 +312,7 @@ UNION ALL SELECT 'current_active_access', count(*) FROM state WHERE {_ACTIVE}"""
     CASE WHEN effective_end = effective_start THEN 'zero_length' END,
     CASE WHEN rn > 1 AND (prev_end IS NULL OR prev_end > effective_start) THEN 'overlap' END) AS problem
   FROM (SELECT *, lag(effective_end) OVER w AS prev_end, row_number() OVER w AS rn FROM ohist
-        WINDOW w AS (PARTITION BY o_custkey ORDER BY effective_start NULLS FIRST,
-          effective_end NULLS FIRST, is_current)))
+        WINDOW w AS (PARTITION BY o_custkey ORDER BY effective_start, is_current, effective_end)))
 WHERE problem <> '' GROUP BY problem""",
     ),
     "period_sanity_clean": _with(

@@ -308,8 +308,7 @@ def event_trail(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def version_trail(spark: SparkSession, sf: str) -> DataFrame:
     """A11 for every key: its periods by start, each with the role before."""
-    order = ("effective_start", "effective_end")
-    rows = OrderedRuns(_history(spark, sf), GRANTS.key, order).add(
+    rows = OrderedRuns(_history(spark, sf), GRANTS.key, temporal.PERIOD_ORDER).add(
         prev={"p": F.struct("role_id", "effective_end")}
     )
     return rows.rows().select(
