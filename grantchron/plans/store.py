@@ -158,7 +158,8 @@ class GoldStore:
         rows = self._read("history", self.history_schema, commit.closed, _PERIOD)
         return rows.filter(~F.col("is_current")).select(
             *[F.lit(False).alias(n) if n == "is_current" else n for n in self.history_schema.names],
-            F.col("slot").cast("date").alias("start_day"),
+            # The filter on folders may meet the buckets' names, which are no dates.
+            F.col("slot").try_cast("date").alias("start_day"),
         )
 
     def history(self, commit: Commit | None = None) -> DataFrame:

@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
+        .config("spark.sql.maxMetadataStringLength", "4000")  # plans are compared as text
         .config("spark.checkpoint.dir", str(base / "shared"))
         .getOrCreate()
     )
