@@ -153,63 +153,61 @@ def _after(end: Column, t: Column) -> Column:
     return end.isNull() | (end > t)
 
 
-# Seconds from 1901 to 2173 fit in this many binary levels.
-_LEVELS = 33
-_BASE_SECOND = -(2**31)
+# Seconds since the start of year 1, of which 2**39 reach past year 9999. A piece of
+# time, 2**level seconds long, is named by its number in a binary tree of them.
+_LEVELS = 39
+_YEAR_ONE = -62_135_596_800
 
 
-def _second(t) -> Column:
-    return F.unix_seconds(t.cast("timestamp")) - F.lit(_BASE_SECOND)
+def _second(t: Column) -> Column:
+    """Times outside the range count as its first or last second."""
+    second = F.unix_seconds(t.cast("timestamp")) - F.lit(_YEAR_ONE)
+    return F.greatest(F.least(second, F.lit(2**_LEVELS - 1)), F.lit(0))
+
+
+def _piece(number: Column, level: int) -> Column:
+    return number + F.lit(2 ** (_LEVELS - level))
+
+
+def _pieces_of(lo: Column, hi: Column) -> Column:
+    """The fewest pieces that make up the seconds lo <= s < hi: at most two per level."""
+    pieces = []
+    for level in range(_LEVELS + 1):
+        a, b = F.shiftright(lo + F.lit(2**level - 1), level), F.shiftright(hi, level)
+        pieces.append(F.when((a < b) & (a.bitwiseAND(1) == 1), _piece(a, level)))
+        pieces.append(F.when((a < b) & (b.bitwiseAND(1) == 1), _piece(b - 1, level)))
+    return F.explode(F.array_compact(F.array(*pieces)))
+
+
+def _pieces_with(second: Column) -> Column:
+    """The one piece of each level that a second lies in."""
+    return F.explode(
+        F.array(*[_piece(F.shiftright(second, level), level) for level in range(_LEVELS + 1)])
+    )
 
 
 def _stab(reaching: DataFrame, asked: DataFrame, on) -> DataFrame:
     """Probes with __from <= __t < end, without comparing all pairs of a key.
 
-    A period is cut into aligned power-of-two pieces of time, at most two per level; a
-    probe names the one piece of each level it lies in. Each pair meets in one piece
-    only, and pieces that meet are answers but for the fractions of a second at the ends.
+    A period is cut into pieces; a probe names all pieces it lies in. Each pair meets in
+    one piece only, and those that meet are answers but for fractions of a second at the
+    ends.
     """
     end = F.col("__period.effective_end")
-    levels = F.sequence(F.lit(0), F.lit(_LEVELS - 1))
-    lo = _second(F.col("__from"))
-    hi = F.coalesce(_second(end) + F.lit(1), F.lit(2 ** (_LEVELS - 1)))
-
-    def pieces(level):
-        size = F.call_function("shiftleft", F.lit(1).cast("long"), level)
-        a = F.call_function("shiftright", F.col("__lo") + size - F.lit(1), level)
-        b = F.call_function("shiftright", F.col("__hi"), level)
-        some = a < b
-        return F.array(
-            F.when(some & (a % 2 == 1), F.struct(level.alias("level"), a.alias("piece"))),
-            F.when(some & (b % 2 == 1), F.struct(level.alias("level"), (b - 1).alias("piece"))),
-        )
-
-    cut = (
-        reaching.withColumn("__lo", lo)
-        .withColumn("__hi", hi)
-        .withColumn("__at", F.explode(F.array_compact(F.flatten(F.transform(levels, pieces)))))
-        .select(*on, "__at", "__from", "__period")
+    seconds = {
+        "__lo": _second(F.col("__from")),
+        "__hi": F.coalesce(_second(end), F.lit(2**_LEVELS - 1)) + F.lit(1),
+    }
+    cut = reaching.withColumns(seconds).select(
+        *on, _pieces_of(F.col("__lo"), F.col("__hi")).alias("__piece"), "__from", "__period"
     )
-    second = F.col("__s")
     named = (
         asked.join(reaching.select(*on).distinct(), list(on), "left_semi")
-        .withColumn("__s", _second(F.col("__t")))
-        .withColumn(
-            "__at",
-            F.explode(
-                F.transform(
-                    levels,
-                    lambda level: F.struct(
-                        level.alias("level"),
-                        F.call_function("shiftright", second, level).alias("piece"),
-                    ),
-                )
-            ),
-        )
-        .select(*on, "__at", "__t", "__probe")
+        .withColumn("__second", _second(F.col("__t")))
+        .select(*on, _pieces_with(F.col("__second")).alias("__piece"), "__t", "__probe")
     )
     return (
-        named.join(cut, [*on, "__at"])
+        named.join(cut, [*on, "__piece"])
         .filter((F.col("__t") >= F.col("__from")) & _after(end, F.col("__t")))
         .select("__probe", "__period")
     )

@@ -114,6 +114,8 @@ def test_batched_as_of_equals_brute_force(spark, clean, hot_limit):
         start = T0 + timedelta(hours=rng.randint(0, 400), microseconds=rng.randint(0, 3))
         length = timedelta(hours=rng.choice([-3, 0, 0, 1, 30, 200]), microseconds=rng.randint(0, 3))
         periods.append((rng.choice([1, 2, None]), i, start, None if rng.random() < 0.2 else start + length))
+    far = datetime(9999, 12, 31, 23, 59, 59, 999999)
+    periods += [(1, 900, T0, far), (2, 901, datetime(1, 1, 1), T0 + timedelta(hours=3))]
     if clean:  # periods of one key follow each other
         by_key = {}
         for key, i, start, _ in sorted(periods, key=lambda p: p[2]):
@@ -128,6 +130,8 @@ def test_batched_as_of_equals_brute_force(spark, clean, hot_limit):
          None if rng.random() < 0.1 else T0 + timedelta(hours=rng.randint(-5, 420), microseconds=rng.randint(0, 3)))
         for n in range(80)
     ] + [(100 + n, p[0], p[2]) for n, p in enumerate(periods)]
+    times = (far, datetime(2150, 1, 1), datetime(1, 1, 1), datetime(1850, 1, 1))
+    probes += [(900 + n, key, t) for n, t in enumerate(times) for key in (1, 2)]
     history = spark.createDataFrame(
         periods, "user_id bigint, period bigint, effective_start timestamp_ntz, effective_end timestamp_ntz"
     )
