@@ -39,15 +39,20 @@ def opened_periods(
 
 
 def close_open_periods(
-    open_rows: DataFrame, events: DataFrame, spec: ChangeSpec = GRANTS
+    open_rows: DataFrame, events: DataFrame, spec: ChangeSpec = GRANTS, few_keys: bool = False
 ) -> DataFrame:
-    """A key's first event in the batch closes its open row; rows of other keys stay."""
+    """A key's first event in the batch closes its open row; rows of other keys stay.
+
+    few_keys: the caller has counted the batch's keys, and they fit a broadcast.
+    """
     firsts = events.filter("is_first").select(
         *spec.key,
         F.col("business_ts").alias("__end"),
         (F.col("op") == "d").alias("__deleted"),
         F.lit(True).alias("__hit"),
     )
+    if few_keys:
+        firsts = F.broadcast(firsts)
     hit = F.col("__hit").isNotNull()
     return open_rows.join(firsts, list(spec.key), "left").select(
         *spec.key,
@@ -64,41 +69,57 @@ def scd2_merge(
     events: DataFrame,
     spec: ChangeSpec = GRANTS,
     prerevoked: str = "open",
+    few_keys: bool = False,
 ) -> DataFrame:
     """T2 + T3: what becomes of the open rows, plus the periods the batch starts."""
     opened = opened_periods(events, spec, prerevoked)
     if open_rows is None:
         return opened
-    return close_open_periods(open_rows, events, spec).unionByName(opened)
+    return close_open_periods(open_rows, events, spec, few_keys).unionByName(opened)
+
+
+def _inserted(lasts: DataFrame, spec: ChangeSpec) -> DataFrame:
+    """Rows for keys that are not stored, unless their last event is a delete."""
+    return lasts.filter((F.col("op") != "d") & F.col("origin").isNotNull()).select(
+        *spec.key,
+        *[F.col(f"origin.{c}" if c in spec.inserted_only else c).alias(c) for c in spec.attributes],
+    )
 
 
 def scd1_merge(
-    target: DataFrame | None, events: DataFrame, spec: ChangeSpec = GRANTS
+    target: DataFrame | None,
+    events: DataFrame,
+    spec: ChangeSpec = GRANTS,
+    few_keys: bool = False,
 ) -> DataFrame:
     """Delete, update in place or insert, by what the key's last event says.
 
     Insert-only attributes come from the stored row unless the batch deleted it, and
     otherwise from the event that began the present row.
+
+    few_keys: the caller has counted the batch's keys, and they fit a broadcast. Stored
+    rows are then updated where they are read, and only the batch is shuffled to find
+    its new keys; otherwise both sides are, once.
     """
     lasts = events.filter("is_last")
     if target is None:
-        return lasts.filter((F.col("op") != "d") & F.col("origin").isNotNull()).select(
-            *spec.key,
-            *[F.col(f"origin.{c}" if c in spec.inserted_only else c).alias(c) for c in spec.attributes],
-        )
-    lasts = lasts.select(
+        return _inserted(lasts, spec)
+    stored = target.select(*spec.fact_columns, F.lit(True).alias("__stored"))
+    found = lasts.select(
         *spec.key, "op", "origin", "had_delete",
         *[F.col(c).alias(f"__{c}") for c in spec.updated],
         F.lit(True).alias("__hit"),
     )
-    stored = target.select(*spec.fact_columns, F.lit(True).alias("__stored"))
-    joined = stored.join(lasts, list(spec.key), "full_outer")
+    if few_keys:
+        joined = stored.join(F.broadcast(found), list(spec.key), "left")
+    else:
+        joined = stored.join(found, list(spec.key), "full_outer")
     untouched = F.col("__hit").isNull()
     kept = F.col("__stored").isNotNull() & ~F.coalesce(F.col("had_delete"), F.lit(False))
     alive = untouched | (
         ~F.coalesce(F.col("op") == "d", F.lit(False)) & (kept | F.col("origin").isNotNull())
     )
-    return joined.filter(alive).select(
+    merged = joined.filter(alive).select(
         *spec.key,
         *[
             F.when(untouched, F.col(c)).otherwise(F.col(f"__{c}")).alias(c)
@@ -107,6 +128,11 @@ def scd1_merge(
             for c in spec.attributes
         ],
     )
+    if not few_keys:
+        return merged
+    keys = list(spec.key)
+    known = target.select(*keys).join(F.broadcast(lasts.select(*keys)), keys, "left_semi")
+    return merged.unionByName(_inserted(lasts.join(known, keys, "left_anti"), spec))
 
 
 def access_history(

@@ -11,6 +11,10 @@ from grantchron.operators.scd import scd1_merge, scd2_merge
 from grantchron.plans.store import Commit, GoldStore, new_batch
 from grantchron.session import use_utc
 
+# A batch with no more keys than this has at most this many first and last events, of
+# some 200 bytes each in memory.
+BROADCAST_KEYS = 500_000
+
 
 def run_merge(
     store: GoldStore,
@@ -45,6 +49,7 @@ def run_merge(
         F.max(F.struct(*spec.cursor)).alias("reached"),
         F.count("reason").alias("unfit"),
         F.collect_set("bucket").alias("touched"),  # at most store.buckets values
+        F.count_if("is_first").alias("keys"),
     ).first()
     if summary["reached"] is None:
         commit = replace(before, version=before.version + 1, streams=streams)
@@ -52,9 +57,10 @@ def run_merge(
         return commit
 
     touched, quarantine = summary["touched"], list(before.quarantine)
+    few_keys = summary["keys"] <= BROADCAST_KEYS
     open_rows, current = store.open_periods(before, touched), store.current(before, touched)
-    store.write_history(scd2_merge(open_rows, related, spec, prerevoked), batch)
-    store.write_current(scd1_merge(current, related, spec), batch)
+    store.write_history(scd2_merge(open_rows, related, spec, prerevoked, few_keys), batch)
+    store.write_current(scd1_merge(current, related, spec, few_keys), batch)
     if summary["unfit"]:
         unfit = staged.filter("reason IS NOT NULL")
         store.write_quarantine(unfit.select(*stage(events, spec).columns, "reason"), batch)

@@ -75,20 +75,22 @@ class GoldStore:
         folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_commits")
         return jvm, folder, folder.getFileSystem(conf), conf
 
-    def latest(self) -> Commit:
+    def commits(self, newest: int) -> list[Commit]:
+        """The newest versions, the very newest first."""
         jvm, folder, fs, _ = self._hadoop()
-        if not fs.exists(folder):
-            return Commit()
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        versions = [n for n in names if n.endswith(".json") and not n.startswith((".", "_"))]
-        if not versions:
-            return Commit()
-        stream = fs.open(jvm.org.apache.hadoop.fs.Path(folder, max(versions)))
-        try:
-            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return Commit(**json.loads(text))
+        names = [n for n in _names(fs, folder) if n.endswith(".json") and n[0] not in "._"]
+        found = []
+        for name in sorted(names, reverse=True)[:newest]:
+            stream = fs.open(jvm.org.apache.hadoop.fs.Path(folder, name))
+            try:
+                text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            found.append(Commit(**json.loads(text)))
+        return found
+
+    def latest(self) -> Commit:
+        return next(iter(self.commits(1)), Commit())
 
     def publish(self, commit: Commit) -> None:
         """Make a version visible by one rename, which fails if the version exists."""
@@ -215,6 +217,32 @@ class GoldStore:
         self.publish(compacted)
         return compacted
 
+    def vacuum(self, keep_versions: int = 2) -> int:
+        """Delete files that the newest versions do not use; returns how many folders.
+
+        Files of a merge that has not published yet stay.
+        """
+        jvm, _, fs, _ = self._hadoop()
+        kept = self.commits(keep_versions)
+        newest = max((c.version for c in kept), default=0)
+        closed = {b for c in kept for b in c.closed}
+        opened = {b for c in kept for b in c.open.values()}
+        current = {b for c in kept for b in c.current.values()}
+        unused = [f"_staging/{n}" for n in self._batches("_staging", newest)]
+        unused += [f"current/{n}" for n in self._batches("current", newest) if n[6:] not in current]
+        for name in self._batches("history", newest):
+            if name[6:] not in closed | opened:
+                unused.append(f"history/{name}")
+            elif name[6:] not in opened:
+                unused.append(f"history/{name}/is_current=true")
+        paths = [jvm.org.apache.hadoop.fs.Path(f"{self.path}/{u}") for u in unused]
+        return sum(fs.exists(p) and fs.delete(p, True) for p in paths)
+
+    def _batches(self, table: str, newest: int) -> list[str]:
+        jvm, _, fs, _ = self._hadoop()
+        names = _names(fs, jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}"))
+        return [n for n in names if n.startswith("batch=") and int(n[6:18]) <= newest]
+
     def drop_staged(self, batch: str) -> None:
         jvm, folder, fs, _ = self._hadoop()
         fs.delete(jvm.org.apache.hadoop.fs.Path(self.staged(batch)), True)
@@ -238,6 +266,10 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(1).select(*columns).filter(F.lit(False))
 
 
+def _names(fs, folder) -> list[str]:
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
 def _pick(slots: dict[str, str], buckets) -> dict[str, str]:
     return slots if buckets is None else {b: slots[b] for b in buckets if b in slots}
 

@@ -20,7 +20,7 @@ def spark(tmp_path_factory):
         .appName("grantchron-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .config("spark.sql.maxMetadataStringLength", "4000")  # plans are compared as text

@@ -86,6 +86,19 @@ def test_closed_batches_compact_without_changing_answers(spark, folder):
     assert len(story.history_rows(store.history())) == 7
 
 
+def test_vacuum_leaves_the_kept_versions_readable(spark, folder):
+    store = GoldStore(spark, folder + "/gold", buckets=2)
+    for n in (3, 4, 7, 9):
+        run_merge(store, story.bronze(spark, range(1, n + 1)))
+    older = store.commits(2)[1]
+    before, before_older = content(store), story.history_rows(store.history(older))
+    assert store.vacuum(keep_versions=2) > 0
+    assert content(store) == before and story.history_rows(store.history(older)) == before_older
+    assert store.vacuum(keep_versions=2) == 0
+    store.vacuum(keep_versions=1)
+    assert content(store) == before
+
+
 def test_unfit_events_are_kept_apart_and_passed_over(spark, folder):
     store = GoldStore(spark, folder + "/gold")
     broken = story.bronze(spark).withColumn(
