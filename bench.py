@@ -20,7 +20,7 @@ from grantchron.plans.store import GoldStore
 from grantchron.plans.testdata import EVENT_LOG, event_log, table
 from grantchron.session import scratch_path
 from grantchron.sources import bronze
-from grantchron.streaming import pipelines
+from grantchron.streaming import streams
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
@@ -80,8 +80,8 @@ def merges(spark: SparkSession, log: str, grown: str) -> dict[str, float]:
 def stream(spark: SparkSession, log: str) -> dict[str, float]:
     store = GoldStore(spark, scratch_path(spark, "gold"))
     started = time.perf_counter()
-    pipelines.finish(
-        pipelines.stream_to_gold(
+    streams.finish(
+        streams.stream_to_gold(
             store, log, scratch_path(spark, "checkpoint"), bronze_schema=EVENT_LOG
         )
     )

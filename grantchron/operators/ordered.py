@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from grantchron.session import estimated_bytes, hot_key_rows, materialize, small_input_bytes
 
 _RANGE = "__range"
+# Where more ranges than this would be needed, each may hold more rows.
+MAX_RANGES = 20_000
 
 
 def _same(left: DataFrame, right: DataFrame, names) -> Column:
@@ -36,17 +38,25 @@ class HotKeys:
 
 
 def find_hot_keys(df: DataFrame, key, limit: int | None = None) -> HotKeys | None:
-    """Keys with more than `limit` rows, of which there are at most rows/limit."""
+    """Keys with more rows than `limit`, which rises with the data: at most MAX_RANGES / 2."""
     spark = df.sparkSession
     if limit is None:
         if estimated_bytes(df) < small_input_bytes(spark):
             return None
         limit = hot_key_rows(spark)
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
-    n_keys, n_rows = counts.agg(F.count(F.lit(1)), F.sum("__n")).first()
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+
+    def above(least: int):
+        return counts.filter(F.col("__n") > least).agg(F.count(F.lit(1)), F.sum("__n")).first()
+
+    n_keys, n_rows = above(limit)
+    if n_keys and 2 * n_rows > MAX_RANGES * limit:
+        limit = -(-2 * n_rows // MAX_RANGES)
+        n_keys, n_rows = above(limit)
     if not n_keys:
         return None
-    return HotKeys(materialize(counts.drop("__n"), "hot-keys"), n_keys, n_rows, limit)
+    hot = counts.filter(F.col("__n") > limit).drop("__n")
+    return HotKeys(materialize(hot, "hot-keys"), n_keys, n_rows, limit)
 
 
 class OrderedRuns:
@@ -58,7 +68,7 @@ class OrderedRuns:
         if hot is None:
             self._plain, self._ranged = df, None
             return
-        # At most rows/limit keys, so broadcasting them is bounded.
+        # At most MAX_RANGES / 2 keys, so broadcasting them is bounded.
         keys = F.broadcast(hot.keys)
         on = _same(df, hot.keys, self.key)
         self._plain = df.join(keys, on, "left_anti")

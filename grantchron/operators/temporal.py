@@ -35,7 +35,7 @@ def existed_at(history: DataFrame, t, **values) -> DataFrame:
 
 
 def ended_at(history: DataFrame, t) -> DataFrame:
-    """A5 as the reference asks it: periods that ended exactly at t."""
+    """A5: periods that ended exactly at t."""
     return history.filter(F.col("effective_end") == at(t))
 
 

@@ -46,7 +46,7 @@ def append_by_day(df: DataFrame, table: str, time: str, day: str) -> None:
 
 
 def publish_views(store: GoldStore, prefix: str = "") -> None:
-    """The store's newest version as temporary views with the reference's table names."""
+    """The store's newest version as temporary views under the names auditors query."""
     commit = store.latest()
     current = store.current(commit)
     current.createOrReplaceTempView(prefix + model.FACT_TABLE)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from grantchron.operators.batch import after_cursor, relate_events, split_quarantine, stage
@@ -59,8 +61,15 @@ def run_merge(
     touched, quarantine = summary["touched"], list(before.quarantine)
     few_keys = summary["keys"] <= BROADCAST_KEYS
     open_rows, current = store.open_periods(before, touched), store.current(before, touched)
-    store.write_history(scd2_merge(open_rows, related, spec, prerevoked, few_keys), batch)
-    store.write_current(scd1_merge(current, related, spec, few_keys), batch)
+    periods = scd2_merge(open_rows, related, spec, prerevoked, few_keys)
+    state = scd1_merge(current, related, spec, few_keys)
+    with ThreadPoolExecutor(2) as writers:  # neither needs the other; both end before the commit
+        written = [
+            writers.submit(inheritable_thread_target(write), rows, batch)
+            for write, rows in ((store.write_history, periods), (store.write_current, state))
+        ]
+    for write in written:
+        write.result()
     if summary["unfit"]:
         unfit = staged.filter("reason IS NOT NULL")
         store.write_quarantine(unfit.select(*stage(events, spec).columns, "reason"), batch)

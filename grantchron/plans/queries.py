@@ -17,7 +17,7 @@ from grantchron.plans.testdata import DB, EVENT_LOG, EVENT_ROW, ORDERS, TABLE
 from grantchron.plans.testdata import event_log, order_log, table
 from grantchron.session import materialize, scratch_path
 from grantchron.sources import bronze, cdc, snapshots
-from grantchron.streaming import pipelines
+from grantchron.streaming import streams
 
 SPLIT = "2024-01-16 00:00:00"
 INSTANT = "2024-01-15 00:00:00"
@@ -150,7 +150,7 @@ def scd1_all_two_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def scd2_latest_two_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """C2, T2, T3 as the reference runs them, twice."""
+    """C2, T2, T3 as the original statements run them, twice."""
     return _two_merges(event_log(spark, sf), "latest")
 
 
@@ -194,8 +194,8 @@ def stream_merge_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     store = GoldStore(spark, scratch_path(spark, "gold"))
     for part in (ns <= low, (ns > low) & (ns <= high), ns > high):
         bronze.append_bronze(log.filter(part), path)
-        pipelines.finish(
-            pipelines.stream_to_gold(store, path, checkpoint, bronze_schema=EVENT_LOG)
+        streams.finish(
+            streams.stream_to_gold(store, path, checkpoint, bronze_schema=EVENT_LOG)
         )
     return store.history().drop("start_day")
 
@@ -262,7 +262,7 @@ def asof_batched(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def asof_resource_daily(spark: SparkSession, sf: str) -> DataFrame:
     """A12 by resource, whose periods overlap: who could reach each at the start of each day."""
-    history = _history(spark, sf)
+    history = materialize(_history(spark, sf), "history")
     probes = history.select(
         "resource_id", F.col("effective_start").cast("date").cast("timestamp_ntz").alias("probe_ts")
     ).distinct()
@@ -280,7 +280,7 @@ def closed_in_range(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def changes_at_instant(spark: SparkSession, sf: str) -> DataFrame:
     """A5 at one instant: the last time at which a period ended."""
-    history = _history(spark, sf)
+    history = materialize(_history(spark, sf), "history")
     return temporal.ended_at(history, history.agg(F.max("effective_end")).first()[0])
 
 
@@ -450,7 +450,7 @@ def double_load(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def business_assertions(spark: SparkSession, sf: str) -> DataFrame:
     """V2: nine answers from gold against the same numbers taken from the events."""
-    log = event_log(spark, sf)
+    log = materialize(event_log(spark, sf), "event-log")  # read seven times
     staged = batch.stage(log)
     last = batch.latest_per_key(staged)
     at_instant = batch.latest_per_key(staged.filter(F.col("business_ts") <= ntz(INSTANT)))

@@ -178,7 +178,7 @@ class GoldStore:
         return self.spark.read.parquet(*paths) if paths else None
 
     def watermark(self) -> DataFrame:
-        """M4: the cursor as the reference's table."""
+        """M4: the cursor as a table."""
         cursor = self.latest().cursor
         if not cursor:
             return empty(self.spark, WATERMARK_SCHEMA)

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from grantchron.operators import batch, scd, temporal
+from grantchron.operators import batch, ordered as ordered_runs, scd, temporal
 from grantchron.operators.ordered import OrderedRuns
 from test_semantics import COLUMNS, T0, log, ns
 
@@ -34,7 +34,7 @@ def random_log(rng, first_key):
 
 
 def step(state, history, event):
-    """The reference's statements for a batch of one event."""
+    """The merge statements for a batch of one event."""
     _, key, user, role, resource, granted, revoked, updated, soft, op, captured = event
     when = datetime(1970, 1, 1) + timedelta(microseconds=captured // 1000) if op == "d" else updated
     closes = op == "d" or (op == "u" and revoked is not None)
@@ -166,5 +166,15 @@ def test_ordered_runs_in_ranges_equal_a_plain_window(spark, hot_limit):
     assert neighbours(hot_limit) == neighbours(10**9)
 
 
+def test_number_of_ranges_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(ordered_runs, "MAX_RANGES", 10)
+    df = spark.range(1000).selectExpr("id % 40 % 7 AS k", "id")  # six keys of 150 rows, one of 100
+    # 1000 rows in 10 ranges: a key of 200 rows or fewer can stay whole.
+    assert ordered_runs.find_hot_keys(df, ["k"], 1) is None
+    skewed = df.selectExpr("if(id % 3 = 0, 0, id) AS k", "id")
+    hot = ordered_runs.find_hot_keys(skewed, ["k"], 1)
+    assert (hot.n_keys, hot.n_rows) == (1, 334) and hot.n_ranges <= 10
+
+
 def test_columns_of_random_logs_are_those_of_the_schema():
     assert len(random_log(random.Random(1), 0)[0]) == len(COLUMNS.split(","))

@@ -8,7 +8,7 @@ from grantchron.operators import checks, scd
 from grantchron.plans.merge import run_merge
 from grantchron.plans.store import GoldStore
 from grantchron.sources import bronze, cdc
-from grantchron.streaming import pipelines
+from grantchron.streaming import streams
 
 
 def send(spark, folder, events):
@@ -21,14 +21,14 @@ def test_events_reach_gold_one_by_one(spark, folder):
     sizes = []
     for events, *_, n_current, n_history in story.STEPS:
         send(spark, raw, events)
-        pipelines.finish(
-            pipelines.stream_to_bronze(
-                pipelines.read_messages(spark, raw), log, folder + "/cp1", SOURCE_SCHEMA,
+        streams.finish(
+            streams.stream_to_bronze(
+                streams.read_messages(spark, raw), log, folder + "/cp1", SOURCE_SCHEMA,
                 ["iam_denormalized"],
             )
         )
-        pipelines.finish(
-            pipelines.stream_to_gold(
+        streams.finish(
+            streams.stream_to_gold(
                 store, log, folder + "/cp2", mode="latest",
                 after_batch=lambda s, _: sizes.append((s.current().count(), s.history().count())),
             )
@@ -39,8 +39,8 @@ def test_events_reach_gold_one_by_one(spark, folder):
         story.bronze(spark), bronze.read_bronze(spark, log).drop("capture_day")
     ).isEmpty()
     version, ran = store.latest(), []
-    pipelines.finish(  # S9: nothing new, so no batch
-        pipelines.stream_to_gold(
+    streams.finish(  # S9: nothing new, so no batch
+        streams.stream_to_gold(
             store, log, folder + "/cp2", after_batch=lambda *a: ran.append(a)
         )
     )
@@ -52,7 +52,7 @@ def test_backlog_in_one_run_keeps_every_event(spark, folder):
     for events in (range(1, 6), range(6, 10)):
         bronze.append_bronze(story.bronze(spark, events).coalesce(1), log)
     store = GoldStore(spark, folder + "/gold")
-    pipelines.finish(pipelines.stream_to_gold(store, log, folder + "/cp", files_per_trigger=100))
+    streams.finish(streams.stream_to_gold(store, log, folder + "/cp", files_per_trigger=100))
     assert story.history_rows(store.history()) == story.HISTORY
     whole = scd.access_history(story.bronze(spark))
     assert checks.differences(whole, store.history()).isEmpty()
@@ -66,11 +66,11 @@ def test_batch_that_fails_is_run_again_once(spark, folder):
     def fail(*_):
         raise RuntimeError("after the commit, before the checkpoint")
 
-    query = pipelines.stream_to_gold(store, log, folder + "/cp", after_batch=fail)
+    query = streams.stream_to_gold(store, log, folder + "/cp", after_batch=fail)
     with pytest.raises(Exception, match="before the checkpoint"):
         query.awaitTermination(300)
     version = store.latest()
-    pipelines.finish(pipelines.stream_to_gold(store, log, folder + "/cp"))
+    streams.finish(streams.stream_to_gold(store, log, folder + "/cp"))
     assert store.latest() == version
     assert story.history_rows(store.history()) == story.HISTORY
 
@@ -81,7 +81,7 @@ def test_late_file_is_merged_not_skipped(spark, folder):
     by_stream, by_cursor = GoldStore(spark, folder + "/g1"), GoldStore(spark, folder + "/g2")
     for events in ([1, 2, 5, 6, 7, 8, 9], [3]):
         bronze.append_bronze(story.bronze(spark, events), log)
-        pipelines.finish(pipelines.stream_to_gold(by_stream, log, folder + "/cp"))
+        streams.finish(streams.stream_to_gold(by_stream, log, folder + "/cp"))
         run_merge(by_cursor, bronze.read_bronze(spark, log))
     assert 3 in story.grants(by_stream.history()) and 3 not in story.grants(by_cursor.history())
 
@@ -91,9 +91,9 @@ def test_a_folder_for_each_table(spark, folder):
     send(spark, raw, range(1, 10))
     names = {"iam_denormalized": "bronze_grants", "other": "bronze_other"}
     for _ in range(2):
-        pipelines.finish(
-            pipelines.stream_by_table(
-                pipelines.read_messages(spark, raw), folder, folder + "/cp", SOURCE_SCHEMA, names
+        streams.finish(
+            streams.stream_by_table(
+                streams.read_messages(spark, raw), folder, folder + "/cp", SOURCE_SCHEMA, names
             )
         )
     assert spark.read.parquet(folder + "/bronze_grants").count() == 9
