@@ -15,7 +15,7 @@ from grantchron.session import use_utc
 
 # A batch with no more keys than this has at most this many first and last events, of
 # some 200 bytes each in memory.
-BROADCAST_KEYS = 500_000
+BROADCAST_KEYS = 200_000
 
 
 def run_merge(
@@ -63,9 +63,10 @@ def run_merge(
     open_rows, current = store.open_periods(before, touched), store.current(before, touched)
     periods = scd2_merge(open_rows, related, spec, prerevoked, few_keys)
     state = scd1_merge(current, related, spec, few_keys)
+    inherit = inheritable_thread_target(store.spark)
     with ThreadPoolExecutor(2) as writers:  # neither needs the other; both end before the commit
         written = [
-            writers.submit(inheritable_thread_target(write), rows, batch)
+            writers.submit(inherit(write), rows, batch)
             for write, rows in ((store.write_history, periods), (store.write_current, state))
         ]
     for write in written:

@@ -111,9 +111,11 @@ def cursor_empty_batch_keeps(spark: SparkSession, sf: str) -> DataFrame:
         fresh = batch.after_cursor(log, cursor)
         kept = batch.cursor_after(fresh, cursor)
         rows.append(
-            fresh.agg(_count().alias("new_events"))
-            .select(F.lit(run).alias("run"), "new_events")
-            .join(kept.select(F.lit(run).alias("run"), F.col("__source_ts_ns").alias("last_processed_ts")), "run")
+            kept.select(
+                F.lit(run).alias("run"),
+                F.lit(fresh.count()).cast("long").alias("new_events"),
+                F.col("__source_ts_ns").alias("last_processed_ts"),
+            )
         )
         cursor = tuple(kept.first())
     return reduce(DataFrame.unionByName, rows)

@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 import narrative as story
 from grantchron.functions.times import ntz
-from grantchron.model import ACTIVE_VIEW, FACT_TABLE, GRANTS, HISTORY_TABLE, WATERMARK_TABLE
+from grantchron.model import (
+    ACTIVE_VIEW,
+    FACT_TABLE,
+    GRANTS,
+    HISTORY_TABLE,
+    WATERMARK_TABLE,
+    ChangeSpec,
+)
 from grantchron.operators import checks, temporal
 from grantchron.operators.batch import after_cursor
 from grantchron.plans import catalog
@@ -165,6 +172,20 @@ def test_reset(spark, folder):
     assert store.latest() == Commit() and store.history().isEmpty()
 
 
+def test_position_cursor_takes_late_events(spark, folder):
+    """Event 3 is captured before the others but arrives last, with the highest position."""
+    late = story.bronze(spark).withColumn(
+        "event_id", F.when(F.col("event_id") == 3, F.lit(30)).otherwise(F.col("event_id"))
+    )
+    found = []
+    for spec in (GRANTS, ChangeSpec(cursor=("event_id",))):
+        store = GoldStore(spark, f"{folder}/{spec.cursor[0]}", spec)
+        run_merge(store, late.filter("event_id < 30"))
+        found.append(run_merge(store, late).cursor)
+        found.append(3 in story.grants(store.history()))
+    assert found == [[story.capture_ns(9)], False, [30], True]
+
+
 def test_star_schema_in_the_catalog(spark):
     catalog.drop_star_schema(spark, "iam_t")
     catalog.create_star_schema(spark, "iam_t")
