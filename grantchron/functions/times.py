@@ -22,12 +22,18 @@ def at(t: str | datetime | date | Column) -> Column:
     return t if isinstance(t, Column) else ntz(t)
 
 
+def since_epoch(amount: str, unit: str = "MICROSECOND") -> Column:
+    """An SQL integer as a zone-free timestamp, whatever the session's zone; NULL stays NULL."""
+    return F.expr(f"timestampadd({unit}, {amount}, timestamp_ntz'1970-01-01')")
+
+
 def capture_time(ns_column: str) -> Column:
-    """Epoch nanoseconds to a timestamp, in integers, so micros survive and NULL stays NULL."""
-    return F.timestamp_micros(F.expr(f"`{ns_column}` div 1000")).cast("timestamp_ntz")
+    """Epoch nanoseconds to a timestamp, in integers, so that micros survive."""
+    return since_epoch(f"`{ns_column}` div 1000")
 
 
 def capture_ns(ts: Column) -> Column:
+    """The reverse; the session's zone must be UTC."""
     return F.unix_micros(ts.cast("timestamp")) * F.lit(1000)
 
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from grantchron.functions.times import business_time, closes_access
+from grantchron.functions.times import business_time, closes_access, since_epoch
 from grantchron.model import GRANTS, KNOWN_OPS, ChangeSpec
 from grantchron.operators.ordered import OrderedRuns
 
@@ -38,7 +38,7 @@ def after_cursor(bronze: DataFrame, cursor: Cursor | None, spec: ChangeSpec = GR
             return bronze
     fresh = bronze.filter(beyond(spec.cursor, cursor))
     if "capture_day" in bronze.columns and spec.cursor[0] == spec.capture_ns:
-        day = F.timestamp_micros(F.lit(cursor[0] // 1000)).cast("timestamp_ntz").cast("date")
+        day = since_epoch(str(cursor[0] // 1000)).cast("date")
         fresh = fresh.filter(F.col("capture_day") >= day)
     return fresh
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from grantchron.functions.times import at, covers
 from grantchron.model import GRANTS, ChangeSpec
 from grantchron.operators.ordered import OrderedRuns
-from grantchron.session import materialize
+from grantchron.session import materialize, use_utc
 
 # Of periods that start together, the open one is the last.
 PERIOD_ORDER = ("effective_start", "is_current", "effective_end")
@@ -105,6 +105,7 @@ def as_of_probes(
     own, by the pieces of time they consist of. `tie` orders periods of one key that
     start together, such as the grants of one user. The ordered pass runs at once.
     """
+    use_utc(history.sparkSession)  # the pieces of time are counted from an epoch
     on, tie = tuple(on), tuple(tie)
     columns = [c for c in history.columns if c not in probes.columns]
     # A NULL key or time matches nothing.

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from grantchron.functions.times import since_epoch
 from grantchron.model import as_nullable
+from grantchron.session import use_utc
 
-_FROM_EPOCH = {"micros": "timestamp_micros", "millis": "timestamp_millis"}
+_UNITS = {"micros": "MICROSECOND", "millis": "MILLISECOND"}
 
 
 def envelope_schema(row_schema: T.StructType, time_unit: str = "micros") -> T.StructType:
@@ -36,10 +38,10 @@ def envelope_schema(row_schema: T.StructType, time_unit: str = "micros") -> T.St
     )
 
 
-def _time(column: Column, time_unit: str) -> Column:
+def _time(name: str, time_unit: str) -> Column:
     if time_unit == "iso":
-        return column.cast("timestamp_ntz")
-    return F.call_function(_FROM_EPOCH[time_unit], column).cast("timestamp_ntz")
+        return F.col(f"r.{name}").cast("timestamp_ntz")
+    return since_epoch(f"r.`{name}`", _UNITS[time_unit])
 
 
 def flatten_cdc(
@@ -67,7 +69,7 @@ def flatten_cdc(
     flat = parsed.select(*keep, row.alias("r"), p.alias("p"))
     return flat.select(
         *[
-            _time(F.col(f"r.{f.name}"), time_unit).alias(f.name)
+            _time(f.name, time_unit).alias(f.name)
             if isinstance(f.dataType, T.TimestampNTZType)
             else F.col(f"r.{f.name}").alias(f.name)
             for f in row_schema.fields
@@ -85,6 +87,7 @@ def to_envelope(
     bronze: DataFrame, row_schema: T.StructType, key=("grant_id",), with_schema: bool = True
 ) -> DataFrame:
     """Bronze rows back to envelopes (event_id, value): fixtures for S2 and for the streams."""
+    use_utc(bronze.sparkSession)
 
     def image(columns) -> Column:
         return F.struct(

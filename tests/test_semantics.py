@@ -3,11 +3,13 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 import narrative as story
 from grantchron.functions.times import capture_time
-from grantchron.model import GRANTS, ChangeSpec
+from grantchron.model import GRANTS, SOURCE_SCHEMA, ChangeSpec
 from grantchron.operators import batch, checks, scd, temporal
+from grantchron.sources import cdc
 
 T0 = datetime(2026, 1, 1)
 COLUMNS = (
@@ -184,12 +186,25 @@ def test_unknown_mode_and_option(spark):
         scd.access_history(story.bronze(spark), prerevoked="maybe")
 
 
+def test_results_do_not_depend_on_the_session_zone(spark):
+    messages = cdc.to_envelope(story.bronze(spark), SOURCE_SCHEMA).persist()
+    messages.count()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        history = scd.access_history(story.bronze(spark))
+        assert story.history_rows(history) == story.HISTORY
+        assert story.grants(temporal.as_of(history, "2026-02-15 00:00:00", resource_id=501)) == [1]
+        flat = cdc.flatten_cdc(messages, SOURCE_SCHEMA, sequence="event_id")
+        assert checks.differences(story.bronze(spark), flat).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        messages.unpersist()
+
+
 def test_composite_key(spark):
     spec = ChangeSpec(
         key=("tenant", "grant_id"), attributes=GRANTS.attributes, versioned=GRANTS.versioned
     )
-    from pyspark.sql import functions as F
-
     one = log(spark, event(1, "c", 0), event(2, "d", 2)).withColumn("tenant", F.lit("a"))
     two = log(spark, event(1, "c", 1), event(2, "u", 3, role=4)).withColumn("tenant", F.lit("b"))
     history = scd.access_history(one.unionByName(two), spec)
