@@ -172,21 +172,22 @@ def texts_by_bucket(docs: DataFrame, buckets: int) -> DataFrame:
 class Documents:
     """The documents of a bucket, in order of (id, tie), with the places that were found in them."""
 
-    def __init__(self, table: pa.Table, replies: pa.Table):
+    def __init__(self, table: pa.Table, replies: pa.Table, widths: tuple[int, ...] = ()):
         ids = table["id"].to_numpy()
         ties = table["tie"].to_numpy()
         self.order = np.lexsort((ties, ids))
         self.ids, self.ties = ids[self.order], ties[self.order]
         self._packed = table["packed"].combine_chunks()
         self._inflate = zstandard.ZstdDecompressor()
-        found = joined([unpack(b.as_py()) for b in replies["blob"]])
-        self._found: dict[tuple[int, int], list[np.ndarray]] = {}
+        found = joined([unpack(b.as_py(), widths) for b in replies["blob"]])
+        self._found: dict[tuple[int, int], list[tuple[np.ndarray, ...]]] = {}
         if len(found.pos):
             edges = np.flatnonzero(np.diff(found.doc, prepend=-1, append=-1))
             for low, high in zip(edges[:-1], edges[1:], strict=True):
                 d = found.doc[low]
                 key = int(found.ids[d]), int(found.ties[d])
-                self._found.setdefault(key, []).append(found.pos[low:high])
+                columns = found.pos[low:high], *(h[low:high] for h in found.hashes)
+                self._found.setdefault(key, []).append(columns)
 
     def __len__(self) -> int:
         return len(self.ids)
@@ -196,8 +197,13 @@ class Documents:
 
     def found(self, i: int) -> np.ndarray | None:
         """The positions found in document i, sorted, or None."""
+        places = self.found_with(i)
+        return None if places is None else np.unique(places[0])
+
+    def found_with(self, i: int) -> tuple[np.ndarray, ...] | None:
+        """The positions found in document i, and what came with each, or None."""
         places = self._found.get((int(self.ids[i]), int(self.ties[i])))
-        return None if places is None else np.unique(np.concatenate(places))
+        return None if places is None else tuple(map(np.concatenate, zip(*places, strict=True)))
 
     def repeats_last(self, i: int) -> bool:
         return i > 0 and self.ids[i] == self.ids[i - 1] and self.ties[i] == self.ties[i - 1]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grantchron.llm import byte_bpe, exact_dedup, mixing, substring_dedup, token_counts
+from grantchron.llm import byte_bpe, exact_dedup, mixing, substring_dedup, suffix_dedup, token_counts
 
 MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -70,3 +70,15 @@ FROM t WINDOW w AS (PARTITION BY h)
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
