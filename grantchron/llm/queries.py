@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grantchron.llm import byte_bpe, exact_dedup, mixing, substring_dedup, suffix_dedup, token_counts
+from grantchron.llm import byte_bpe, exact_dedup, mixing, ngram_join, substring_dedup, suffix_dedup, token_counts
 
 MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), MULTI_BPE).select(
