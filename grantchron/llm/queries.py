@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grantchron.llm import byte_bpe, exact_dedup, mixing, ngram_join, substring_dedup, suffix_dedup, token_counts
+from grantchron.llm import (
+    byte_bpe,
+    embedding_dedup,
+    exact_dedup,
+    mixing,
+    ngram_join,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+)
 
 MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,6 +50,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
