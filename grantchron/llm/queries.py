@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from grantchron.llm import (
     byte_bpe,
@@ -13,6 +13,7 @@ from grantchron.llm import (
     exact_dedup,
     mixing,
     ngram_join,
+    secret_scan,
     substring_dedup,
     suffix_dedup,
     token_counts,
@@ -64,6 +65,31 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _listed(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("fixed", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    place = {k: i for i, k in enumerate(secret_scan.KINDS)}
+    order = F.create_map(*(F.lit(x) for pair in place.items() for x in pair))
+    keyed = F.transform(
+        F.concat("fixed", "added"),
+        lambda s: F.struct(s.start.alias("start"), order[s.kind].alias("at"), s.kind.alias("kind"), s.end.alias("end")),
+    )
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in secret_scan.FIXED),
+        F.sha2(_listed(F.col("fixed")), 256).alias("base_sha256"),
+        _listed(F.array_sort(keyed)).alias("spans"),
+    )
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), BPE)
