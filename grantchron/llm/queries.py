@@ -13,6 +13,7 @@ from grantchron.llm import (
     exact_dedup,
     mixing,
     ngram_join,
+    quality,
     secret_scan,
     substring_dedup,
     suffix_dedup,
@@ -56,6 +57,13 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "p_text", "p_known", "score", "keep")
+
+
 @query
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
