@@ -126,16 +126,20 @@ def _words(path: str) -> list[bytes]:
     return sorted(read_ranks(path), key=read_ranks(path).get)
 
 
+def _joined(column: pa.Array, path: str) -> Iterator[bytes | None]:
+    """The bytes of each row of ids; numbers become Python's a row at a time."""
+    words, ids = _words(path).__getitem__, column.values.to_numpy()
+    edges, there = column.offsets.to_numpy(), column.is_valid().to_pylist()
+    for low, high, valid in zip(edges[:-1], edges[1:], there, strict=True):
+        yield b"".join(map(words, ids[low:high].tolist())) if valid else None
+
+
 def decode(ids: str | Column, path: str) -> Column:
     """The bytes of a column of ids; null where the ids are. An unknown id is an error."""
 
     @F.arrow_udf(BinaryType())
     def run(column: pa.Array) -> pa.Array:
-        words = _words(path).__getitem__
-        return pa.array(
-            [None if row is None else b"".join(map(words, row)) for row in column.to_pylist()],
-            pa.binary(),
-        )
+        return pa.array(list(_joined(column, path)), pa.binary())
 
     return run(ids)
 
@@ -145,14 +149,8 @@ def decode_text(ids: str | Column, path: str) -> Column:
 
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
-        words = _words(path).__getitem__
-        return pa.array(
-            [
-                None if row is None else b"".join(map(words, row)).decode("utf-8", "replace")
-                for row in column.to_pylist()
-            ],
-            pa.string(),
-        )
+        whole = _joined(column, path)
+        return pa.array([None if b is None else b.decode("utf-8", "replace") for b in whole], pa.string())
 
     return run(ids)
 
