@@ -3,8 +3,9 @@
 What the patterns of FIXED kinds find in the corpus are labelled credentials. From a sample of
 each kind's different values, and of other long words, probabilistic automata are learned by
 merging compatible prefix-tree states (`automata`). Every other run of credential characters in
-every text is a candidate; one whose format is likelier under a kind's automaton than under that
-of other words, by more than any held-out word's, is a span of kind `format`.
+every text is a candidate, scored by how much likelier its format is under a kind's automaton
+than under that of other words. Those nearer to the kind's held-out values than to where held-out
+words end are spans of kind `format`.
 """
 
 from __future__ import annotations
@@ -153,7 +154,10 @@ def learn_formats(docs: DataFrame, text_col: str = "text") -> Formats:
         if kind in learned:
             states, held = learned[kind]
             typical = scores(states, held)
-            least = max(scores(states, held_words)[-1], typical[len(typical) // 20])
+            other = scores(states, held_words)  # some may be credentials that have no label
+            low, high = other[len(other) // 4], other[len(other) * 3 // 4]
+            above = high + 2 * (high - low)
+            least = max(above, (above + typical[len(typical) // 20]) / 2)
             kinds.append((states, least))
     return Formats(tuple(kinds), words)
 
