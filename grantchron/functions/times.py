@@ -32,9 +32,18 @@ def capture_time(ns_column: str) -> Column:
     return since_epoch(f"`{ns_column}` div 1000")
 
 
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970 of a zone-free timestamp or date, whatever the session's zone."""
+    ts = ts.cast("timestamp_ntz")
+    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    minutes = (days * 24 + F.hour(ts)) * 60 + F.minute(ts)
+    seconds = F.extract(F.lit("SECOND"), ts)  # with six decimals
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("long")
+
+
 def capture_ns(ts: Column) -> Column:
-    """The reverse; the session's zone must be UTC."""
-    return F.unix_micros(ts.cast("timestamp")) * F.lit(1000)
+    """The reverse of capture_time."""
+    return epoch_micros(ts) * F.lit(1000)
 
 
 def business_time(spec: ChangeSpec = GRANTS) -> Column:

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from grantchron.functions.times import business_time, closes_access, since_epoch
+from grantchron.functions.times import business_time, capture_time, closes_access, since_epoch
 from grantchron.model import GRANTS, KNOWN_OPS, ChangeSpec
 from grantchron.operators.ordered import OrderedRuns
 
@@ -43,6 +43,43 @@ def after_cursor(bronze: DataFrame, cursor: Cursor | None, spec: ChangeSpec = GR
     return fresh
 
 
+def without_position(bronze: DataFrame, spec: ChangeSpec = GRANTS) -> DataFrame:
+    """Events that no cursor can pass, as what it compares is missing: all are for quarantine."""
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.cursor])
+    return bronze.filter(missing)
+
+
+def identity(events: DataFrame, spec: ChangeSpec = GRANTS) -> DataFrame:
+    """Who an event is: key, capture time, sequence; without a capture time, all of its columns."""
+    own = [c for c in events.columns if c != "capture_day"]
+    return events.withColumns(
+        {
+            "capture_day": capture_time(spec.capture_ns).cast("date"),
+            "digest": F.when(F.col(spec.capture_ns).isNull(), F.xxhash64(*own)),
+        }
+    )
+
+
+def identity_columns(spec: ChangeSpec = GRANTS) -> list[str]:
+    return ["capture_day", *spec.key, *spec.order, "digest"]
+
+
+def not_taken(events: DataFrame, taken: DataFrame, spec: ChangeSpec = GRANTS) -> DataFrame:
+    """Events whose identity is not among those taken; one small job finds the days to look at."""
+    named = identity(events, spec)
+    days = named.agg(
+        F.min("capture_day").alias("first"), F.max("capture_day").alias("last")
+    ).first()
+    day = F.col("capture_day")
+    if days["first"] is None:
+        taken = taken.filter(day.isNull())
+    else:
+        taken = taken.filter(day.isNull() | day.between(days["first"], days["last"]))
+    known = taken.select(*[F.col(c).alias(f"__{c}") for c in identity_columns(spec)])
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in identity_columns(spec)]
+    return named.join(known, reduce(lambda a, b: a & b, same), "left_anti").select(*events.columns)
+
+
 def cursor_after(batch: DataFrame, cursor: Cursor | None, spec: ChangeSpec = GRANTS) -> DataFrame:
     """T4 as one row: the furthest position seen, or the old one when the batch is empty."""
     reached = F.max(F.struct(*spec.cursor))
@@ -58,9 +95,10 @@ def latest_per_key(events: DataFrame, spec: ChangeSpec = GRANTS) -> DataFrame:
     return events.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
-def stage(events: DataFrame, spec: ChangeSpec = GRANTS) -> DataFrame:
-    """C3 + C4: the columns every later step uses."""
+def stage(events: DataFrame, spec: ChangeSpec = GRANTS, keep=()) -> DataFrame:
+    """C3 + C4: the columns every later step uses, and those to keep."""
     return events.select(
+        *keep,
         *spec.key,
         *spec.attributes,
         F.col(spec.op).alias("op"),
@@ -77,6 +115,7 @@ def split_quarantine(staged: DataFrame, spec: ChangeSpec = GRANTS) -> tuple[Data
         F.when(~F.coalesce(F.col("op").isin(*KNOWN_OPS), F.lit(False)), F.lit("op")),
         F.when(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.key]), F.lit("key")),
         F.when(F.col("business_ts").isNull(), F.lit("business_time")),
+        F.when(F.col(spec.capture_ns).isNull(), F.lit("capture_time")),
     )
     judged = staged.withColumn("reason", reason)
     return judged.filter("reason = ''").drop("reason"), judged.filter("reason <> ''")

@@ -9,23 +9,30 @@ from grantchron.operators.batch import relate_events, stage
 
 
 def opened_periods(
-    events: DataFrame, spec: ChangeSpec = GRANTS, prerevoked: str = "open"
+    events: DataFrame,
+    spec: ChangeSpec = GRANTS,
+    prerevoked: str = "open",
+    with_pending: bool = False,
 ) -> DataFrame:
     """Every event that does not close access starts a period; the next one ends it.
 
     prerevoked="open" treats a first row that is already revoked like any other;
-    "closed" gives it the period up to its revocation, if that is not empty.
+    "closed" gives it the period up to its revocation or, if that comes first, to the next
+    event, if that is not empty. Such a period of a key's last event is `pending`: an event
+    of a later batch may still end it earlier.
     """
     started = events.filter(~F.col("closes_access"))
-    end, current = F.col("next_ts"), F.col("is_last")
+    end, current, pending = F.col("next_ts"), F.col("is_last"), F.lit(False)
     deleted = F.when(F.col("is_last"), F.col(spec.soft_delete)).otherwise(F.col("next_op") == "d")
     if prerevoked == "closed":
         revoked = F.col(spec.revoked_at)
         born_closed = revoked.isNotNull()
         started = started.filter(~born_closed | (revoked > F.col("business_ts")))
-        end = F.when(born_closed, revoked).otherwise(end)
+        outlived = F.col("is_last") | (F.col("next_ts") > revoked)
+        end = F.when(born_closed, F.least(revoked, F.col("next_ts"))).otherwise(end)
         current = current & ~born_closed
-        deleted = F.when(born_closed, F.col(spec.soft_delete)).otherwise(deleted)
+        deleted = F.when(born_closed & outlived, F.col(spec.soft_delete)).otherwise(deleted)
+        pending = F.col("is_last") & born_closed
     elif prerevoked != "open":
         raise ValueError(f"prerevoked must be 'open' or 'closed', not {prerevoked!r}")
     return started.select(
@@ -35,6 +42,7 @@ def opened_periods(
         end.alias("effective_end"),
         current.alias("is_current"),
         deleted.alias("is_deleted"),
+        *([pending.alias("pending")] if with_pending else []),
     )
 
 
@@ -43,6 +51,8 @@ def close_open_periods(
 ) -> DataFrame:
     """A key's first event in the batch closes its open row; rows of other keys stay.
 
+    A row that has an end, as it was pending, ends earlier if the event comes before it.
+
     few_keys: the caller has counted the batch's keys, and they fit a broadcast.
     """
     firsts = events.filter("is_first").select(
@@ -53,14 +63,16 @@ def close_open_periods(
     )
     if few_keys:
         firsts = F.broadcast(firsts)
-    hit = F.col("__hit").isNotNull()
+    hit, known_end = F.col("__hit").isNotNull(), F.col("effective_end")
+    cut = hit & (known_end.isNull() | (F.col("__end") <= known_end))
     return open_rows.join(firsts, list(spec.key), "left").select(
         *spec.key,
         *spec.versioned,
         "effective_start",
-        F.when(hit, F.col("__end")).otherwise(F.col("effective_end")).alias("effective_end"),
+        F.when(cut, F.col("__end")).otherwise(known_end).alias("effective_end"),
         (F.col("is_current") & ~hit).alias("is_current"),
-        F.when(hit, F.col("__deleted")).otherwise(F.col("is_deleted")).alias("is_deleted"),
+        F.when(cut, F.col("__deleted")).otherwise(F.col("is_deleted")).alias("is_deleted"),
+        *([(F.col("pending") & ~hit).alias("pending")] if "pending" in open_rows.columns else []),
     )
 
 
@@ -71,8 +83,12 @@ def scd2_merge(
     prerevoked: str = "open",
     few_keys: bool = False,
 ) -> DataFrame:
-    """T2 + T3: what becomes of the open rows, plus the periods the batch starts."""
-    opened = opened_periods(events, spec, prerevoked)
+    """T2 + T3: what becomes of the open rows, plus the periods the batch starts.
+
+    Open rows with a column `pending` (and then rows that are) give a result with it.
+    """
+    with_pending = open_rows is not None and "pending" in open_rows.columns
+    opened = opened_periods(events, spec, prerevoked, with_pending)
     if open_rows is None:
         return opened
     return close_open_periods(open_rows, events, spec, few_keys).unionByName(opened)

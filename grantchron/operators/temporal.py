@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from grantchron.functions.times import at, covers
+from grantchron.functions.times import at, covers, epoch_micros
 from grantchron.model import GRANTS, ChangeSpec
 from grantchron.operators.ordered import OrderedRuns
-from grantchron.session import materialize, use_utc
+from grantchron.session import materialize
 
 # Of periods that start together, the open one is the last.
 PERIOD_ORDER = ("effective_start", "is_current", "effective_end")
@@ -35,7 +35,9 @@ def existed_at(history: DataFrame, t, **values) -> DataFrame:
 
 
 def ended_at(history: DataFrame, t) -> DataFrame:
-    """A5: periods that ended exactly at t."""
+    """A5: periods that ended exactly at t. Where stored by start day, later days are not read."""
+    if "start_day" in history.columns:
+        history = history.filter(F.col("start_day") <= at(t).cast("date"))
     return history.filter(F.col("effective_end") == at(t))
 
 
@@ -86,7 +88,7 @@ def event_trail(bronze: DataFrame, spec: ChangeSpec = GRANTS, **key) -> DataFram
 
 def version_trail(history: DataFrame, **key) -> DataFrame:
     """One key's periods by start."""
-    return _only(history, **key).orderBy("effective_start")
+    return _only(history, **key).orderBy(*PERIOD_ORDER)
 
 
 def as_of_probes(
@@ -105,7 +107,6 @@ def as_of_probes(
     own, by the pieces of time they consist of. `tie` orders periods of one key that
     start together, such as the grants of one user. The ordered pass runs at once.
     """
-    use_utc(history.sparkSession)  # the pieces of time are counted from an epoch
     on, tie = tuple(on), tuple(tie)
     columns = [c for c in history.columns if c not in probes.columns]
     # A NULL key or time matches nothing.
@@ -162,7 +163,7 @@ _YEAR_ONE = -62_135_596_800
 
 def _second(t: Column) -> Column:
     """Times outside the range count as its first or last second."""
-    second = F.unix_seconds(t.cast("timestamp")) - F.lit(_YEAR_ONE)
+    second = F.floor(epoch_micros(t) / 1_000_000).cast("long") - F.lit(_YEAR_ONE)
     return F.greatest(F.least(second, F.lit(2**_LEVELS - 1)), F.lit(0))
 
 

@@ -8,14 +8,23 @@ from dataclasses import replace
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
-from grantchron.operators.batch import after_cursor, relate_events, split_quarantine, stage
+from grantchron.operators.batch import (
+    after_cursor,
+    identity,
+    not_taken,
+    relate_events,
+    split_quarantine,
+    stage,
+    without_position,
+)
 from grantchron.operators.scd import scd1_merge, scd2_merge
 from grantchron.plans.store import Commit, GoldStore, new_batch
-from grantchron.session import use_utc
 
-# A batch with no more keys than this has at most this many first and last events, of
-# some 200 bytes each in memory.
+# A batch is broadcast if it has no more keys and no more bytes of staged Parquet than these.
 BROADCAST_KEYS = 200_000
+BROADCAST_BYTES = 16 << 20
+
+CURSOR = "cursor"  # the name among sources of runs without a stream
 
 
 def run_merge(
@@ -29,38 +38,59 @@ def run_merge(
 ) -> Commit:
     """Bring gold up to date with bronze; without new events, change nothing.
 
-    With a stream and batch_id, bronze is that micro-batch: all of it is new, unless the
-    store has taken the batch already. Otherwise rows beyond the stored cursor are new.
+    With a stream (its id, which a new checkpoint changes) and batch_id, bronze is that
+    micro-batch: all of it is new, unless the store has taken the batch already or, where
+    gold was also fed by others, the event itself. Otherwise rows beyond the stored cursor
+    are new, and rows without a position that were not seen before.
     """
     spec, before = store.spec, store.latest()
-    use_utc(store.spark)
+    source = CURSOR if batch_id is None else stream
     if batch_id is None:
         events = after_cursor(bronze, before.cursor, spec)
+        lost = not_taken(without_position(bronze, spec), store.taken(before), spec)
+        events = events.unionByName(lost)
         if events.isEmpty():
             return before
     elif before.streams.get(stream, -1) >= batch_id:
         return before
     else:
         events = bronze
+        if before.streams.keys() - {stream}:
+            events = not_taken(events, store.taken(before), spec)
 
     batch = new_batch(before.version + 1)
-    streams = before.streams if stream is None else {**before.streams, stream: batch_id}
+    streams = {**before.streams, source: before.version if batch_id is None else batch_id}
     staged = _write_staged(store, events, batch, mode, hot_limit)
+    # Mode "latest" stages one event of a key, but has taken all.
+    store.write_taken(identity(events, spec) if mode == "latest" else staged, batch)
     related = staged.filter("reason IS NULL")
     summary = staged.agg(
-        F.max(F.struct(*spec.cursor)).alias("reached"),
+        F.max(F.when(F.col("reason").isNull(), F.struct(*spec.cursor))).alias("reached"),
         F.count("reason").alias("unfit"),
         F.collect_set("bucket").alias("touched"),  # at most store.buckets values
         F.count_if("is_first").alias("keys"),
     ).first()
-    if summary["reached"] is None:
-        commit = replace(before, version=before.version + 1, streams=streams)
+    quarantine = list(before.quarantine)
+    if summary["unfit"]:
+        unfit = staged.filter("reason IS NOT NULL")
+        store.write_quarantine(unfit.select(*stage(events, spec).columns, "reason"), batch)
+        quarantine.append(batch)
+    if summary["reached"] is None:  # nothing to merge
+        commit = replace(
+            before,
+            version=before.version + 1,
+            streams=streams,
+            quarantine=quarantine,
+            taken=[*before.taken, batch] if summary["unfit"] else before.taken,
+        )
         store.publish(commit)
+        store.drop_staged(batch)
         return commit
 
-    touched, quarantine = summary["touched"], list(before.quarantine)
-    few_keys = summary["keys"] <= BROADCAST_KEYS
-    open_rows, current = store.open_periods(before, touched), store.current(before, touched)
+    touched = summary["touched"]
+    few_keys = summary["keys"] <= BROADCAST_KEYS and store.bytes_staged(batch) <= BROADCAST_BYTES
+    open_rows = store.open_periods(before, touched, with_pending=True)
+    current = store.current(before, touched)
     periods = scd2_merge(open_rows, related, spec, prerevoked, few_keys)
     state = scd1_merge(current, related, spec, few_keys)
     inherit = inheritable_thread_target(store.spark)
@@ -71,10 +101,6 @@ def run_merge(
         ]
     for write in written:
         write.result()
-    if summary["unfit"]:
-        unfit = staged.filter("reason IS NOT NULL")
-        store.write_quarantine(unfit.select(*stage(events, spec).columns, "reason"), batch)
-        quarantine.append(batch)
     commit = Commit(
         version=before.version + 1,
         cursor=_further(before.cursor, summary["reached"]),
@@ -83,6 +109,7 @@ def run_merge(
         open={**before.open, **dict.fromkeys(touched, batch)},
         current={**before.current, **dict.fromkeys(touched, batch)},
         quarantine=quarantine,
+        taken=[*before.taken, batch],
     )
     store.publish(commit)
     store.drop_staged(batch)
@@ -98,7 +125,8 @@ def _write_staged(
     tables are derived from the same rows even if the source has grown meanwhile.
     """
     spec = store.spec
-    fit, unfit = split_quarantine(stage(events, spec), spec)
+    named = identity(events, spec)
+    fit, unfit = split_quarantine(stage(named, spec, keep=["digest"]), spec)
     related = relate_events(fit, spec, mode, hot_limit).withColumn("bucket", store.bucket())
     rows = related.unionByName(unfit, allowMissingColumns=True)
     path = store.staged(batch)

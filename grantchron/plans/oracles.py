@@ -185,12 +185,82 @@ _CHANGED = _STAGED + """,
 changed AS (
   SELECT * FROM (
     SELECT *, row_number() OVER w AS rn, lag(closes_access) OVER w AS p1, lag(role_id) OVER w AS p2,
-      lag(is_deleted) OVER w AS p3
+      lag(is_deleted) OVER w AS p3, lag(user_id) OVER w AS p4, lag(resource_id) OVER w AS p5,
+      lag(revoked_at) OVER w AS p6
     FROM staged WINDOW w AS (PARTITION BY grant_id ORDER BY __source_ts_ns, event_id))
   WHERE rn = 1 OR p1 IS DISTINCT FROM closes_access OR p2 IS DISTINCT FROM role_id
-    OR p3 IS DISTINCT FROM is_deleted),""" + _periods("changed", "hist")
+    OR p3 IS DISTINCT FROM is_deleted OR p4 IS DISTINCT FROM user_id
+    OR p5 IS DISTINCT FROM resource_id OR p6 IS DISTINCT FROM revoked_at),""" + _periods("changed", "hist")
+
+_LATER = _STAGED + """,
+seen AS (
+  SELECT *, revoked_at + INTERVAL 1 DAY AS revoked, lead(business_ts) OVER w AS next_ts,
+    lead(op) OVER w AS next_op
+  FROM staged WINDOW w AS (PARTITION BY grant_id ORDER BY __source_ts_ns, event_id)),
+later AS (
+  SELECT grant_id, user_id, role_id, resource_id, granted_at, revoked AS revoked_at,
+    business_ts AS effective_start,
+    CASE WHEN revoked < next_ts OR next_ts IS NULL THEN revoked ELSE next_ts END AS effective_end,
+    revoked IS NULL AND next_ts IS NULL AS is_current,
+    CASE WHEN next_ts IS NULL OR revoked < next_ts THEN is_deleted ELSE next_op = 'd' END AS is_deleted
+  FROM seen WHERE NOT closes_access)"""
+
+_LAST_PERIOD = _HIST + """,
+one AS (SELECT * FROM hist ORDER BY effective_start DESC, grant_id LIMIT 1)"""
 
 ORACLES: dict[str, str] = {
+    "scd2_prerevoked_later": _with(_LATER, "SELECT * FROM later"),
+    "prerevoked_two_merges": _with(_LATER, "SELECT * FROM later"),
+    "seed_then_stream": _with(_HIST, "SELECT * FROM hist"),
+    "stream_new_checkpoint": _with(_HIST, "SELECT * FROM hist"),
+    "cursor_table": "SELECT 'fact_access_grant_history' AS target_table, "
+    "max(epoch_us(ts)) * 1000 AS last_processed_ts FROM events",
+    "asof_one_subject": _with(
+        _LAST_PERIOD,
+        "SELECT h.* FROM hist h, one WHERE h.user_id = one.user_id AND h.effective_start <= "
+        "one.effective_start AND (h.effective_end IS NULL OR h.effective_end > one.effective_start)",
+    ),
+    "asof_one_resource": _with(
+        _LAST_PERIOD,
+        f"SELECT * FROM hist WHERE resource_id = (SELECT resource_id FROM one) AND {_COVERS}",
+    ),
+    "existed_at": "SELECT * FROM (VALUES ('within', true), ('before', false)) t(asked, existed)",
+    "asof_user_resource": _with(
+        _LAST_PERIOD,
+        "SELECT h.* FROM hist h, one WHERE h.user_id = one.user_id AND h.resource_id = "
+        "one.resource_id AND h.effective_start <= one.effective_start "
+        "AND (h.effective_end IS NULL OR h.effective_end > one.effective_start)",
+    ),
+    "event_trail_of_key": _with(
+        _LOG,
+        "SELECT grant_id, event_id, op FROM log "
+        "WHERE grant_id = (SELECT user_id FROM events ORDER BY event_id DESC LIMIT 1)",
+    ),
+    "version_trail_of_key": _with(
+        _LAST_PERIOD, "SELECT * FROM hist WHERE grant_id = (SELECT grant_id FROM one)"
+    ),
+    "quarantined_envelopes": _with(
+        _LOG + """,
+bad AS (
+  SELECT event_id, ts, CASE WHEN event_id % 7 = 0 THEN 't' WHEN op <> 'r' THEN op END AS op2
+  FROM log JOIN events USING (event_id)),
+judged AS (
+  SELECT CASE WHEN event_id % 23 <> 0 THEN op2 END AS op, event_id % 23 <> 0 AND event_id % 13 <> 0 AS has_capture,
+    event_id % 23 <> 0 AND event_id % 19 <> 0 AND op2 IS NOT NULL AS has_key,
+    event_id % 23 <> 0 AND op2 IS NOT NULL
+      AND CASE WHEN op2 = 'd' THEN event_id % 13 <> 0
+               ELSE event_id % 17 <> 0 AND event_id NOT IN (SELECT event_id FROM log WHERE updated_at IS NULL) END
+      AS has_time
+  FROM bad)""",
+        """SELECT concat_ws(',', CASE WHEN op IS NULL OR op = 't' THEN 'op' END,
+  CASE WHEN NOT has_key THEN 'key' END, CASE WHEN NOT has_time THEN 'business_time' END,
+  CASE WHEN NOT has_capture THEN 'capture_time' END) AS reason, op, count(*) AS events
+FROM judged GROUP BY ALL""",
+    ),
+    "routed_by_table": """SELECT CASE event_id % 4 WHEN 0 THEN 'grants' WHEN 1 THEN 'logins' ELSE 'rejected' END
+  AS table_name, count(*) AS row_count FROM events GROUP BY ALL""",
+    "completeness_gate": """SELECT count(*) AS least, true AS passed FROM events
+UNION ALL SELECT count(*) + 1, false FROM events""",
     "cdc_op_profile": _with(
         _STAGED, "SELECT op, closes_access, count(*) AS events FROM staged GROUP BY ALL"
     ),

@@ -174,6 +174,29 @@ def scd2_prerevoked_closed(spark: SparkSession, sf: str) -> DataFrame:
     return scd.access_history(event_log(spark, sf), prerevoked="closed")
 
 
+def _revoked_later(spark: SparkSession, sf: str) -> DataFrame:
+    """The log with each revocation a day later, which may be after the next event."""
+    later = F.col("revoked_at") + F.expr("INTERVAL 1 DAY")
+    return event_log(spark, sf).withColumn("revoked_at", later)
+
+
+@query
+def scd2_prerevoked_later(spark: SparkSession, sf: str) -> DataFrame:
+    """E1, D4 where rows arrive with a revocation to come: the earlier of it and the next event."""
+    return scd.access_history(_revoked_later(spark, sf), prerevoked="closed")
+
+
+@query
+def prerevoked_two_merges(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in two stored runs; the second ends periods that were to end later."""
+    store = GoldStore(spark, scratch_path(spark, "gold"))
+    path = scratch_path(spark, "bronze")
+    for part in _halves(_revoked_later(spark, sf)):
+        bronze.append_bronze(part, path)
+        run_merge(store, bronze.read_bronze(spark, path, EVENT_LOG), prerevoked="closed")
+    return store.history().drop("start_day")
+
+
 @query
 def merge_runs_in_store(spark: SparkSession, sf: str) -> DataFrame:
     """A stored log merged in two runs, read back as history."""
@@ -202,6 +225,46 @@ def stream_merge_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     return store.history().drop("start_day")
 
 
+@query
+def seed_then_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """A first merge of half the log, then a stream over all of it."""
+    first, second = _halves(event_log(spark, sf))
+    path, store = scratch_path(spark, "bronze"), GoldStore(spark, scratch_path(spark, "gold"))
+    bronze.append_bronze(first, path)
+    run_merge(store, bronze.read_bronze(spark, path, EVENT_LOG))
+    bronze.append_bronze(second, path)
+    streams.finish(
+        streams.stream_to_gold(
+            store, path, scratch_path(spark, "checkpoint"), bronze_schema=EVENT_LOG
+        )
+    )
+    return store.history().drop("start_day")
+
+
+@query
+def stream_new_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+    """Half the log by a stream, then all of it by one with another checkpoint."""
+    path, store = scratch_path(spark, "bronze"), GoldStore(spark, scratch_path(spark, "gold"))
+    for part in _halves(event_log(spark, sf)):
+        bronze.append_bronze(part, path)
+        checkpoint = scratch_path(spark, "checkpoint")
+        streams.finish(streams.stream_to_gold(store, path, checkpoint, bronze_schema=EVENT_LOG))
+    return store.history().drop("start_day")
+
+
+@query
+def cursor_table(spark: SparkSession, sf: str) -> DataFrame:
+    """M4: the stored cursor after a merge."""
+    return _stored(spark, sf).watermark()
+
+
+def _stored(spark: SparkSession, sf: str) -> GoldStore:
+    path, store = scratch_path(spark, "bronze"), GoldStore(spark, scratch_path(spark, "gold"))
+    bronze.append_bronze(event_log(spark, sf), path)
+    run_merge(store, bronze.read_bronze(spark, path, EVENT_LOG))
+    return store
+
+
 # -- temporal and audit queries --------------------------------------------------------
 
 
@@ -247,6 +310,67 @@ def asof_pair(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _one(history: DataFrame, *columns: str) -> dict:
+    """Values of the period that starts last, of those the lowest key's."""
+    last = history.orderBy(F.desc("effective_start"), "grant_id").select(*columns).first()
+    return last.asDict()
+
+
+@query
+def asof_one_subject(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 on stored gold, for one subject, at the start of the last period."""
+    history = _stored(spark, sf).history()
+    one = _one(history, "user_id", "effective_start")
+    return temporal.as_of(history, one["effective_start"], user_id=one["user_id"]).drop("start_day")
+
+
+@query
+def asof_one_resource(spark: SparkSession, sf: str) -> DataFrame:
+    """A2 on stored gold, for one resource."""
+    history = _stored(spark, sf).history()
+    resource = _one(history, "resource_id")
+    return temporal.as_of(history, INSTANT, **resource).drop("start_day")
+
+
+@query
+def existed_at(spark: SparkSession, sf: str) -> DataFrame:
+    """A3 for one subject, at an instant within its last period and one before all."""
+    history = materialize(_history(spark, sf), "history")
+    one = _one(history, "user_id", "effective_start")
+    times = (("within", one["effective_start"]), ("before", "2000-01-01 00:00:00"))
+    return reduce(
+        DataFrame.unionByName,
+        [
+            temporal.existed_at(history, t, user_id=one["user_id"]).withColumn("asked", F.lit(name))
+            for name, t in times
+        ],
+    )
+
+
+@query
+def asof_user_resource(spark: SparkSession, sf: str) -> DataFrame:
+    """A4 for one subject and resource."""
+    history = materialize(_history(spark, sf), "history")
+    one = _one(history, "user_id", "resource_id", "effective_start")
+    return temporal.as_of(history, one.pop("effective_start"), **one)
+
+
+@query
+def event_trail_of_key(spark: SparkSession, sf: str) -> DataFrame:
+    """A10 for the key with the last event."""
+    log = materialize(event_log(spark, sf), "event-log")
+    key = log.orderBy(F.desc("event_id")).select("grant_id").first()["grant_id"]
+    trail = temporal.event_trail(log, grant_id=key)
+    return trail.select("grant_id", "event_id", F.col("__op").alias("op"))
+
+
+@query
+def version_trail_of_key(spark: SparkSession, sf: str) -> DataFrame:
+    """A11 for the key whose period started last."""
+    history = materialize(_history(spark, sf), "history")
+    return temporal.version_trail(history, **_one(history, "grant_id"))
+
+
 @query
 def asof_batched(spark: SparkSession, sf: str) -> DataFrame:
     """One probe per order, its date moved into the month of the events."""
@@ -418,6 +542,36 @@ def view_vs_history(spark: SparkSession, sf: str) -> DataFrame:
     return checks.view_against_history(scd.current_state(log), scd.access_history(log))
 
 
+@query
+def quarantined_envelopes(spark: SparkSession, sf: str) -> DataFrame:
+    """Envelopes with an unknown or no op, without key, time or capture time, or broken."""
+
+    def every(n: int):
+        return F.col("event_id") % n == 0
+
+    op = F.col("__op")
+    bad = event_log(spark, sf).withColumns(
+        {
+            "__op": F.when(every(7), F.lit("t")).when(op == "r", F.lit(None)).otherwise(op),
+            "__source_ts_ns": F.when(~every(13), F.col("__source_ts_ns")),
+            "updated_at": F.when(~every(17), F.col("updated_at")),
+            "grant_id": F.when(~every(19), F.col("grant_id")),
+        }
+    )
+    sent = cdc.to_envelope(bad, EVENT_ROW).withColumn(
+        "value", F.when(every(23), F.lit("{broken")).otherwise(F.col("value"))
+    )
+    fit, unfit = batch.split_quarantine(
+        batch.stage(cdc.flatten_cdc(sent, EVENT_ROW, sequence="event_id"))
+    )
+    return (
+        fit.withColumn("reason", F.lit(""))
+        .unionByName(unfit)
+        .groupBy("reason", "op")
+        .agg(_count().alias("events"))
+    )
+
+
 @query
 def event_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """V8 on a log whose views come with an unknown op and whose first events lack one."""
@@ -522,6 +676,36 @@ def route_tables(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def routed_by_table(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: a folder for each of two listed tables; the unlisted and the unnamed are set apart."""
+    part = F.col("event_id") % 4
+    name = F.when(part == 0, TABLE).when(part == 1, "logins").when(part == 2, "unlisted")
+    root, names = scratch_path(spark, "by-table"), {TABLE: "grants", "logins": "logins"}
+    bronze.append_by_table(event_log(spark, sf).withColumn("__table", name), root, names, 0)
+    return checks.row_counts(
+        **{
+            folder: bronze.read_bronze(spark, f"{root}/{folder}/load=0", EVENT_LOG)
+            for folder in (*names.values(), bronze.REJECTED)
+        }
+    )
+
+
+@query
+def completeness_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """What the gate says of the whole log, asked for as many rows as it has and one more."""
+    log = event_log(spark, sf)
+    n = table(spark, sf, "events").count()
+    said = []
+    for least in (n, n + 1):
+        try:
+            snapshots.require_rows(log, least)
+            said.append((least, True))
+        except RuntimeError:
+            said.append((least, False))
+    return spark.createDataFrame(said, "least long, passed boolean")
+
+
 def _source_at(log: DataFrame) -> DataFrame:
     """The source table once the log's events have happened."""
     rows = batch.latest_per_key(log).filter(F.col("__op") != "d")
@@ -659,9 +843,13 @@ def dim_user_latest(spark: SparkSession, sf: str) -> DataFrame:
     )
     dim = (
         last.withColumnRenamed("o_custkey", "c_custkey")
-        .join(table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"), "c_custkey")
-        .join(nation, "c_nationkey")
-        .join(region, "n_regionkey")
+        .join(
+            table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"),
+            "c_custkey",
+            "left",
+        )
+        .join(nation, "c_nationkey", "left")
+        .join(region, "n_regionkey", "left")
         .select(
             F.col("c_custkey").alias("user_id"),
             F.col("c_name").alias("user_name"),
@@ -698,9 +886,8 @@ def record_vs_access_change(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def access_change_history(spark: SparkSession, sf: str) -> DataFrame:
-    """History whose periods start only where role or resource or access changed."""
+    """History whose periods start only where a column that makes out access changed."""
     staged = batch.stage(event_log(spark, sf))
-    changed = dims.changed_only(
-        staged, GRANTS.key, GRANTS.order, ["closes_access", "role_id", "is_deleted"]
-    )
+    access = ["user_id", "role_id", "resource_id", "revoked_at", "is_deleted"]
+    changed = dims.changed_only(staged, GRANTS.key, GRANTS.order, ["closes_access", *access])
     return scd.opened_periods(batch.relate_events(changed))

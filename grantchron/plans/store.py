@@ -7,6 +7,7 @@ record. Readers follow the newest record, so they see a whole merge or none of i
   history/batch=B/is_current=true/slot=<bucket of the key>         replaced per bucket
   current/batch=B/slot=<bucket of the key>                         replaced per bucket
   quarantine/batch=B
+  taken/batch=B/capture_day=D                                      who was merged
   _commits/<version>.json
 
 A merge rewrites the buckets its keys fall in, not the closed history.
@@ -17,11 +18,11 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import asdict, dataclass, field, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from grantchron.functions.times import capture_time
 from grantchron.model import (
     FACT_SCHEMA,
     GRANTS,
@@ -30,6 +31,7 @@ from grantchron.model import (
     WATERMARK_SCHEMA,
     ChangeSpec,
 )
+from grantchron.operators.batch import identity_columns
 
 
 class CommitConflict(RuntimeError):
@@ -40,12 +42,13 @@ class CommitConflict(RuntimeError):
 class Commit:
     version: int = 0
     cursor: list[int] | None = None
-    # Newest micro-batch taken from each stream.
+    # Newest micro-batch taken from each source: a stream by its id, or runs by the cursor.
     streams: dict[str, int] = field(default_factory=dict)
     closed: list[str] = field(default_factory=list)  # batches with closed periods
     open: dict[str, str] = field(default_factory=dict)  # bucket -> batch holding it
     current: dict[str, str] = field(default_factory=dict)  # bucket -> batch holding it
     quarantine: list[str] = field(default_factory=list)
+    taken: list[str] = field(default_factory=list)  # batches whose events are known by identity
 
 
 class GoldStore:
@@ -130,15 +133,9 @@ class GoldStore:
 
     @staticmethod
     def _live(slots: dict[str, str]) -> Column:
-        """Partition predicate: each bucket from the one batch that holds it."""
-        held: dict[str, list[str]] = {}
-        for slot, batch in slots.items():
-            held.setdefault(batch, []).append(slot)
-        return reduce(
-            lambda a, b: a | b,
-            [(F.col("batch") == b) & F.col("slot").isin(*s) for b, s in held.items()],
-            F.lit(False),
-        )
+        """Partition predicate: each bucket from the one batch that holds it, as one flat list."""
+        held = [f"{batch}/{slot}" for slot, batch in slots.items()]
+        return F.concat_ws("/", "batch", "slot").isin(held) if held else F.lit(False)
 
     def current(self, commit: Commit | None = None, buckets=None) -> DataFrame:
         """The current-state table, or some buckets of it."""
@@ -147,12 +144,17 @@ class GoldStore:
         rows = self._read("current", self.fact_schema, sorted(set(slots.values())), _SLOT)
         return rows.filter(self._live(slots)).select(*self.fact_schema.names)
 
-    def open_periods(self, commit: Commit | None = None, buckets=None) -> DataFrame:
+    def open_periods(
+        self, commit: Commit | None = None, buckets=None, with_pending: bool = False
+    ) -> DataFrame:
         commit = commit or self.latest()
         slots = _pick(commit.open, buckets)
         rows = self._read("history", self.history_schema, sorted(set(slots.values())), _PERIOD)
+        # Stored with the open ones are pending periods, whose end an event may still change.
+        is_open = F.col("effective_end").isNull()
         return rows.filter(F.col("is_current") & self._live(slots)).select(
-            *[F.lit(True).alias(n) if n == "is_current" else n for n in self.history_schema.names]
+            *[is_open.alias(n) if n == "is_current" else n for n in self.history_schema.names],
+            *([(~is_open).alias("pending")] if with_pending else []),
         )
 
     def closed_periods(self, commit: Commit | None = None) -> DataFrame:
@@ -177,6 +179,31 @@ class GoldStore:
         paths = [f"{self.path}/quarantine/batch={b}" for b in commit.quarantine]
         return self.spark.read.parquet(*paths) if paths else None
 
+    def taken(self, commit: Commit) -> DataFrame:
+        """The identities of merged events, in a folder for each capture day."""
+        fields = [f for f in self._identity.fields if f.name != "capture_day"]
+        return self._read("taken", T.StructType(fields), commit.taken, _DAY)
+
+    @property
+    def _identity(self) -> T.StructType:
+        kinds = {f.name: f.dataType for f in self.fact_schema.fields}
+        key = [T.StructField(k, kinds[k]) for k in self.spec.key]
+        rest = [T.StructField(c, T.LongType()) for c in (*self.spec.order, "digest")]
+        return T.StructType([*key, *rest])
+
+    def write_taken(self, events: DataFrame, batch: str) -> None:
+        """events: with the column digest that `identity` gives them."""
+        day = capture_time(self.spec.capture_ns).cast("date")
+        rows = events.withColumn("capture_day", day).select(*identity_columns(self.spec))
+        rows.hint("rebalance", F.col("capture_day")).write.partitionBy("capture_day").parquet(
+            f"{self.path}/taken/batch={batch}"
+        )
+
+    def bytes_staged(self, batch: str) -> int:
+        jvm, _, fs, _ = self._hadoop()
+        folder = jvm.org.apache.hadoop.fs.Path(self.staged(batch))
+        return fs.getContentSummary(folder).getLength()
+
     def watermark(self) -> DataFrame:
         """M4: the cursor as a table."""
         cursor = self.latest().cursor
@@ -192,6 +219,8 @@ class GoldStore:
     def write_history(self, rows: DataFrame, batch: str) -> None:
         """Rows are gathered by folder, and sorted so that row groups can be skipped by end."""
         day = F.date_format(F.col("effective_start"), "yyyy-MM-dd")
+        if "pending" in rows.columns:
+            rows = rows.withColumn("is_current", F.col("is_current") | F.col("pending")).drop("pending")
         placed = rows.withColumn("slot", F.when(F.col("is_current"), self.bucket()).otherwise(day))
         placed.hint("rebalance", F.col("is_current"), F.col("slot")).sortWithinPartitions(
             "is_current", "slot", "effective_end", "effective_start"
@@ -257,6 +286,7 @@ class GoldStore:
 
 
 _SLOT = (("slot", T.StringType()),)
+_DAY = (("capture_day", T.DateType()),)
 _PERIOD = (("is_current", T.BooleanType()), ("slot", T.StringType()))
 
 

@@ -9,6 +9,9 @@ from grantchron.functions.times import capture_time
 from grantchron.model import BRONZE_SCHEMA, as_nullable
 
 
+REJECTED = "rejected"
+
+
 def with_capture_day(bronze: DataFrame, capture_ns: str = "__source_ts_ns") -> DataFrame:
     return bronze.withColumn("capture_day", capture_time(capture_ns).cast("date"))
 
@@ -35,8 +38,8 @@ def read_bronze(
 
 
 def only_tables(df: DataFrame, tables) -> DataFrame:
-    """S3: the capture's include list."""
-    return df.filter(F.col("__table").isin(*tables))
+    """S3: the capture's include list. Events that name no table stay, for quarantine."""
+    return df.filter(F.col("__table").isNull() | F.col("__table").isin(*tables))
 
 
 def bronze_name(prefix: str, schema: str, table: str) -> str:
@@ -47,10 +50,18 @@ def bronze_name(prefix: str, schema: str, table: str) -> str:
 def append_by_table(df: DataFrame, root: str, names: dict[str, str], load: int) -> None:
     """S3: one filtered write for each listed table; names maps __table to a folder.
 
-    A load that is repeated replaces what it wrote before, and nothing else.
+    Events of unlisted tables, or that name none, go to the folder REJECTED. A load that is
+    repeated replaces what it wrote before, and nothing else.
     """
-    for table, name in names.items():
-        append_bronze(df.filter(F.col("__table") == table), f"{root}/{name}/load={load}", "overwrite")
+    table = F.col("__table")
+    routes = [(table == name, folder) for name, folder in names.items()]
+    routes.append((table.isNull() | ~table.isin(*names), REJECTED))
+    load_rows = df.persist()  # read once for all folders; lost parts are computed again
+    try:
+        for condition, folder in routes:
+            append_bronze(load_rows.filter(condition), f"{root}/{folder}/load={load}", "overwrite")
+    finally:
+        load_rows.unpersist()
 
 
 def snapshot_events(table: DataFrame, capture_ns: int, table_name: str, db: str) -> DataFrame:

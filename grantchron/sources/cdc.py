@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from grantchron.functions.times import since_epoch
+from grantchron.functions.times import epoch_micros, since_epoch
 from grantchron.model import as_nullable
-from grantchron.session import use_utc
 
 _UNITS = {"micros": "MICROSECOND", "millis": "MILLISECOND"}
 
@@ -87,12 +86,10 @@ def to_envelope(
     bronze: DataFrame, row_schema: T.StructType, key=("grant_id",), with_schema: bool = True
 ) -> DataFrame:
     """Bronze rows back to envelopes (event_id, value): fixtures for S2 and for the streams."""
-    use_utc(bronze.sparkSession)
-
     def image(columns) -> Column:
         return F.struct(
             *[
-                F.unix_micros(F.col(f.name).cast("timestamp")).alias(f.name)
+                epoch_micros(F.col(f.name)).alias(f.name)
                 if isinstance(f.dataType, T.TimestampNTZType)
                 else F.col(f.name)
                 for f in row_schema.fields

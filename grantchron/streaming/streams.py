@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from grantchron.model import BRONZE_SCHEMA
 from grantchron.plans.merge import run_merge
 from grantchron.plans.store import GoldStore
-from grantchron.session import use_utc
 from grantchron.sources.bronze import (
     append_by_table,
     bronze_file_schema,
@@ -26,6 +25,10 @@ MESSAGE_SCHEMA = T.StructType(
 )
 
 
+# Take what has arrived and end. Continuous capture passes e.g. {"processingTime": "1 second"}.
+AVAILABLE_NOW = {"availableNow": True}
+
+
 def read_messages(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if files_per_trigger:
@@ -34,9 +37,18 @@ def read_messages(spark: SparkSession, path: str, files_per_trigger: int | None
 
 
 def stream_to_bronze(
-    messages: DataFrame, path: str, checkpoint: str, row_schema: T.StructType, tables
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    row_schema: T.StructType,
+    tables,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """S1 + S2 + S3 + S9: flatten, keep the listed tables, append; resumes from the checkpoint."""
+    """S1 + S2 + S3 + S9: flatten, keep the listed tables, append; resumes from the checkpoint.
+
+    Messages that name no table, such as those that do not parse, are kept too: the merge
+    puts them in quarantine.
+    """
     flat = only_tables(flatten_cdc(messages, row_schema, sequence="event_id"), tables)
     return (
         with_capture_day(flat)
@@ -44,23 +56,29 @@ def stream_to_bronze(
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .partitionBy("capture_day")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or AVAILABLE_NOW))
         .start(path)
     )
 
 
 def stream_by_table(
-    messages: DataFrame, root: str, checkpoint: str, row_schema: T.StructType, names: dict[str, str]
+    messages: DataFrame,
+    root: str,
+    checkpoint: str,
+    row_schema: T.StructType,
+    names: dict[str, str],
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """S3 with a bronze folder per captured table, read as <root>/<name>/load=*.
 
     Each micro-batch owns a load folder and replaces it when run again after a failure.
+    Events of other tables or of none go to <root>/rejected.
     """
     flat = flatten_cdc(messages, row_schema, sequence="event_id")
     return (
         flat.writeStream.foreachBatch(lambda df, load: append_by_table(df, root, names, load))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
 
@@ -69,26 +87,28 @@ def stream_to_gold(
     store: GoldStore,
     bronze_path: str,
     checkpoint: str,
-    name: str = "gold",
     bronze_schema: T.StructType = BRONZE_SCHEMA,
     files_per_trigger: int | None = None,
     mode: str = "all",
     after_batch: Callable[[GoldStore, int], None] | None = None,
+    trigger: dict | None = None,
     **merge_options,
 ) -> StreamingQuery:
     """One merge per micro-batch of bronze files.
 
     The checkpoint remembers which files were read, so late and tied events are merged
-    too; the store remembers the micro-batch, so one that is run again changes nothing.
+    too; the store remembers the micro-batch by the stream's id, so one that is run again
+    changes nothing. A stream with a new checkpoint, or one that follows a seed by
+    run_merge, has another id: it merges what it reads but for events that gold has.
     """
-    use_utc(store.spark)
     reader = store.spark.readStream.schema(bronze_file_schema(bronze_schema))
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         here = store.with_session(batch.sparkSession)
-        run_merge(here, batch, mode=mode, stream=name, batch_id=batch_id, **merge_options)
+        stream = _stream_id(here.spark, checkpoint)
+        run_merge(here, batch, mode=mode, stream=stream, batch_id=batch_id, **merge_options)
         if after_batch:
             after_batch(here, batch_id)
 
@@ -96,11 +116,17 @@ def stream_to_gold(
         reader.parquet(bronze_path)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream and keeps in its checkpoint."""
+    [row] = spark.read.schema("id string").json(f"{checkpoint}/metadata").collect()
+    return row["id"]
+
+
 def finish(query: StreamingQuery, timeout: int = 600) -> None:
     """Wait for an availableNow query; fail if it does not end in time."""
     if not query.awaitTermination(timeout):

@@ -163,7 +163,7 @@ def test_d15_unfit_events_are_set_apart(spark):
     fit, unfit = batch.split_quarantine(batch.stage(bronze))
     assert [r["event_id"] for r in fit.collect()] == [1]
     assert {r["event_id"]: r["reason"] for r in unfit.collect()} == {
-        2: "op", 3: "op", 4: "key", 5: "business_time", 6: "key,business_time",
+        2: "op", 3: "op", 4: "key", 5: "business_time", 6: "key,business_time,capture_time",
     }
 
 
