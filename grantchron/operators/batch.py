@@ -43,10 +43,12 @@ def after_cursor(bronze: DataFrame, cursor: Cursor | None, spec: ChangeSpec = GR
     return fresh
 
 
-def without_position(bronze: DataFrame, spec: ChangeSpec = GRANTS) -> DataFrame:
-    """Events that no cursor can pass, as what it compares is missing: all are for quarantine."""
+def by_position(
+    bronze: DataFrame, spec: ChangeSpec = GRANTS
+) -> tuple[DataFrame, DataFrame]:
+    """Events with a position, and those that no cursor can pass, as what it compares is missing."""
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.cursor])
-    return bronze.filter(missing)
+    return bronze.filter(~missing), bronze.filter(missing)
 
 
 def identity(events: DataFrame, spec: ChangeSpec = GRANTS) -> DataFrame:
@@ -108,8 +110,8 @@ def stage(events: DataFrame, spec: ChangeSpec = GRANTS, keep=()) -> DataFrame:
     )
 
 
-def split_quarantine(staged: DataFrame, spec: ChangeSpec = GRANTS) -> tuple[DataFrame, DataFrame]:
-    """V8: (rows fit to merge, rows that are not and why)."""
+def judged(staged: DataFrame, spec: ChangeSpec = GRANTS) -> DataFrame:
+    """V8: the rows with the reason why they are not fit to merge, or an empty one."""
     reason = F.concat_ws(
         ",",
         F.when(~F.coalesce(F.col("op").isin(*KNOWN_OPS), F.lit(False)), F.lit("op")),
@@ -117,8 +119,13 @@ def split_quarantine(staged: DataFrame, spec: ChangeSpec = GRANTS) -> tuple[Data
         F.when(F.col("business_ts").isNull(), F.lit("business_time")),
         F.when(F.col(spec.capture_ns).isNull(), F.lit("capture_time")),
     )
-    judged = staged.withColumn("reason", reason)
-    return judged.filter("reason = ''").drop("reason"), judged.filter("reason <> ''")
+    return staged.withColumn("reason", reason)
+
+
+def split_quarantine(staged: DataFrame, spec: ChangeSpec = GRANTS) -> tuple[DataFrame, DataFrame]:
+    """V8: (rows fit to merge, rows that are not and why)."""
+    rows = judged(staged, spec)
+    return rows.filter("reason = ''").drop("reason"), rows.filter("reason <> ''")
 
 
 def relate_events(

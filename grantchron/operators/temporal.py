@@ -19,13 +19,20 @@ def _only(df: DataFrame, **values) -> DataFrame:
     return df
 
 
+def _ending(history: DataFrame, condition, still_open: bool = False) -> DataFrame:
+    """Periods of some end days, if the history is stored by them."""
+    if "end_day" not in history.columns:
+        return history
+    day = F.col("end_day")
+    return history.filter(condition(day) | day.isNull() if still_open else condition(day))
+
+
 def as_of(history: DataFrame, t, **values) -> DataFrame:
     """A1-A4: periods that cover t, for the given user, resource or both.
 
-    Where the history is stored by start day, days after t are not read.
+    Where the history is stored by end day, days before t are not read.
     """
-    if "start_day" in history.columns:
-        history = history.filter(F.col("start_day") <= at(t).cast("date"))
+    history = _ending(history, lambda day: day >= at(t).cast("date"), still_open=True)
     return _only(history, **values).filter(covers(t))
 
 
@@ -35,14 +42,15 @@ def existed_at(history: DataFrame, t, **values) -> DataFrame:
 
 
 def ended_at(history: DataFrame, t) -> DataFrame:
-    """A5: periods that ended exactly at t. Where stored by start day, later days are not read."""
-    if "start_day" in history.columns:
-        history = history.filter(F.col("start_day") <= at(t).cast("date"))
+    """A5: periods that ended exactly at t; of a history stored by end day one day is read."""
+    history = _ending(history, lambda day: day == at(t).cast("date"))
     return history.filter(F.col("effective_end") == at(t))
 
 
 def ended_between(history: DataFrame, since, until) -> DataFrame:
-    """A5 for a range [since, until)."""
+    """A5 for a range [since, until), whose days alone are read."""
+    days = at(since).cast("date"), at(until).cast("date")
+    history = _ending(history, lambda day: day.between(*days))
     end = F.col("effective_end")
     return history.filter((end >= at(since)) & (end < at(until)))
 
@@ -181,11 +189,14 @@ def _pieces_of(lo: Column, hi: Column) -> Column:
     return F.explode(F.array_compact(F.array(*pieces)))
 
 
-def _pieces_with(second: Column) -> Column:
-    """The one piece of each level that a second lies in."""
-    return F.explode(
-        F.array(*[_piece(F.shiftright(second, level), level) for level in range(_LEVELS + 1)])
-    )
+def _pieces_with(second: Column, levels: list[int]) -> Column:
+    """The one piece of each of these levels that a second lies in."""
+    return F.explode(F.array(*[_piece(F.shiftright(second, level), level) for level in levels]))
+
+
+def _level(piece: Column) -> Column:
+    """A level's pieces are numbered from a power of two on, below the next."""
+    return F.lit(_LEVELS) - (F.length(F.bin(piece)) - 1)
 
 
 def _stab(reaching: DataFrame, asked: DataFrame, on) -> DataFrame:
@@ -203,10 +214,12 @@ def _stab(reaching: DataFrame, asked: DataFrame, on) -> DataFrame:
     cut = reaching.withColumns(seconds).select(
         *on, _pieces_of(F.col("__lo"), F.col("__hi")).alias("__piece"), "__from", "__period"
     )
+    # At most _LEVELS + 1 of them occur, and a probe is asked about no others.
+    levels = sorted(r[0] for r in cut.select(_level(F.col("__piece"))).distinct().collect())
     named = (
         asked.join(reaching.select(*on).distinct(), list(on), "left_semi")
         .withColumn("__second", _second(F.col("__t")))
-        .select(*on, _pieces_with(F.col("__second")).alias("__piece"), "__t", "__probe")
+        .select(*on, _pieces_with(F.col("__second"), levels).alias("__piece"), "__t", "__probe")
     )
     return (
         named.join(cut, [*on, "__piece"])

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from grantchron.operators.batch import (
     after_cursor,
+    by_position,
     identity,
+    judged,
     not_taken,
     relate_events,
-    split_quarantine,
     stage,
-    without_position,
 )
 from grantchron.operators.scd import scd1_merge, scd2_merge
 from grantchron.plans.store import Commit, GoldStore, new_batch
@@ -46,9 +46,10 @@ def run_merge(
     spec, before = store.spec, store.latest()
     source = CURSOR if batch_id is None else stream
     if batch_id is None:
-        events = after_cursor(bronze, before.cursor, spec)
-        lost = not_taken(without_position(bronze, spec), store.taken(before), spec)
-        events = events.unionByName(lost)
+        placed, unplaced = by_position(bronze, spec)
+        events = after_cursor(placed, before.cursor, spec).unionByName(unplaced)
+        if before.quarantine:  # unfit events do not move the cursor, and are taken once
+            events = not_taken(events, store.taken(before), spec)
         if events.isEmpty():
             return before
     elif before.streams.get(stream, -1) >= batch_id:
@@ -125,10 +126,21 @@ def _write_staged(
     tables are derived from the same rows even if the source has grown meanwhile.
     """
     spec = store.spec
-    named = identity(events, spec)
-    fit, unfit = split_quarantine(stage(named, spec, keep=["digest"]), spec)
-    related = relate_events(fit, spec, mode, hot_limit).withColumn("bucket", store.bucket())
-    rows = related.unionByName(unfit, allowMissingColumns=True)
+    rows = judged(stage(identity(events, spec), spec, keep=["digest"]), spec)
+    fit = F.col("reason") == ""
+    if mode == "latest":  # which keeps one event of a key, but every unfit one
+        related = relate_events(rows.filter(fit), spec, mode, hot_limit)
+        rows = related.unionByName(rows.filter(~fit), allowMissingColumns=True)
+    else:  # in one pass over the batch: unfit events are related among themselves, to no use
+        apart = replace(spec, key=(*spec.key, "fit"))
+        rows = relate_events(rows.withColumn("fit", fit), apart, mode, hot_limit).drop("fit")
+    rows = rows.withColumns(
+        {
+            "bucket": F.when(fit, store.bucket()),
+            "is_first": F.col("is_first") & fit,
+            "reason": F.when(~fit, F.col("reason")),
+        }
+    )
     path = store.staged(batch)
     rows.write.parquet(path)
     return store.spark.read.schema(rows.schema).parquet(path)

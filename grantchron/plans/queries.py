@@ -194,7 +194,7 @@ def prerevoked_two_merges(spark: SparkSession, sf: str) -> DataFrame:
     for part in _halves(_revoked_later(spark, sf)):
         bronze.append_bronze(part, path)
         run_merge(store, bronze.read_bronze(spark, path, EVENT_LOG), prerevoked="closed")
-    return store.history().drop("start_day")
+    return store.history().drop("end_day")
 
 
 @query
@@ -206,7 +206,7 @@ def merge_runs_in_store(spark: SparkSession, sf: str) -> DataFrame:
     for part in (first, second):
         bronze.append_bronze(part, path)
         run_merge(store, bronze.read_bronze(spark, path, EVENT_LOG))
-    return store.history().drop("start_day")
+    return store.history().drop("end_day")
 
 
 @query
@@ -222,7 +222,7 @@ def stream_merge_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
         streams.finish(
             streams.stream_to_gold(store, path, checkpoint, bronze_schema=EVENT_LOG)
         )
-    return store.history().drop("start_day")
+    return store.history().drop("end_day")
 
 
 @query
@@ -238,7 +238,7 @@ def seed_then_stream(spark: SparkSession, sf: str) -> DataFrame:
             store, path, scratch_path(spark, "checkpoint"), bronze_schema=EVENT_LOG
         )
     )
-    return store.history().drop("start_day")
+    return store.history().drop("end_day")
 
 
 @query
@@ -249,7 +249,7 @@ def stream_new_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
         bronze.append_bronze(part, path)
         checkpoint = scratch_path(spark, "checkpoint")
         streams.finish(streams.stream_to_gold(store, path, checkpoint, bronze_schema=EVENT_LOG))
-    return store.history().drop("start_day")
+    return store.history().drop("end_day")
 
 
 @query
@@ -321,7 +321,7 @@ def asof_one_subject(spark: SparkSession, sf: str) -> DataFrame:
     """A1 on stored gold, for one subject, at the start of the last period."""
     history = _stored(spark, sf).history()
     one = _one(history, "user_id", "effective_start")
-    return temporal.as_of(history, one["effective_start"], user_id=one["user_id"]).drop("start_day")
+    return temporal.as_of(history, one["effective_start"], user_id=one["user_id"]).drop("end_day")
 
 
 @query
@@ -329,7 +329,7 @@ def asof_one_resource(spark: SparkSession, sf: str) -> DataFrame:
     """A2 on stored gold, for one resource."""
     history = _stored(spark, sf).history()
     resource = _one(history, "resource_id")
-    return temporal.as_of(history, INSTANT, **resource).drop("start_day")
+    return temporal.as_of(history, INSTANT, **resource).drop("end_day")
 
 
 @query

@@ -3,7 +3,7 @@
 A merge writes new files and then publishes them, with the cursor, in one small commit
 record. Readers follow the newest record, so they see a whole merge or none of it.
 
-  history/batch=B/is_current=false/slot=<day of effective_start>   added to only
+  history/batch=B/is_current=false/slot=<day of effective_end>     added to only
   history/batch=B/is_current=true/slot=<bucket of the key>         replaced per bucket
   current/batch=B/slot=<bucket of the key>                         replaced per bucket
   quarantine/batch=B
@@ -163,15 +163,15 @@ class GoldStore:
         return rows.filter(~F.col("is_current")).select(
             *[F.lit(False).alias(n) if n == "is_current" else n for n in self.history_schema.names],
             # The filter on folders may meet the buckets' names, which are no dates.
-            F.col("slot").try_cast("date").alias("start_day"),
+            F.col("slot").try_cast("date").alias("end_day"),
         )
 
     def history(self, commit: Commit | None = None) -> DataFrame:
-        """All periods, with the start_day that as_of prunes by."""
+        """All periods, with the end_day (null if open) that questions about a time prune by."""
         commit = commit or self.latest()
         now = self.open_periods(commit)
         return self.closed_periods(commit).unionByName(
-            now.withColumn("start_day", F.col("effective_start").cast("date"))
+            now.withColumn("end_day", F.col("effective_end").cast("date"))
         )
 
     def quarantine(self, commit: Commit | None = None) -> DataFrame | None:
@@ -217,13 +217,13 @@ class GoldStore:
         return F.pmod(F.xxhash64(*self.spec.key), F.lit(self.buckets)).cast("string")
 
     def write_history(self, rows: DataFrame, batch: str) -> None:
-        """Rows are gathered by folder, and sorted so that row groups can be skipped by end."""
-        day = F.date_format(F.col("effective_start"), "yyyy-MM-dd")
+        """Rows are gathered by folder, and sorted so that row groups can be skipped by start."""
+        day = F.date_format(F.col("effective_end"), "yyyy-MM-dd")
         if "pending" in rows.columns:
             rows = rows.withColumn("is_current", F.col("is_current") | F.col("pending")).drop("pending")
         placed = rows.withColumn("slot", F.when(F.col("is_current"), self.bucket()).otherwise(day))
         placed.hint("rebalance", F.col("is_current"), F.col("slot")).sortWithinPartitions(
-            "is_current", "slot", "effective_end", "effective_start"
+            "is_current", "slot", "effective_start", "effective_end"
         ).write.partitionBy("is_current", "slot").parquet(f"{self.path}/history/batch={batch}")
 
     def write_current(self, rows: DataFrame, batch: str) -> None:
@@ -241,7 +241,7 @@ class GoldStore:
         if len(commit.closed) < 2:
             return commit
         batch = new_batch(commit.version + 1)
-        self.write_history(self.closed_periods(commit).drop("start_day"), batch)
+        self.write_history(self.closed_periods(commit).drop("end_day"), batch)
         compacted = replace(commit, version=commit.version + 1, closed=[batch])
         self.publish(compacted)
         return compacted

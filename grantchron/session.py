@@ -31,8 +31,22 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_made: list[str] = []  # folders of this driver that drop_scratch removes
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove what this driver wrote to scratch paths, once nothing reads it any more."""
+    jvm, conf, dropped = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        dropped += path.getFileSystem(conf).delete(path, True)
+    return dropped
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -120,7 +120,7 @@ def test_a_revocation_to_come_can_still_be_overtaken(spark, folder):
     for part in (granted, gone):
         bronze.append_bronze(part, log)
         run_merge(store, bronze.read_bronze(spark, log), prerevoked="closed")
-    stored = store.history().drop("start_day").collect()
+    stored = store.history().drop("end_day").collect()
     assert stored == at_once and len(stored) == 1
     assert stored[0].is_deleted and not stored[0].is_current
     assert (stored[0].effective_end - stored[0].effective_start).days == 3

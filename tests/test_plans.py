@@ -8,7 +8,11 @@ from grantchron.plans.testdata import EVENT_LOG, event_log
 from grantchron.sources import bronze
 
 SF = "/root/testdata/sf0.001"
-EAGER = {"merge_runs_in_store", "stream_merge_equals_batch", "idempotency_diff", "bronze_immutable"}
+EAGER = {
+    "merge_runs_in_store", "stream_merge_equals_batch", "idempotency_diff", "bronze_immutable",
+    "prerevoked_two_merges", "seed_then_stream", "stream_new_checkpoint", "cursor_table",
+    "routed_by_table", "completeness_gate",
+}
 
 
 def plan(df):
@@ -66,3 +70,41 @@ def test_small_batch_does_not_shuffle_the_stored_rows(spark, stored):
     text = plan(scd.scd1_merge(rows, events, few_keys=True))
     stream_side = text.split("BroadcastExchange")[0]
     assert "LeftOuter, BuildRight" in stream_side and "Exchange hashpartitioning" not in stream_side
+
+
+def test_a_batch_is_staged_in_one_pass(spark, stored, tmp_path, monkeypatch):
+    from grantchron.plans import merge
+    from grantchron.plans.store import GoldStore
+
+    seen = []
+    monkeypatch.setattr(
+        type(stored.write), "parquet", lambda self, path, *a, **k: seen.append(plan(self._df))
+    )
+    with pytest.raises(Exception):  # nothing was written, so nothing can be read back
+        merge._write_staged(GoldStore(spark, str(tmp_path)), stored, "b", "all", None).count()
+    assert len(seen) == 1 and seen[0].count("FileScan") == 1
+
+
+def test_a_range_of_ends_reads_its_days_only(spark, stored, tmp_path):
+    from grantchron.operators import temporal
+    from grantchron.plans.merge import run_merge
+    from grantchron.plans.store import GoldStore
+
+    store = GoldStore(spark, str(tmp_path / "gold"))
+    run_merge(store, stored)
+    for asked in (
+        temporal.ended_between(store.history(), "2024-01-15 00:00:00", "2024-01-16 00:00:00"),
+        temporal.ended_at(store.history(), "2024-01-15 00:00:00"),
+        temporal.as_of(store.history(), "2024-01-15 00:00:00"),
+    ):
+        days = set(asked.select(_folder()).distinct().toPandas()["day"].dropna())
+        text = plan(asked)
+        closed = next(p for p in text.splitlines() if "NOT is_current" in p and "FileScan" in p)
+        assert "cast(slot" in closed.split("PartitionFilters")[1].split("PushedFilters")[0]
+        assert all(d >= "2024-01-15" for d in days)
+
+
+def _folder():
+    from pyspark.sql import functions as F
+
+    return F.date_format("effective_end", "yyyy-MM-dd").alias("day")

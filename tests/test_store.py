@@ -112,12 +112,13 @@ def test_unfit_events_are_kept_apart_and_passed_over(spark, folder):
         "__op", F.when(F.col("event_id") == 9, F.lit("x")).otherwise(F.col("__op"))
     )
     commit = run_merge(store, broken)
-    assert commit.cursor == [story.capture_ns(9)]
+    assert commit.cursor == [story.capture_ns(8)]  # an unfit event does not move it
+    assert run_merge(store, broken) == commit
     assert [(r["grant_id"], r["reason"]) for r in store.quarantine().collect()] == [(6, "op")]
     assert story.grants(store.current()) == [1, 2, 3, 4]
 
 
-def test_as_of_reads_only_days_up_to_the_instant(spark, folder):
+def test_as_of_reads_only_days_from_the_instant_on(spark, folder):
     store = GoldStore(spark, folder + "/gold")
     run_merge(store, story.bronze(spark))
     live = temporal.as_of(store.history(), "2026-01-31 23:59:00")
@@ -128,7 +129,8 @@ def test_as_of_reads_only_days_up_to_the_instant(spark, folder):
     assert story.grants(live) == [1, 2, 3]
     narrow = store.history().filter("is_current").select("grant_id").distinct()
     read = narrow._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<grant_id:bigint>" in read and "user_id" not in read
+    assert "ReadSchema: struct<grant_id:bigint,effective_end:timestamp_ntz>" in read
+    assert "user_id" not in read
 
 
 def test_cursor_reaches_the_bronze_scan(spark, folder):
