@@ -17,9 +17,67 @@ TABLES: dict[str, tuple[T.StructType, str | None]] = {
     model.HISTORY_TABLE: (model.HISTORY_SCHEMA, "start_day"),
     model.WATERMARK_TABLE: (model.WATERMARK_SCHEMA, None),
 }
+ACTIVE = "revoked_at IS NULL AND is_deleted = false"
 EXPECTED = (*TABLES, model.ACTIVE_VIEW)
 
 
+def publish_tables(store: GoldStore, database: str = "iam") -> None:
+    """M1-M4 by name, for any session of the catalog: what the store's newest version holds.
+
+    Views over the store's files, to be published again after a merge. A table of the same
+    name that create_star_schema made, and nothing filled, gives way.
+    """
+    spark, commit = store.spark, store.latest()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+
+    def view(name: str, query: str) -> None:
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            if spark.catalog.getTable(f"{database}.{name}").tableType != "VIEW":
+                if not spark.table(f"{database}.{name}").isEmpty():
+                    raise ValueError(f"{database}.{name} is a table with rows")
+                spark.sql(f"DROP TABLE {database}.{name}")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {query}")
+
+    def none(schema: T.StructType) -> str:
+        columns = (f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields)
+        return f"SELECT {', '.join(columns)} WHERE false"
+
+    def stored(table: str, columns: list[str], where: str) -> str:
+        return f"SELECT {', '.join(columns)} FROM parquet.`{store.path}/{table}` WHERE {where}"
+
+    def live(slots: dict[str, str]) -> str:
+        held = ", ".join(f"'{batch}/{slot}'" for slot, batch in sorted(slots.items()))
+        return f"concat_ws('/', batch, CAST(slot AS string)) IN ({held})"
+
+    fact, history = store.fact_schema, store.history_schema
+    view(
+        model.FACT_TABLE,
+        stored("current", fact.names, live(commit.current)) if commit.current else none(fact),
+    )
+    if commit.open:
+        taken = ", ".join(f"'{b}'" for b in commit.closed)
+        is_open = "effective_end IS NULL"
+        columns = [f"{is_open} AS {c}" if c == "is_current" else c for c in history.names]
+        where = (
+            f"(is_current = 'true' AND {live(commit.open)}) "
+            f"OR (is_current = 'false' AND batch IN ({taken}))"
+        )
+        view(model.HISTORY_TABLE, stored("history", columns, where))
+    else:
+        view(model.HISTORY_TABLE, none(history))
+    view(
+        model.ACTIVE_VIEW,
+        f"SELECT * FROM {database}.{model.FACT_TABLE} WHERE {ACTIVE}",
+    )
+    cursor = commit.cursor
+    view(
+        model.WATERMARK_TABLE,
+        f"SELECT '{model.HISTORY_TABLE}' AS target_table, CAST({cursor[0]} AS bigint) AS last_processed_ts"
+        if cursor
+        else none(model.WATERMARK_SCHEMA),
+    )
+
+
 def create_star_schema(spark: SparkSession, database: str = "iam") -> None:
     """M1 + M3: database, dimensions, facts and the active view, where they do not exist."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -34,7 +92,7 @@ def create_star_schema(spark: SparkSession, database: str = "iam") -> None:
     spark.sql(
         f"CREATE OR REPLACE VIEW {database}.{model.ACTIVE_VIEW} AS "
         f"SELECT {', '.join(model.FACT_SCHEMA.names)} FROM {database}.{model.FACT_TABLE} "
-        "WHERE revoked_at IS NULL AND is_deleted = false"
+        f"WHERE {ACTIVE}"
     )
 
 

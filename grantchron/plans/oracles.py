@@ -257,6 +257,25 @@ judged AS (
   CASE WHEN NOT has_capture THEN 'capture_time' END) AS reason, op, count(*) AS events
 FROM judged GROUP BY ALL""",
     ),
+    "schema_inventory": """
+SELECT step, table_name, step = 'made' AS present
+FROM (VALUES ('made'), ('reset')) a(step), (VALUES ('dim_user'), ('dim_role'), ('dim_resource'),
+  ('fact_access_grant'), ('fact_access_grant_history'), ('gold_merge_watermark'),
+  ('current_active_access')) t(table_name)""",
+    "named_history": _with(_HIST, "SELECT * FROM hist"),
+    "named_state": _with(_STATE, "SELECT * FROM state"),
+    "named_active": _with(_STATE, f"SELECT * FROM state WHERE {_ACTIVE}"),
+    "named_cursor": "SELECT 'fact_access_grant_history' AS target_table, "
+    "max(epoch_us(ts)) * 1000 AS last_processed_ts FROM events",
+    "dim_two_loads": """
+WITH last AS (
+  SELECT o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS o_orderstatus,
+    min(o_orderkey) >= (SELECT count(*) // 2 FROM orders) AS is_new
+  FROM orders GROUP BY o_custkey)
+SELECT o_custkey, o_orderstatus, row_number() OVER (ORDER BY is_new, o_custkey) AS user_sk FROM last""",
+    "dim_hashed_keys": """
+SELECT count(*) AS customers_with_orders, count(*) AS same_customer
+FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
     "routed_by_table": """SELECT CASE event_id % 4 WHEN 0 THEN 'grants' WHEN 1 THEN 'logins' ELSE 'rejected' END
   AS table_name, count(*) AS row_count FROM events GROUP BY ALL""",
     "completeness_gate": """SELECT count(*) AS least, true AS passed FROM events

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantchron.functions.times import covers, ntz
-from grantchron.model import GRANTS
+from grantchron.model import ACTIVE_VIEW, FACT_TABLE, GRANTS, HISTORY_TABLE, WATERMARK_TABLE
 from grantchron.operators import batch, checks, dims, scd, temporal
 from grantchron.operators.ordered import OrderedRuns
+from grantchron.plans import catalog
 from grantchron.plans.merge import run_merge
 from grantchron.plans.store import GoldStore
 from grantchron.plans.testdata import DB, EVENT_LOG, EVENT_ROW, ORDERS, TABLE
@@ -258,6 +260,55 @@ def cursor_table(spark: SparkSession, sf: str) -> DataFrame:
     return _stored(spark, sf).watermark()
 
 
+def _by_name(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A merge published to the catalog, and the table asked for in SQL by another session."""
+    database = f"iam_{uuid.uuid4().hex}"
+    catalog.publish_tables(_stored(spark, sf), database)
+    return spark.newSession().sql(f"SELECT * FROM {database}.{name}")
+
+
+@query
+def named_history(spark: SparkSession, sf: str) -> DataFrame:
+    """M1, M2 by name."""
+    return _by_name(spark, sf, HISTORY_TABLE)
+
+
+@query
+def named_state(spark: SparkSession, sf: str) -> DataFrame:
+    """M1 by name."""
+    return _by_name(spark, sf, FACT_TABLE)
+
+
+@query
+def named_active(spark: SparkSession, sf: str) -> DataFrame:
+    """M3 by name."""
+    return _by_name(spark, sf, ACTIVE_VIEW)
+
+
+@query
+def named_cursor(spark: SparkSession, sf: str) -> DataFrame:
+    """M4 by name."""
+    return _by_name(spark, sf, WATERMARK_TABLE)
+
+
+@query
+def schema_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """M1, M6, V5: what of the schema is there once created and published, and after a reset."""
+    database = f"iam_{uuid.uuid4().hex}"
+
+    def inventory(step: str) -> list[tuple]:
+        missing = set(checks.missing_tables(spark, database, catalog.EXPECTED))
+        return [(step, name, name not in missing) for name in catalog.EXPECTED]
+
+    catalog.create_star_schema(spark, database)
+    catalog.publish_tables(_stored(spark, sf), database)
+    found = inventory("made")
+    catalog.drop_star_schema(spark, database)
+    spark.sql(f"CREATE DATABASE {database}")
+    found += inventory("reset")
+    return spark.createDataFrame(found, "step string, table_name string, present boolean")
+
+
 def _stored(spark: SparkSession, sf: str) -> GoldStore:
     path, store = scratch_path(spark, "bronze"), GoldStore(spark, scratch_path(spark, "gold"))
     bronze.append_bronze(event_log(spark, sf), path)
@@ -862,6 +913,33 @@ def dim_user_latest(spark: SparkSession, sf: str) -> DataFrame:
     return dims.dense_key(dim, "user_id", "user_sk")
 
 
+@query
+def dim_two_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers of half the orders get keys; those new in the other half get the next ones."""
+    orders = table(spark, sf, "orders")
+    middle = orders.count() // 2
+    loads = [
+        dims.latest_dimension(
+            orders.filter(part), "o_custkey", ["o_orderstatus"], ["o_orderdate", "o_orderkey"]
+        )
+        for part in (F.col("o_orderkey") < middle, F.lit(True))
+    ]
+    known = dims.dense_key(loads[0], "o_custkey", "user_sk")
+    return dims.with_new_keys(known, loads[1], "o_custkey", "user_sk")
+
+
+@query
+def dim_hashed_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys that any job can compute: as many as there are customers, and stable."""
+    keyed = dims.hashed_key(table(spark, sf, "customer").select("c_custkey"), "c_custkey", "user_sk")
+    again = dims.hashed_key(table(spark, sf, "orders").select("o_custkey"), "o_custkey", "order_sk")
+    met = keyed.join(again.distinct(), F.col("user_sk") == F.col("order_sk"))
+    return met.agg(
+        _count().alias("customers_with_orders"),
+        F.count_if(F.col("c_custkey") == F.col("o_custkey")).alias("same_customer"),
+    )
+
+
 @query
 def dim_attribute_history(spark: SparkSession, sf: str) -> DataFrame:
     """Versions of a customer's order status, one per change of it."""

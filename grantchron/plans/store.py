@@ -34,6 +34,9 @@ from grantchron.model import (
 from grantchron.operators.batch import identity_columns
 
 
+ATOMIC_RENAME = ("file", "hdfs", "abfs", "abfss")
+
+
 class CommitConflict(RuntimeError):
     """Another writer published this version first."""
 
@@ -96,8 +99,17 @@ class GoldStore:
         return next(iter(self.commits(1)), Commit())
 
     def publish(self, commit: Commit) -> None:
-        """Make a version visible by one rename, which fails if the version exists."""
+        """Make a version visible by one rename, which fails if the version exists.
+
+        Only file systems on which a rename is one step, and not onto an existing file, will
+        do; object stores that copy instead would let two writers publish one version.
+        """
         jvm, folder, fs, conf = self._hadoop()
+        scheme = fs.resolvePath(folder.getParent()).toUri().getScheme() if fs.exists(
+            folder.getParent()
+        ) else fs.getScheme()
+        if scheme not in ATOMIC_RENAME:
+            raise ValueError(f"{scheme}: has no exclusive rename; keep the store on {ATOMIC_RENAME}")
         fs.mkdirs(folder)
         draft = jvm.org.apache.hadoop.fs.Path(folder, f"_{uuid.uuid4().hex}")
         out = fs.create(draft)

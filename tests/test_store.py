@@ -211,3 +211,28 @@ def test_bucket_of_a_key_is_fixed(spark):
     store = GoldStore(spark, "/nowhere", GRANTS, buckets=4)
     got = spark.range(8).select(F.col("id").alias("grant_id")).select(store.bucket()).collect()
     assert {r[0] for r in got} <= {"0", "1", "2", "3"}
+
+
+def test_named_tables_in_another_session_follow_merges(spark, folder):
+    from grantchron.plans import catalog
+
+    store, database = GoldStore(spark, folder + "/gold", buckets=2), "iam_named"
+    catalog.create_star_schema(spark, database)
+    catalog.publish_tables(store, database)  # of an empty store
+    asks = spark.newSession()
+    assert asks.table(f"{database}.fact_access_grant_history").count() == 0
+    for events in (range(1, 6), range(6, 10)):
+        run_merge(store, story.bronze(spark, range(1, max(events) + 1)))
+        catalog.publish_tables(store, database)
+    assert story.history_rows(asks.table(f"{database}.fact_access_grant_history")) == story.HISTORY
+    assert story.grants(asks.table(f"{database}.current_active_access")) == [2, 4, 6]
+    assert asks.table(f"{database}.gold_merge_watermark").count() == 1
+    catalog.drop_star_schema(spark, database)
+
+
+def test_a_store_needs_an_exclusive_rename(spark, folder, monkeypatch):
+    from grantchron.plans import store as stores
+
+    monkeypatch.setattr(stores, "ATOMIC_RENAME", ("hdfs",))
+    with pytest.raises(ValueError, match="exclusive rename"):
+        run_merge(GoldStore(spark, folder + "/gold"), story.bronze(spark))
