@@ -234,23 +234,28 @@ def score(
     text_col: str = "text",
     categories: tuple = CATEGORIES,
     numbers: tuple = NUMBERS,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """The columns of docs but those of these names, and p_text, p_known, score, keep.
+    """All columns of docs, or those to keep, but any of these names; p_text, p_known, score, keep.
 
     Every row is scored by its whole text; null is empty text, and null or missing numbers and
     categories are values of their own. Without a model all probabilities are 1. `keep` is score
     >= REJECT_BELOW.
     """
     made = ["p_text", "p_known", "score"]
-    own = [c for c in docs.columns if c not in (*made, "keep")]
+    own = [c for c in (keep or docs.columns) if c not in (*made, "keep")]
     if model is None:
         return docs.select(*own, *(F.lit(1.0).alias(c) for c in made), F.lit(True).alias("keep"))
     schema = StructType(
         [StructField(f"o{i}", docs.schema[c].dataType) for i, c in enumerate(own)]
         + [StructField(c, DoubleType(), False) for c in made]
     )
-    columns = [c.alias(f"c{i}") for i, c in enumerate(_views(docs, id_col, text_col, categories, numbers))]
-    first, names = len(columns), schema.names
+    # The text travels once, as the second column; what else is kept follows the views.
+    views = _views(docs, id_col, text_col, categories, numbers)
+    others = [c for c in own if c != text_col]
+    place = {c: len(views) + i for i, c in enumerate(others)} | {text_col: 1}
+    order, names = [place[c] for c in own], schema.names
+    sent = [F.lit(0), F.col(text_col), *views[2:], *(F.col(c) for c in others)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in parts(batches, 1):
@@ -258,12 +263,12 @@ def score(
                 text_view(data, offsets), known_view(part, len(categories), len(numbers))
             )
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[first:], *(pa.array(p.astype(float)) for p in probabilities)],
+                [*(part.column(i) for i in order), *(pa.array(p.astype(float)) for p in probabilities)],
                 names=names,
             )
 
-    scored = docs.select(*columns, *(F.col(c).alias(f"o{i}") for i, c in enumerate(own)))
-    return scored.mapInArrow(run, schema).select(
+    scored = docs.select(*(c.alias(f"c{i}") for i, c in enumerate(sent))).mapInArrow(run, schema)
+    return scored.select(
         *(F.col(f"o{i}").alias(c) for i, c in enumerate(own)),
         *made,
         (F.col("score") >= REJECT_BELOW).alias("keep"),

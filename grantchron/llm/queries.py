@@ -60,7 +60,8 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model, keep=["doc_id"])
     return scored.select("doc_id", "p_text", "p_known", "score", "keep")
 
 
