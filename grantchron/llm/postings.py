@@ -16,6 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from grantchron.llm.hashing import U64, mix
+from grantchron.session import estimated_bytes
 
 NO_ID = np.iinfo(np.int64).max  # stands for a null id: last in order
 ROWS = "bucket int, settled boolean, blob binary"
@@ -223,7 +224,11 @@ def edges_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(change == 1), np.flatnonzero(change == -1)
 
 
-def buckets_for(docs: DataFrame, least: int = 64, megabytes: int = 8) -> int:
+def buckets_for(docs: DataFrame, least: int = 64, megabytes: int = 16) -> int:
     """So many that one holds about `megabytes` of input; only the plan depends on it."""
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return int(min(max(least, size // (megabytes << 20)), 1 << 20))
+    return min(max(least, estimated_bytes(docs) // (megabytes << 20)), 1 << 20)
+
+
+def part_bytes(buckets: int) -> int:
+    """Text that a task deals out at once: more for more buckets, so that rows stay large."""
+    return min(max(2_000_000, buckets * 16_000), 32_000_000)

@@ -31,7 +31,7 @@ _EXACT = (6, 6)
 
 def _blocks(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in parts(batches, 2):
+        for rows, data, offsets in parts(batches, 2, P.part_bytes(buckets)):
             starts, stops, before = words(data, offsets)
             row, pos = place_in_row(before, len(starts))
             hashes = runs(word_hashes(data, starts, stops), BLOCK)

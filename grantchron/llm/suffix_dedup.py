@@ -104,7 +104,7 @@ def _anchors(buckets: int):
     """The anchor of each stretch, known by its document and first window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in parts(batches, 2):
+        for rows, data, offsets in parts(batches, 2, P.part_bytes(buckets)):
             first, _, hashes = stretches(data, offsets)
             row = np.searchsorted(offsets, first, "right") - 1
             places = P.Places(
