@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from functools import cache
 from itertools import accumulate, chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
@@ -55,12 +56,25 @@ def rank_tokenizer(path: str) -> Tokenizer:
     return tokenizer
 
 
+#: Pre-tokens that the library encodes in one call.
+_TOGETHER = 64
+
+
 @cache
 def _ids(path: str) -> PieceCache:
+    """For each pre-token its ids as the bytes of 32-bit numbers."""
     tokenizer = rank_tokenizer(path)
-    return PieceCache(
-        lambda pieces: [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-    )
+
+    def encode_pieces(pieces: list[str]) -> Iterator[bytes]:
+        groups = [pieces[i : i + _TOGETHER] for i in range(0, len(pieces), _TOGETHER)]
+        encoded = tokenizer.encode_batch(groups, is_pretokenized=True, add_special_tokens=False)
+        for group, e in zip(groups, encoded, strict=True):
+            ids, start = np.array(e.ids, np.int32).tobytes(), 0
+            for end in (np.cumsum(np.bincount(e.word_ids, minlength=len(group))) * 4).tolist():
+                yield ids[start:end]
+                start = end
+
+    return PieceCache(encode_pieces)
 
 
 @cache
@@ -80,6 +94,30 @@ def _lists(values: list[list[int]]) -> pa.Array:
     )
 
 
+def _encoded(
+    batches: Iterator[pa.RecordBatch], path: str, offsets: bool = False
+) -> Iterator[tuple[pa.Array, list[pa.Array]]]:
+    """For parts of batches of (id, text): the ids of rows, and what `encode` adds to them."""
+    pieces = (_ids_and_spans if offsets else _ids)(path)
+    for part, texts in slices(batches, 1):
+        cut = [split(t) for t in texts]
+        lookup = pieces.take_in(cut)
+        if not offsets:
+            rows = [b"".join(map(lookup, c)) for c in cut]
+            ends = np.cumsum([0, *(len(r) // 4 for r in rows)]).astype(np.int32)
+            ids = np.frombuffer(b"".join(rows), np.int32)
+            yield part.column(0), [pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))]
+            continue
+        found = [[lookup(piece) for piece in c] for c in cut]
+        at = [[0, *accumulate(map(len, c))] for c in cut]
+        pairs = [list(zip(a, f, strict=False)) for a, f in zip(at, found, strict=True)]
+        yield part.column(0), [
+            _lists([[i for _, (ids, _) in row for i in ids] for row in pairs]),
+            _lists([[a + s for a, (_, spans) in row for s, _ in spans] for row in pairs]),
+            _lists([[a + e for a, (_, spans) in row for _, e in spans] for row in pairs]),
+        ]
+
+
 def encode(
     docs: DataFrame,
     path: str,
@@ -99,24 +137,8 @@ def encode(
         fields += [StructField("starts", numbers), StructField("ends", numbers)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = (_ids_and_spans if offsets else _ids)(path)
-        for part, texts in slices(batches, 1):
-            cut = [split(t) for t in texts]
-            lookup = pieces.take_in(cut)
-            if not offsets:
-                columns = [_lists([list(chain.from_iterable(map(lookup, c))) for c in cut])]
-            else:
-                ids, starts, ends = [], [], []
-                for c in cut:
-                    found = [lookup(piece) for piece in c]
-                    at = [0, *accumulate(map(len, c))]
-                    ids.append(list(chain.from_iterable(i for i, _ in found)))
-                    starts.append([a + s for a, (_, o) in zip(at, found, strict=False) for s, _ in o])
-                    ends.append([a + e for a, (_, o) in zip(at, found, strict=False) for _, e in o])
-                columns = [_lists(ids), _lists(starts), _lists(ends)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), *columns], names=[f.name for f in fields]
-            )
+        for ids, columns in _encoded(batches, path, offsets):
+            yield pa.RecordBatch.from_arrays([ids, *columns], names=[f.name for f in fields])
 
     return docs.select(id_col, text_col).mapInArrow(run, StructType(fields))
 
@@ -175,5 +197,18 @@ def decode_pieces(ids: list[int], path: str) -> list[str]:
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """encode, then decode: (id_col, ids, decoded binary)."""
-    return encode(docs, path, id_col, text_col).withColumn("decoded", decode("ids", path))
+    """encode, then decode, in one pass: (id_col, ids, decoded binary)."""
+    schema = StructType(
+        [
+            docs.schema[id_col],
+            StructField("ids", ArrayType(IntegerType(), containsNull=False)),
+            StructField("decoded", BinaryType()),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, (ids,) in _encoded(batches, path):
+            decoded = pa.array(list(_joined(ids, path)), pa.binary())
+            yield pa.RecordBatch.from_arrays([rows, ids, decoded], names=schema.names)
+
+    return docs.select(id_col, text_col).mapInArrow(run, schema)
