@@ -136,3 +136,91 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+_WORDS = r"""
+words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)"""
+
+#: Who reaches whom over the table links (a, b), and the least of them.
+_REACHED = """
+reached AS (
+  SELECT id AS a, id AS b FROM nodes
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+parts AS (SELECT a AS id, min(b) AS component_id FROM reached GROUP BY a),
+counts AS (SELECT a AS id, count(*) AS n_links FROM links GROUP BY a)"""
+
+ORACLES["op1_ngram_join"] = f"""
+WITH RECURSIVE {_WORDS.strip()},
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0),
+grams AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM grams x JOIN grams y USING (g)
+  WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b, c.n = s.n AND c.n = t.n AS same FROM common c
+  JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+  WHERE c.n / (s.n + t.n - c.n) >= 0.8),
+nodes AS (SELECT doc_id AS id FROM documents),{_REACHED},
+classes AS (SELECT a AS id, min(b) AS least FROM links WHERE same GROUP BY a)
+SELECT id AS doc_id, least(id, coalesce(least, id)) AS class_id, coalesce(n_links, 0) AS n_links,
+  component_id, id = component_id AS kept
+FROM parts LEFT JOIN counts USING (id) LEFT JOIN classes USING (id)
+"""
+
+ORACLES["op3_embedding_dedup"] = f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id AS id, v, sqrt(list_dot_product(v, v)) AS norm
+  FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)),
+links AS (
+  SELECT x.id AS a, y.id AS b FROM vectors x JOIN vectors y ON x.id <> y.id
+  WHERE list_dot_product(x.v, y.v) / (x.norm * y.norm) >= 0.95),
+nodes AS (SELECT id FROM vectors),{_REACHED}
+SELECT id AS vec_id, coalesce(n_links, 0) AS n_links, component_id, id = component_id AS kept
+FROM parts LEFT JOIN counts USING (id)
+"""
+
+ORACLES["op8_substring_dedup"] = f"""
+WITH {_WORDS.strip()},
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)),
+later AS (
+  SELECT doc_id, i FROM windows
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + unnest(range(20)) AS p FROM later),
+each_word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM words),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t
+  FROM each_word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op10_suffix_dedup"] = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT doc_id, h, len(h) // 2 AS n FROM texts),
+windows AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM sized WHERE n >= 100)),
+later AS (
+  SELECT doc_id, i FROM windows
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+marked AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER w + 100, true)::INT AS new
+  FROM later WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(i) AS s, max(i) + 100 AS e FROM numbered GROUP BY ALL),
+gaps AS (
+  SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS a, s AS b FROM spans
+  UNION ALL SELECT doc_id, max(e), max(n) FROM spans JOIN sized USING (doc_id) GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS t
+  FROM gaps JOIN sized USING (doc_id) GROUP BY doc_id),
+totals AS (SELECT doc_id, count(*) AS n_spans, sum(e - s)::BIGINT AS n_removed FROM spans GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(t, h))) AS kept_sha256
+FROM sized LEFT JOIN kept USING (doc_id) LEFT JOIN totals USING (doc_id)
+"""
