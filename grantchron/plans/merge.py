@@ -62,8 +62,6 @@ def run_merge(
     batch = new_batch(before.version + 1)
     streams = {**before.streams, source: before.version if batch_id is None else batch_id}
     staged = _write_staged(store, events, batch, mode, hot_limit)
-    # Mode "latest" stages one event of a key, but has taken all.
-    store.write_taken(identity(events, spec) if mode == "latest" else staged, batch)
     related = staged.filter("reason IS NULL")
     summary = staged.agg(
         F.max(F.when(F.col("reason").isNull(), F.struct(*spec.cursor))).alias("reached"),
@@ -71,18 +69,22 @@ def run_merge(
         F.collect_set("bucket").alias("touched"),  # at most store.buckets values
         F.count_if("is_first").alias("keys"),
     ).first()
-    quarantine = list(before.quarantine)
+    # Mode "latest" stages one event of a key, but has taken all.
+    named = identity(events, spec) if mode == "latest" else staged
+    writes = [(store.write_taken, named)]
+    taken, quarantine = [*before.taken, batch], list(before.quarantine)
     if summary["unfit"]:
-        unfit = staged.filter("reason IS NOT NULL")
-        store.write_quarantine(unfit.select(*stage(events, spec).columns, "reason"), batch)
+        unfit = staged.filter("reason IS NOT NULL").drop("digest", *_RELATED)
+        writes.append((store.write_quarantine, unfit))
         quarantine.append(batch)
     if summary["reached"] is None:  # nothing to merge
+        _write_together(store, writes, batch)
         commit = replace(
             before,
             version=before.version + 1,
             streams=streams,
             quarantine=quarantine,
-            taken=[*before.taken, batch] if summary["unfit"] else before.taken,
+            taken=taken,
         )
         store.publish(commit)
         store.drop_staged(batch)
@@ -92,16 +94,9 @@ def run_merge(
     few_keys = summary["keys"] <= BROADCAST_KEYS and store.bytes_staged(batch) <= BROADCAST_BYTES
     open_rows = store.open_periods(before, touched, with_pending=True)
     current = store.current(before, touched)
-    periods = scd2_merge(open_rows, related, spec, prerevoked, few_keys)
-    state = scd1_merge(current, related, spec, few_keys)
-    inherit = inheritable_thread_target(store.spark)
-    with ThreadPoolExecutor(2) as writers:  # neither needs the other; both end before the commit
-        written = [
-            writers.submit(inherit(write), rows, batch)
-            for write, rows in ((store.write_history, periods), (store.write_current, state))
-        ]
-    for write in written:
-        write.result()
+    writes.append((store.write_history, scd2_merge(open_rows, related, spec, prerevoked, few_keys)))
+    writes.append((store.write_current, scd1_merge(current, related, spec, few_keys)))
+    _write_together(store, writes, batch)
     commit = Commit(
         version=before.version + 1,
         cursor=_further(before.cursor, summary["reached"]),
@@ -110,13 +105,26 @@ def run_merge(
         open={**before.open, **dict.fromkeys(touched, batch)},
         current={**before.current, **dict.fromkeys(touched, batch)},
         quarantine=quarantine,
-        taken=[*before.taken, batch],
+        taken=taken,
     )
     store.publish(commit)
     store.drop_staged(batch)
     return commit
 
 
+# What relate_events and the staging add to the columns of a batch.
+_RELATED = ("is_first", "is_last", "next_ts", "next_op", "origin", "had_delete", "bucket")
+
+
+def _write_together(store: GoldStore, writes: list, batch: str) -> None:
+    """None of the writes needs another; all end before the commit."""
+    inherit = inheritable_thread_target(store.spark)
+    with ThreadPoolExecutor(len(writes)) as writers:
+        written = [writers.submit(inherit(write), rows, batch) for write, rows in writes]
+    for write in written:
+        write.result()
+
+
 def _write_staged(
     store: GoldStore, events: DataFrame, batch: str, mode: str, hot_limit: int | None
 ) -> DataFrame:

@@ -248,13 +248,17 @@ class GoldStore:
         rows.write.parquet(f"{self.path}/quarantine/batch={batch}")
 
     def compact(self) -> Commit:
-        """Gather the closed periods of many merges into one batch. Answers do not change."""
+        """Gather the closed periods and identities of many merges into one batch.
+
+        Answers do not change.
+        """
         commit = self.latest()
         if len(commit.closed) < 2:
             return commit
         batch = new_batch(commit.version + 1)
         self.write_history(self.closed_periods(commit).drop("end_day"), batch)
-        compacted = replace(commit, version=commit.version + 1, closed=[batch])
+        self.write_taken(self.taken(commit), batch)
+        compacted = replace(commit, version=commit.version + 1, closed=[batch], taken=[batch])
         self.publish(compacted)
         return compacted
 
@@ -269,8 +273,10 @@ class GoldStore:
         closed = {b for c in kept for b in c.closed}
         opened = {b for c in kept for b in c.open.values()}
         current = {b for c in kept for b in c.current.values()}
+        taken = {b for c in kept for b in c.taken}
         unused = [f"_staging/{n}" for n in self._batches("_staging", newest)]
         unused += [f"current/{n}" for n in self._batches("current", newest) if n[6:] not in current]
+        unused += [f"taken/{n}" for n in self._batches("taken", newest) if n[6:] not in taken]
         for name in self._batches("history", newest):
             if name[6:] not in closed | opened:
                 unused.append(f"history/{name}")

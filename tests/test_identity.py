@@ -37,6 +37,18 @@ def test_a_stream_after_a_seed(spark, folder):
     assert story.history_rows(store.history()) == story.HISTORY
 
 
+def test_compacted_identities_still_guard(spark, folder):
+    log, store = folder + "/bronze", GoldStore(spark, folder + "/gold", buckets=2)
+    for events in (range(1, 4), range(4, 7), range(7, 10)):
+        bronze.append_bronze(story.bronze(spark, events), log)
+        run_merge(store, bronze.read_bronze(spark, log))
+    store.compact()
+    store.vacuum(keep_versions=1)
+    assert len(store.latest().taken) == 1
+    follow(store, log, folder + "/cp")
+    assert story.history_rows(store.history()) == story.HISTORY
+
+
 def test_a_late_event_still_passes_a_new_checkpoint(spark, folder):
     log, store = folder + "/bronze", GoldStore(spark, folder + "/gold", buckets=2)
     bronze.append_bronze(story.bronze(spark, [1, 2, 5, 6, 7, 8, 9]), log)
