@@ -24,6 +24,7 @@ from grantchron.llm.hashing import U64, bytes_of, mix, parts, place_in_row, runs
 N, THRESHOLD = 5, 0.8
 RECALL = 0.9999  # of pairs at the threshold; those above it have more
 MOST_HASHES = 128
+SALTS = 16  # parts of a class of copies
 CHUNK = 512  # documents of a band that one task compares with as many others
 
 
@@ -238,15 +239,34 @@ def ngram_join(
     own = F.col(id_col).cast("long").alias("id")
     texts = docs.select(own, F.col(text_col).alias("text"))
     useful = texts.filter(F.col("id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    signed = useful.mapInArrow(
-        _signatures(n, bands, rows), "id long, d1 long, d2 long, bands array<long>"
-    ).checkpoint()
-    classes = signed.groupBy("d1", "d2").agg(
-        F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size")
+    signed = (
+        useful.mapInArrow(
+            _signatures(n, bands, rows), "id long, d1 long, d2 long, bands array<long>"
+        )
+        .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+        .checkpoint()
+    )
+    # Copies meet by salt first, and find their class by salt again: no class is in one task.
+    classes = (
+        signed.groupBy("d1", "d2", "salt")
+        .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+        .groupBy("d1", "d2")
+        .agg(
+            F.min("first").alias("class_id"),
+            F.sum("n").alias("class_size"),
+            F.collect_set("salt").alias("salts"),  # at most SALTS
+        )
+        .checkpoint()
     )
+
+    def of_rows(of_classes: DataFrame) -> DataFrame:
+        """The rows of signed with what their class has."""
+        spread = of_classes.withColumn("salt", F.explode("salts")).drop("salts")
+        return signed.join(spread, ["d1", "d2", "salt"])
+
     # One row of each class, and one of each id.
     heads = (
-        signed.join(classes, ["d1", "d2"])
+        of_rows(classes)
         .filter("id = class_id")
         .groupBy("id")
         .agg(F.min_by(F.struct("d1", "d2", "bands", "class_size"), F.struct("d1", "d2")).alias("head"))
@@ -282,17 +302,15 @@ def ngram_join(
     )
     parts_of = components(compared.select("id", "least"), "id", "least")
     links = compared.groupBy(F.col("id").alias("class_id")).agg(F.sum("n_links").alias("others"))
-    found = (
-        signed.select("id", "d1", "d2")
-        .join(classes, ["d1", "d2"])
-        .join(links, "class_id", "left")
-        .join(parts_of.withColumnRenamed("node", "class_id"), "class_id", "left")
-        .select(
-            "id",
-            "class_id",
-            (F.col("class_size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "class_id").alias("component_id"),
+    found = of_rows(
+        classes.join(links, "class_id", "left").join(
+            parts_of.withColumnRenamed("node", "class_id"), "class_id", "left"
         )
+    ).select(
+        "id",
+        "class_id",
+        (F.col("class_size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
+        F.coalesce("component", "class_id").alias("component_id"),
     )
     alone = texts.filter(
         ~(F.col("id").isNotNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
