@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 WEIGHTS = (5, 2, 1)
 MOST = 3  # a source, and each of its documents, is taken at most so many times
 BLOCK = 8  # words in a block; what a source gets is within about a block of its target
-SHARD_ROWS = 50_000
+SHARD_ROWS = 5_000  # about as many documents of a source are laid end to end in one task
 BROADCAST_SOURCES = 50_000  # with more sources than that, their table is joined by shuffling
 
 
