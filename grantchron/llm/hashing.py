@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from functools import cache
 
@@ -33,6 +35,13 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back_memory() -> None:
+    """At the end of a task: a worker waits for the next one without what this one had freed."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # the C library may have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def parts(
     batches: Iterator[pa.RecordBatch], text_at: int, size: int = 2_000_000
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -48,6 +57,7 @@ def parts(
             low, high = offsets[start], offsets[end]
             yield batch.slice(start, end - start), data[low:high], offsets[start : end + 1] - low
             start = end
+    give_back_memory()
 
 
 @cache

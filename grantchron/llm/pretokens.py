@@ -10,6 +10,8 @@ import public_tokenizers
 import pyarrow as pa
 from tokenizers import Regex, pre_tokenizers
 
+from grantchron.llm.hashing import give_back_memory
+
 # The pattern of public_tokenizers for texts of the characters COMMON leaves alone: there
 # Python's classes, with these six numbers moved, are those of the tokenizer libraries.
 _NUMBERS = "²³¹¼½¾"
@@ -24,7 +26,7 @@ _FAST = re.compile(
 _UNCOMMON = re.compile("[^\x00-\x1b\x20-ԯ‐-‧‰-⁞]")
 
 #: What a worker keeps of pre-tokens it has met; beyond either it starts anew.
-CACHE_PIECES, CACHE_CHARS = 400_000, 8_000_000
+CACHE_PIECES, CACHE_CHARS = 150_000, 3_000_000
 #: Characters of text that a worker handles at once.
 SLICE_CHARS = 2_000_000
 
@@ -72,3 +74,4 @@ def slices(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[pa
             if chars >= SLICE_CHARS or i + 1 == len(texts):
                 yield batch.slice(start, i + 1 - start), texts[start : i + 1]
                 start, chars = i + 1, 0
+    give_back_memory()
