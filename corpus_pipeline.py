@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantchron.llm import byte_bpe, exact_dedup, mixing, ngram_join, quality
-from grantchron.llm.queries import MULTI_BPE
+from grantchron.llm.queries import MULTI_BPE, for_whole_texts
 
 
 def _with_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def _with_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = quality.fit(docs, for_whole_texts(spark).read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score(docs, model).filter("keep").select(*docs.columns)
 
 
@@ -31,6 +31,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that n-gram links connect the one with the smallest id."""
+    for_whole_texts(spark)
     return _with_ids(docs, ngram_join.ngram_join(docs).filter("kept"))
 
 
@@ -43,6 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, their number, and the digest of the bytes that they decode to."""
+    for_whole_texts(spark)
     return byte_bpe.round_trip(docs, MULTI_BPE).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

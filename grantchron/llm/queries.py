@@ -33,8 +33,18 @@ def query(f: Query) -> Query:
     return f
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def for_whole_texts(spark: SparkSession) -> SparkSession:
+    """Arrow batches of 1,000 rows at most: whole texts make Spark's 10,000 some 100 MB a task."""
+    if int(spark.conf.get(ARROW_ROWS)) > 1_000:
+        spark.conf.set(ARROW_ROWS, "1000")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return for_whole_texts(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query
