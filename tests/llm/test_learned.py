@@ -95,6 +95,48 @@ def test_embeddings_against_all_cosines(spark, block_dims):
     assert embedding_dedup.embedding_dedup(none).collect() == []
 
 
+def _all_cosines(found):
+    unit = found / np.linalg.norm(found, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    near = {i: set(np.flatnonzero(x).tolist()) for i, x in enumerate(linked)}
+    least = brute.groups(range(len(found)), near)
+    return {i: (len(near[i]), least[i]) for i in range(len(found))}
+
+
+@pytest.mark.parametrize("cell_rows", (32, 100, 1000))
+def test_embeddings_in_many_boxes_and_chunks(spark, cell_rows):
+    rng = np.random.default_rng(8)
+    some = rng.normal(size=(900, 24))
+    group = rng.normal(size=24) + rng.normal(size=(300, 24)) * 0.02  # no split parts these
+    found = np.concatenate((some, some[::3] + rng.normal(size=(300, 24)) * 0.15, group))
+    found = found.astype(np.float32).astype(np.float64)
+    rows = [(i, v.tolist()) for i, v in enumerate(found)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    got = embedding_dedup.embedding_dedup(frame, cell_rows=cell_rows).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == _all_cosines(found)
+
+
+def test_boxes_follow_the_rows_and_chunks_bound_tasks():
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(20_000, 11)) / 8
+    shares = []
+    for depth in (2, 6):
+        boxes = embedding_dedup._split(vectors, 0.131, depth)
+        home, row, _ = embedding_dedup._places(vectors, boxes, 0.131**2)
+        counts = np.bincount(home)
+        assert len(counts) == 2**depth and counts.max() < 1.5 * len(vectors) / 2**depth
+        shares.append((len(row) + len(home)) / len(home) / 2**depth)
+    assert shares[1] < shares[0] / 3
+    keys = rng.integers(-(2**62), 2**62, 5_000)
+    met, sizes = {}, {}
+    for home, chunks in ((True, (5, 3)), (False, (5, 3))):
+        for left, right, own, rows in embedding_dedup.tasks(keys, home, chunks):
+            sizes[left, right] = sizes.get((left, right), 0) + len(rows)
+            met.setdefault((left, right), []).append((home, own))
+    assert len(met) == 5 * 6 // 2 + 5 * 3 and max(sizes.values()) < 3_000
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(60) if i % 20] + [(100, i) for i in range(101, 140)]
