@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -137,6 +138,23 @@ def test_boxes_follow_the_rows_and_chunks_bound_tasks():
     assert len(met) == 5 * 6 // 2 + 5 * 3 and max(sizes.values()) < 3_000
 
 
+def test_a_task_returns_counts_not_pairs(spark):
+    rng = np.random.default_rng(10)
+    group = (rng.normal(size=24) + rng.normal(size=(400, 24)) * 0.02).astype(np.float32)
+    facts = np.stack((np.arange(400), np.arange(400), np.ones(400)), 1).astype(np.int64)
+    n_links, least = np.zeros(400, np.int64), []
+    for block in range(len(embedding_dedup.blocks(24))):
+        table = pa.table(
+            {"dims": [24], "block": [block], "cell": [0], "left": [0], "right": [0], "own": [True],
+             "facts": [facts.tobytes()], "vectors": [group.tobytes()]}
+        )
+        got = embedding_dedup._links(0.95, embedding_dedup.BLOCK_DIMS, "<f4")(table)
+        assert len(got) <= 400
+        np.add.at(n_links, got["key"].to_numpy(), got["n"].to_numpy())
+        least += got["least"].to_pylist()
+    assert (n_links == 399).all() and min(least) == 0
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(60) if i % 20] + [(100, i) for i in range(101, 140)]
