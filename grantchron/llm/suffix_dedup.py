@@ -70,7 +70,8 @@ def stretches(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of windows with one anchor: first window, number of windows, anchor's hash.
 
-    Windows lie within a row. Which anchor a window has depends on its bytes alone.
+    Windows lie within a row. Which anchor a window has depends on its bytes alone, and a run goes
+    on from one step to the next: which runs a row has does not depend on what stands beside it.
     """
     found = []
     low_bits = U64((1 << 24) - 1)
@@ -92,12 +93,16 @@ def stretches(
             new[1:] = (np.diff(a) != 0) | (np.diff(inside) != 1)
             first = np.flatnonzero(new)
             found.append(
-                (windows[inside[first]], np.diff(first, append=len(a)), grams[a[first]])
+                (windows[inside[first]], np.diff(first, append=len(a)), grams[a[first]], start + a[first])
             )
     if not found:
         none = np.empty(0, np.int64)
         return none, none, none.view(U64)
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+    begin, count, hashes, anchor = (np.concatenate(x) for x in zip(*found, strict=True))
+    new = np.ones(len(begin), bool)
+    new[1:] = (np.diff(anchor) != 0) | (begin[1:] != begin[:-1] + count[:-1])
+    first = np.flatnonzero(new)
+    return begin[first], np.add.reduceat(count, first), hashes[first]
 
 
 def _anchors(buckets: int):

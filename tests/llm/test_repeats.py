@@ -86,6 +86,26 @@ def test_variants_that_overlap_in_part_meet_in_a_suffix_array():
     assert {(i, s + k) for i, s, n in found for k in range(n)} == expected
 
 
+@pytest.mark.parametrize("step", (60, 101, 250, 1000))
+def test_stretches_of_a_document_are_the_same_beside_others(monkeypatch, step):
+    rng = random.Random(6)
+    texts = [bytes(rng.choices(b"abcd ", k=k)) for k in (130, 700, 0, 99, 1900, 100)] + [b"x" * 400]
+    expected = [
+        [x.tolist() for x in suffix_dedup.stretches(np.frombuffer(t, np.uint8), np.array([0, len(t)]))]
+        for t in texts
+    ]
+    monkeypatch.setattr(suffix_dedup, "_STEP", step)
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    for data, at, wanted in [
+        (b"".join(texts), offsets, [(o, e) for o, e in zip(offsets, expected)]),
+        *((t, np.array([0, len(t)]), [(0, e)]) for t, e in zip(texts, expected)),
+    ]:
+        first, count, hashes = suffix_dedup.stretches(np.frombuffer(data, np.uint8), at)
+        assert first.tolist() == [o + s for o, e in wanted for s in e[0]]
+        assert count.tolist() == [n for _, e in wanted for n in e[1]]
+        assert hashes.tolist() == [h for _, e in wanted for h in e[2]]
+
+
 def test_exact_copies_against_sql_rules(spark):
     rows = samples.rows()
     clean = [re.sub(r"[\x20\x09-\x0D]+", " ", r[1] or "") for r in rows]
