@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from grantchron.llm import (
     byte_bpe,
+    conversation_repair,
     embedding_dedup,
     exact_dedup,
     mixing,
@@ -147,6 +148,13 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"),
     )
 
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.digests(conversation_repair.repair(damaged, present_col="present"))
+
+
 _WORDS = r"""
 words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)"""
