@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from grantchron.llm import (
     byte_bpe,
+    collocations,
     conversation_repair,
     embedding_dedup,
     exact_dedup,
@@ -155,6 +156,47 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.digests(conversation_repair.repair(damaged, present_col="present"))
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents)),
+places AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+  FROM pieces, (VALUES (1), (2), (3)) AS t(k) WHERE len(w) >= k),
+counts AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+  FROM places GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+cuts AS (
+  SELECT lang, k, phrase, f AS a, str_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut
+  FROM counts WHERE k >= 2 AND f >= 10),
+scores AS (
+  SELECT c.lang, c.k, c.phrase, a, cut, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f * y.f) AS score
+  FROM cuts c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+candidates AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[cut:cut + 1], ' ') AS phrase, max(a) AS longer FROM cuts WHERE k = 3 GROUP BY ALL),
+ranked AS (
+  SELECT c.lang, c.phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, c.phrase) AS rank
+  FROM candidates c LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 50 * a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 _WORDS = r"""
 words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)"""
