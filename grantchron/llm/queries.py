@@ -15,6 +15,7 @@ from grantchron.llm import (
     exact_dedup,
     mixing,
     ngram_join,
+    private_data,
     quality,
     secret_scan,
     substring_dedup,
@@ -90,6 +91,16 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
 
 
+def _by_place(spans: Column, kinds: tuple[str, ...]) -> Column:
+    """By start, then by the order of kinds."""
+    order = F.create_map(*(F.lit(x) for pair in zip(kinds, range(len(kinds)), strict=True) for x in pair))
+    keyed = F.transform(
+        spans,
+        lambda s: F.struct(s.start.alias("start"), order[s.kind].alias("at"), s.kind.alias("kind"), s.end.alias("end")),
+    )
+    return F.array_sort(keyed)
+
+
 @query
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_scan(table(spark, sf_dir, "documents"))
@@ -97,17 +108,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind: str) -> Column:
         return F.size(F.filter("fixed", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
 
-    place = {k: i for i, k in enumerate(secret_scan.KINDS)}
-    order = F.create_map(*(F.lit(x) for pair in place.items() for x in pair))
-    keyed = F.transform(
-        F.concat("fixed", "added"),
-        lambda s: F.struct(s.start.alias("start"), order[s.kind].alias("at"), s.kind.alias("kind"), s.end.alias("end")),
-    )
     return found.select(
         "doc_id",
         *(count(kind) for kind in secret_scan.FIXED),
         F.sha2(_listed(F.col("fixed")), 256).alias("base_sha256"),
-        _listed(F.array_sort(keyed)).alias("spans"),
+        _listed(_by_place(F.concat("fixed", "added"), secret_scan.KINDS)).alias("spans"),
     )
 
 
@@ -197,6 +202,21 @@ FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
 
+@query
+def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private_data.private_data(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in private_data.KINDS),
+        F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
+        _listed(_by_place(F.concat("base", "added"), private_data.KINDS)).alias("spans"),
+    )
+
+
 _WORDS = r"""
 words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)"""
