@@ -64,6 +64,8 @@ ACTIVE_VIEW = "current_active_access"
 WATERMARK_TABLE = "gold_merge_watermark"
 
 KNOWN_OPS = ("r", "c", "u", "d")
+# The attributes that make out access; a change of others changes the record only.
+ACCESS = ("user_id", "role_id", "resource_id", "revoked_at", "is_deleted")
 
 
 @dataclass(frozen=True)

@@ -12,6 +12,9 @@ from grantchron.operators.ordered import OrderedRuns
 
 Cursor = tuple[int, ...]
 
+#: What relate_events adds to the columns of a batch.
+RELATED = ("is_first", "is_last", "next_ts", "next_op", "origin", "had_delete", "changed")
+
 
 def beyond(columns, values) -> Column:
     """Strictly after `values` in the order of `columns`, with a plain >= for scan pruning."""
@@ -134,6 +137,7 @@ def relate_events(
     mode: str = "all",
     hot_limit: int | None = None,
     with_origin: bool = True,
+    tracked=(),
 ) -> DataFrame:
     """Give each event what the merges need to know of its key's other events in the batch.
 
@@ -143,8 +147,10 @@ def relate_events(
                        the last event so far that inserted, that is, a non-delete that
                        comes first or right after a delete
     had_delete         a delete occurred so far
+    changed            with tracked columns: these, or whether the event closes access, are not as
+                       in the event before; true of the first, as that one is in another batch
 
-    The last two serve the current state only; with_origin=False leaves them out.
+    Origin and had_delete serve the current state only; with_origin=False leaves them out.
 
     mode="latest" keeps one event per key, as the merge of one event per run does;
     mode="all" keeps every event.
@@ -160,11 +166,13 @@ def relate_events(
             F.lit(None).cast("string").alias("next_op"),
             F.when(op != "d", origin).alias("origin"),
             F.coalesce(op == "d", F.lit(False)).alias("had_delete"),
+            *([F.lit(True).alias("changed")] if tracked else []),
         )
     if mode != "all":
         raise ValueError(f"mode must be 'latest' or 'all', not {mode!r}")
+    state = F.struct("closes_access", *tracked)
     runs = OrderedRuns(staged, spec.key, spec.order, hot_limit).add(
-        prev={"__prev": F.struct("op")},
+        prev={"__prev": F.struct("op", state.alias("state"))} if tracked else {"__prev": F.struct("op")},
         next={"__next": F.struct("business_ts", "op")},
     )
     first = F.col("__prev").isNull()
@@ -173,6 +181,7 @@ def relate_events(
         F.col("__next").isNull().alias("is_last"),
         F.col("__next.business_ts").alias("next_ts"),
         F.col("__next.op").alias("next_op"),
+        *([(~F.col("__prev.state").eqNullSafe(state)).alias("changed")] if tracked else []),
     ]
     if not with_origin:
         return runs.rows().select(*staged.columns, *related)

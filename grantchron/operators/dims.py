@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from grantchron.model import GRANTS, ChangeSpec
+from grantchron.model import ACCESS, GRANTS, ChangeSpec
 from grantchron.operators.ordered import OrderedRuns
 from grantchron.session import materialize
 
@@ -92,7 +92,7 @@ def attribute_history(
 
 def classify_changes(
     staged: DataFrame,
-    access=("user_id", "role_id", "resource_id", "revoked_at", "is_deleted"),
+    access=ACCESS,
     spec: ChangeSpec = GRANTS,
     hot_limit: int | None = None,
 ) -> DataFrame:

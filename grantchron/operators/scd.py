@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from grantchron.model import GRANTS, ChangeSpec
-from grantchron.operators.batch import relate_events, stage
+from grantchron.model import ACCESS, GRANTS, ChangeSpec
+from grantchron.operators.batch import RELATED, relate_events, stage
 
 
 def opened_periods(
@@ -94,6 +94,40 @@ def scd2_merge(
     return close_open_periods(open_rows, events, spec, few_keys).unionByName(opened)
 
 
+def access_changes(
+    events: DataFrame,
+    open_rows: DataFrame | None,
+    spec: ChangeSpec = GRANTS,
+    access=ACCESS,
+    few_keys: bool = False,
+    hot_limit: int | None = None,
+) -> DataFrame:
+    """The events that change access, related among themselves, for scd2_merge.
+
+    events are related with `access` as the tracked columns. Within the batch, an event that is as
+    the one before it starts nothing. A key's first event has its predecessor in another batch: the
+    open row was begun by a change, so it has that event's access, and where no row is open the
+    predecessor closed access or there is none. So any split of a log gives the same rows.
+    """
+    known = {spec.soft_delete: "is_deleted"} | {c: c for c in spec.versioned}
+    missing = [c for c in access if c not in known]
+    if missing:
+        raise ValueError(f"{missing}: not in the history, so the next batch cannot see a change")
+    own = [c for c in events.columns if c not in RELATED]
+    firsts = events.filter("is_first").select(own)
+    if open_rows is not None:
+        keys = list(spec.key)
+        begun = open_rows.filter("is_current").select(
+            *keys, F.struct(*[F.col(known[c]).alias(c) for c in access]).alias("__access")
+        )
+        if few_keys:
+            begun = begun.join(F.broadcast(firsts.select(*keys)), keys, "left_semi")
+        same = ~F.col("closes_access") & F.col("__access").eqNullSafe(F.struct(*access))
+        firsts = firsts.join(begun, keys, "left").filter(~same).select(own)
+    changes = firsts.unionByName(events.filter("NOT is_first AND changed").select(own))
+    return relate_events(changes, spec, "all", hot_limit, with_origin=False)
+
+
 def _inserted(lasts: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Rows for keys that are not stored, unless their last event is a delete."""
     return lasts.filter((F.col("op") != "d") & F.col("origin").isNotNull()).select(

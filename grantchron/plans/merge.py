@@ -8,7 +8,9 @@ from dataclasses import replace
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
+from grantchron.model import ACCESS
 from grantchron.operators.batch import (
+    RELATED,
     after_cursor,
     by_position,
     identity,
@@ -17,7 +19,7 @@ from grantchron.operators.batch import (
     relate_events,
     stage,
 )
-from grantchron.operators.scd import scd1_merge, scd2_merge
+from grantchron.operators.scd import access_changes, scd1_merge, scd2_merge
 from grantchron.plans.store import Commit, GoldStore, new_batch
 
 # A batch is broadcast if it has no more keys and no more bytes of staged Parquet than these.
@@ -35,6 +37,8 @@ def run_merge(
     stream: str | None = None,
     batch_id: int | None = None,
     hot_limit: int | None = None,
+    changes: str = "record",
+    access=ACCESS,
 ) -> Commit:
     """Bring gold up to date with bronze; without new events, change nothing.
 
@@ -42,8 +46,12 @@ def run_merge(
     micro-batch: all of it is new, unless the store has taken the batch already or, where
     gold was also fed by others, the event itself. Otherwise rows beyond the stored cursor
     are new, and rows without a position that were not seen before.
+
+    changes="access" starts a period only where one of the `access` columns changes (E4), within a
+    batch and from one to the next; "record" does so at each event. A store keeps to one of them.
     """
     spec, before = store.spec, store.latest()
+    _agree(before, changes, prerevoked)
     source = CURSOR if batch_id is None else stream
     if batch_id is None:
         placed, unplaced = by_position(bronze, spec)
@@ -61,7 +69,8 @@ def run_merge(
 
     batch = new_batch(before.version + 1)
     streams = {**before.streams, source: before.version if batch_id is None else batch_id}
-    staged = _write_staged(store, events, batch, mode, hot_limit)
+    tracked = access if changes == "access" else ()
+    staged = _write_staged(store, events, batch, mode, hot_limit, tracked)
     related = staged.filter("reason IS NULL")
     summary = staged.agg(
         F.max(F.when(F.col("reason").isNull(), F.struct(*spec.cursor))).alias("reached"),
@@ -74,7 +83,7 @@ def run_merge(
     writes = [(store.write_taken, named)]
     taken, quarantine = [*before.taken, batch], list(before.quarantine)
     if summary["unfit"]:
-        unfit = staged.filter("reason IS NOT NULL").drop("digest", *_RELATED)
+        unfit = staged.filter("reason IS NOT NULL").drop("digest", "bucket", *RELATED)
         writes.append((store.write_quarantine, unfit))
         quarantine.append(batch)
     if summary["reached"] is None:  # nothing to merge
@@ -94,7 +103,10 @@ def run_merge(
     few_keys = summary["keys"] <= BROADCAST_KEYS and store.bytes_staged(batch) <= BROADCAST_BYTES
     open_rows = store.open_periods(before, touched, with_pending=True)
     current = store.current(before, touched)
-    writes.append((store.write_history, scd2_merge(open_rows, related, spec, prerevoked, few_keys)))
+    starting = related
+    if changes == "access":
+        starting = access_changes(related, open_rows, spec, access, few_keys, hot_limit)
+    writes.append((store.write_history, scd2_merge(open_rows, starting, spec, prerevoked, few_keys)))
     writes.append((store.write_current, scd1_merge(current, related, spec, few_keys)))
     _write_together(store, writes, batch)
     commit = Commit(
@@ -106,14 +118,20 @@ def run_merge(
         current={**before.current, **dict.fromkeys(touched, batch)},
         quarantine=quarantine,
         taken=taken,
+        changes=changes,
     )
     store.publish(commit)
     store.drop_staged(batch)
     return commit
 
 
-# What relate_events and the staging add to the columns of a batch.
-_RELATED = ("is_first", "is_last", "next_ts", "next_op", "origin", "had_delete", "bucket")
+def _agree(before: Commit, changes: str, prerevoked: str) -> None:
+    if changes not in ("record", "access"):
+        raise ValueError(f"changes must be 'record' or 'access', not {changes!r}")
+    if changes == "access" and prerevoked != "open":
+        raise ValueError("changes='access' needs prerevoked='open': rows that ended on arrival are not open")
+    if before.closed and before.changes != changes:
+        raise ValueError(f"the store's periods are those of {before.changes} changes")
 
 
 def _write_together(store: GoldStore, writes: list, batch: str) -> None:
@@ -126,7 +144,7 @@ def _write_together(store: GoldStore, writes: list, batch: str) -> None:
 
 
 def _write_staged(
-    store: GoldStore, events: DataFrame, batch: str, mode: str, hot_limit: int | None
+    store: GoldStore, events: DataFrame, batch: str, mode: str, hot_limit: int | None, tracked=()
 ) -> DataFrame:
     """M5: the batch as every later step reads it, events unfit to merge set apart.
 
@@ -137,11 +155,11 @@ def _write_staged(
     rows = judged(stage(identity(events, spec), spec, keep=["digest"]), spec)
     fit = F.col("reason") == ""
     if mode == "latest":  # which keeps one event of a key, but every unfit one
-        related = relate_events(rows.filter(fit), spec, mode, hot_limit)
+        related = relate_events(rows.filter(fit), spec, mode, hot_limit, tracked=tracked)
         rows = related.unionByName(rows.filter(~fit), allowMissingColumns=True)
     else:  # in one pass over the batch: unfit events are related among themselves, to no use
         apart = replace(spec, key=(*spec.key, "fit"))
-        rows = relate_events(rows.withColumn("fit", fit), apart, mode, hot_limit).drop("fit")
+        rows = relate_events(rows.withColumn("fit", fit), apart, mode, hot_limit, tracked=tracked).drop("fit")
     rows = rows.withColumns(
         {
             "bucket": F.when(fit, store.bucket()),

@@ -497,4 +497,5 @@ WHERE p IS DISTINCT FROM o_orderstatus WINDOW w AS (PARTITION BY o_custkey ORDER
         "SELECT op, record_changed, access_changed, count(*) AS events FROM classified GROUP BY ALL",
     ),
     "access_change_history": _with(_CHANGED, "SELECT * FROM hist"),
+    "access_change_two_batches": _with(_CHANGED, "SELECT * FROM hist"),
 }

@@ -969,3 +969,13 @@ def access_change_history(spark: SparkSession, sf: str) -> DataFrame:
     access = ["user_id", "role_id", "resource_id", "revoked_at", "is_deleted"]
     changed = dims.changed_only(staged, GRANTS.key, GRANTS.order, ["closes_access", *access])
     return scd.opened_periods(batch.relate_events(changed))
+
+
+@query
+def access_change_two_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in two stored runs, whose second compares with what the first left open."""
+    store, path = GoldStore(spark, scratch_path(spark, "gold")), scratch_path(spark, "bronze")
+    for part in _halves(event_log(spark, sf)):
+        bronze.append_bronze(part, path)
+        run_merge(store, bronze.read_bronze(spark, path, EVENT_LOG), changes="access")
+    return store.history().drop("end_day")

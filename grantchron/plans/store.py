@@ -52,6 +52,7 @@ class Commit:
     current: dict[str, str] = field(default_factory=dict)  # bucket -> batch holding it
     quarantine: list[str] = field(default_factory=list)
     taken: list[str] = field(default_factory=list)  # batches whose events are known by identity
+    changes: str = "record"  # what starts a period: a change of the record, or of access only
 
 
 class GoldStore:

@@ -12,7 +12,7 @@ EAGER = {
     "merge_runs_in_store", "stream_merge_equals_batch", "idempotency_diff", "bronze_immutable",
     "prerevoked_two_merges", "seed_then_stream", "stream_new_checkpoint", "cursor_table",
     "routed_by_table", "completeness_gate", "named_history", "named_state", "named_active",
-    "named_cursor", "schema_inventory",
+    "named_cursor", "schema_inventory", "access_change_two_batches",
 }
 
 

@@ -6,8 +6,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from grantchron.operators import batch, ordered as ordered_runs, scd, temporal
+from grantchron.model import ACCESS
+from grantchron.operators import batch, dims, ordered as ordered_runs, scd, temporal
 from grantchron.operators.ordered import OrderedRuns
+from grantchron.session import materialize
 from test_semantics import COLUMNS, T0, log, ns
 
 KEYS, LOGS = 5, 120
@@ -178,3 +180,34 @@ def test_number_of_ranges_is_bounded(spark, monkeypatch):
 
 def test_columns_of_random_logs_are_those_of_the_schema():
     assert len(random_log(random.Random(1), 0)[0]) == len(COLUMNS.split(","))
+
+
+@pytest.mark.parametrize("seed, few_keys, hot_limit", [(1, False, None), (2, True, None), (3, True, 4)])
+def test_access_changes_do_not_depend_on_the_split(spark, logs, seed, few_keys, hot_limit):
+    whole = [e for events in logs for e in events]
+    staged = batch.stage(log(spark, *whole))
+    changed = dims.changed_only(staged, ["grant_id"], ["__source_ts_ns", "event_id"], ["closes_access", *ACCESS])
+    expected = ordered(scd.opened_periods(batch.relate_events(changed)).select(HISTORY).collect())
+    rng = random.Random(seed)
+    parts = [[], [], [], []]
+    for events in logs:
+        events = sorted(events, key=lambda e: (e[10], e[0]))
+        cuts = [0, *sorted(rng.randint(0, len(events)) for _ in range(3)), len(events)]
+        for part, low, high in zip(parts, cuts, cuts[1:]):
+            part += events[low:high]
+    closed, open_rows = None, None
+    for part in parts:
+        events = batch.relate_events(batch.stage(log(spark, *part)), hot_limit=hot_limit, tracked=ACCESS)
+        events = scd.access_changes(events, open_rows, few_keys=few_keys, hot_limit=hot_limit)
+        # Written, as in a store: plans of four merges in one would grow.
+        merged = materialize(scd.scd2_merge(open_rows, events, few_keys=few_keys), "merged")
+        ended = merged.filter("NOT is_current")
+        closed = ended if closed is None else closed.unionByName(ended)
+        open_rows = merged.filter("is_current")
+    assert ordered(closed.unionByName(open_rows).select(HISTORY).collect()) == expected
+
+
+def test_access_must_be_in_the_history(spark, logs):
+    events = batch.relate_events(batch.stage(log(spark, *logs[0])), tracked=("updated_at",))
+    with pytest.raises(ValueError, match="updated_at"):
+        scd.access_changes(events, None, access=("updated_at",))

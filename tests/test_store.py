@@ -19,7 +19,7 @@ from grantchron.plans import catalog
 from grantchron.plans.merge import run_merge
 from grantchron.plans.store import Commit, CommitConflict, GoldStore
 from grantchron.sources import bronze
-from test_semantics import event, log
+from test_semantics import day, event, log
 
 
 def content(store):
@@ -236,3 +236,27 @@ def test_a_store_needs_an_exclusive_rename(spark, folder, monkeypatch):
     monkeypatch.setattr(stores, "ATOMIC_RENAME", ("hdfs",))
     with pytest.raises(ValueError, match="exclusive rename"):
         run_merge(GoldStore(spark, folder + "/gold"), story.bronze(spark))
+
+
+def test_access_only_periods_over_merges(spark, folder):
+    store = GoldStore(spark, folder + "/gold", buckets=2)
+    merges = (
+        [event(1, "c", 0), event(2, "u", 1, granted=day(-3))],
+        [event(3, "u", 2, granted=day(-4)), event(4, "u", 3, role=2)],  # as before; then another role
+        [event(5, "u", 4, role=2, revoked=day(4))],
+        [event(6, "u", 5, role=2, revoked=day(4)), event(7, "d", 6)],  # nothing is open
+        [event(8, "c", 7, role=2)],
+        [event(9, "u", 8, role=2)],
+    )
+    done = []
+    for more in merges:
+        done += more
+        run_merge(store, log(spark, *done), changes="access")
+    found = sorted((r["effective_start"], r["effective_end"]) for r in store.history().collect())
+    assert [f[:1] + f[1:] for f in found[:2]] == [(day(0), day(3)), (day(3), day(4))]
+    assert found[2] == (day(7), None) and len(found) == 3
+    assert [r["granted_at"] for r in store.current().collect()] == [day(0)] or store.current().count() == 1
+    with pytest.raises(ValueError, match="access changes"):
+        run_merge(store, log(spark, *done, event(10, "d", 9)))
+    with pytest.raises(ValueError, match="prerevoked"):
+        run_merge(store, log(spark, *done), changes="access", prerevoked="closed")
