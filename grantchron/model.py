@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -109,3 +109,43 @@ class ChangeSpec:
 
 
 GRANTS = ChangeSpec()
+
+
+@dataclass(frozen=True)
+class Dimension:
+    """A table of the versions of what a column of the log names: the key first, then attributes."""
+
+    name: str
+    schema: T.StructType
+    surrogate: str
+
+    @property
+    def key(self) -> str:
+        return self.schema.names[0]
+
+    @property
+    def attributes(self) -> tuple[str, ...]:
+        return tuple(self.schema.names[1:])
+
+    @property
+    def stored(self) -> T.StructType:
+        """The key of the key, which stays, and a period for each version."""
+        return T.StructType(
+            [
+                T.StructField(self.surrogate, _L),
+                *self.schema.fields,
+                *_struct(effective_start=_N, effective_end=_N, is_current=_B).fields,
+            ]
+        )
+
+    def spec(self, log: ChangeSpec = GRANTS) -> ChangeSpec:
+        """The log's events as those of this dimension."""
+        own = self.attributes
+        return replace(log, key=(self.key,), attributes=own, updated=own, versioned=own)
+
+
+GRANT_DIMENSIONS = (
+    Dimension("dim_user", DIM_USER_SCHEMA, "user_sk"),
+    Dimension("dim_role", DIM_ROLE_SCHEMA, "role_sk"),
+    Dimension("dim_resource", DIM_RESOURCE_SCHEMA, "resource_sk"),
+)

@@ -22,7 +22,7 @@ EXPECTED = (*TABLES, model.ACTIVE_VIEW)
 
 
 def publish_tables(store: GoldStore, database: str = "iam") -> None:
-    """M1-M4 by name, for any session of the catalog: what the store's newest version holds.
+    """M1-M4, E3 by name, for any session of the catalog: what the store's newest version holds.
 
     Views over the store's files, to be published again after a merge. A table of the same
     name that create_star_schema made, and nothing filled, gives way.
@@ -69,6 +69,18 @@ def publish_tables(store: GoldStore, database: str = "iam") -> None:
         model.ACTIVE_VIEW,
         f"SELECT * FROM {database}.{model.FACT_TABLE} WHERE {ACTIVE}",
     )
+    for dim in store.dimensions:
+        state = commit.dims.get(dim.name)
+        if state is None:
+            view(dim.name, none(dim.stored))
+            continue
+        taken = ", ".join(f"'{b}'" for b in state["closed"])
+        where = (
+            f"(is_current = 'true' AND {live(state['open'])}) "
+            f"OR (is_current = 'false' AND batch IN ({taken}))"
+        )
+        columns = ["effective_end IS NULL AS is_current" if c == "is_current" else c for c in dim.stored.names]
+        view(dim.name, stored(f"dims/{dim.name}", columns, where))
     cursor = commit.cursor
     view(
         model.WATERMARK_TABLE,

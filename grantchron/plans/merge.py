@@ -6,9 +6,9 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from grantchron.model import ACCESS
+from grantchron.model import ACCESS, Dimension
 from grantchron.operators.batch import (
     RELATED,
     after_cursor,
@@ -20,6 +20,7 @@ from grantchron.operators.batch import (
     stage,
 )
 from grantchron.operators.scd import access_changes, scd1_merge, scd2_merge
+from grantchron.plans import dimensions
 from grantchron.plans.store import Commit, GoldStore, new_batch
 
 # A batch is broadcast if it has no more keys and no more bytes of staged Parquet than these.
@@ -77,6 +78,7 @@ def run_merge(
         F.count("reason").alias("unfit"),
         F.collect_set("bucket").alias("touched"),  # at most store.buckets values
         F.count_if("is_first").alias("keys"),
+        *[F.collect_set(_bucket_of(store, dim)).alias(dim.name) for dim in store.dimensions],
     ).first()
     # Mode "latest" stages one event of a key, but has taken all.
     named = identity(events, spec) if mode == "latest" else staged
@@ -108,6 +110,15 @@ def run_merge(
         starting = access_changes(related, open_rows, spec, access, few_keys, hot_limit)
     writes.append((store.write_history, scd2_merge(open_rows, starting, spec, prerevoked, few_keys)))
     writes.append((store.write_current, scd1_merge(current, related, spec, few_keys)))
+    dims = dict(before.dims)
+    loads = [
+        (dimensions.load, store, before, dim, related, batch, summary[dim.name], hot_limit)
+        for dim in store.dimensions
+    ]
+    for dim, found in zip(store.dimensions, _together(store, loads), strict=True):
+        if found:
+            write, versions, dims[dim.name] = found
+            writes.append((write, versions))
     _write_together(store, writes, batch)
     commit = Commit(
         version=before.version + 1,
@@ -119,12 +130,18 @@ def run_merge(
         quarantine=quarantine,
         taken=taken,
         changes=changes,
+        dims=dims,
     )
     store.publish(commit)
     store.drop_staged(batch)
     return commit
 
 
+def _bucket_of(store: GoldStore, dim: Dimension) -> Column:
+    """The bucket of the key that a fit event names, if it names one."""
+    return F.when(F.col("reason").isNull() & F.col(dim.key).isNotNull(), store.bucket(dim.key))
+
+
 def _agree(before: Commit, changes: str, prerevoked: str) -> None:
     if changes not in ("record", "access"):
         raise ValueError(f"changes must be 'record' or 'access', not {changes!r}")
@@ -136,11 +153,17 @@ def _agree(before: Commit, changes: str, prerevoked: str) -> None:
 
 def _write_together(store: GoldStore, writes: list, batch: str) -> None:
     """None of the writes needs another; all end before the commit."""
+    _together(store, [(write, rows, batch) for write, rows in writes])
+
+
+def _together(store: GoldStore, calls: list[tuple]) -> list:
+    """The results of calls (function, *arguments) that do not need each other."""
+    if not calls:
+        return []
     inherit = inheritable_thread_target(store.spark)
-    with ThreadPoolExecutor(len(writes)) as writers:
-        written = [writers.submit(inherit(write), rows, batch) for write, rows in writes]
-    for write in written:
-        write.result()
+    with ThreadPoolExecutor(len(calls)) as workers:
+        running = [workers.submit(inherit(call), *arguments) for call, *arguments in calls]
+    return [r.result() for r in running]
 
 
 def _write_staged(
@@ -152,7 +175,8 @@ def _write_staged(
     tables are derived from the same rows even if the source has grown meanwhile.
     """
     spec = store.spec
-    rows = judged(stage(identity(events, spec), spec, keep=["digest"]), spec)
+    named = [c for dim in store.dimensions for c in dim.schema.names if c not in spec.fact_columns]
+    rows = judged(stage(identity(events, spec), spec, keep=["digest", *dict.fromkeys(named)]), spec)
     fit = F.col("reason") == ""
     if mode == "latest":  # which keeps one event of a key, but every unfit one
         related = relate_events(rows.filter(fit), spec, mode, hot_limit, tracked=tracked)

@@ -95,6 +95,36 @@ changes AS (
        IS DISTINCT FROM (n.user_id, n.role_id, n.resource_id, n.granted_at, n.updated_at, n.is_deleted)
     OR o.revoked_at IS DISTINCT FROM n.revoked_at)"""
 
+
+
+def _versions(key: str, name: str, attributes: str, changed: str) -> str:
+    """CTEs: versions of a dimension; keys are numbered by the half of the log that they first occur in."""
+    return f"""
+told AS (
+  SELECT {key}, {attributes}, business_ts, __source_ts_ns, event_id,
+    lag({changed}) OVER w AS before, row_number() OVER w AS rn
+  FROM staged WHERE {key} IS NOT NULL WINDOW w AS (PARTITION BY {key} ORDER BY __source_ts_ns, event_id)),
+keys AS (
+  SELECT {key}, row_number() OVER (ORDER BY min(__source_ts_ns) >= {_SPLIT}, {key}) AS {name}_sk
+  FROM told GROUP BY {key}),
+versions AS (
+  SELECT {name}_sk, t.{key}, {attributes}, business_ts AS effective_start, lead(business_ts) OVER w AS effective_end,
+    lead(event_id) OVER w IS NULL AS is_current
+  FROM told t JOIN keys k ON t.{key} = k.{key}
+  WHERE rn = 1 OR {changed} IS DISTINCT FROM before
+  WINDOW w AS (PARTITION BY t.{key} ORDER BY __source_ts_ns, event_id))"""
+
+
+_NAMED = _STAGED.replace(
+    "SELECT *, CASE",
+    """SELECT *, 'user ' || user_id AS user_name, 'u' || user_id || '@d' || event_id // 50 % 3 || '.example' AS user_email,
+    'role ' || role_id AS role_name,
+    CASE WHEN role_id IS NOT NULL THEN CASE WHEN event_id < 500 THEN 'early' ELSE 'late' END END AS role_category,
+    CASE""",
+)
+_USERS = _NAMED + "," + _versions("user_id", "user", "user_name, user_email", "user_email")
+_ROLES = _NAMED + "," + _versions("role_id", "role", "role_name, role_category", "role_category")
+
 # orders as a change log
 _ORDERS = """
 olog AS (
@@ -498,4 +528,12 @@ WHERE p IS DISTINCT FROM o_orderstatus WINDOW w AS (PARTITION BY o_custkey ORDER
     ),
     "access_change_history": _with(_CHANGED, "SELECT * FROM hist"),
     "access_change_two_batches": _with(_CHANGED, "SELECT * FROM hist"),
+    "dim_user_in_schema": _with(_USERS, "SELECT * FROM versions"),
+    "dim_role_in_schema": _with(_ROLES, "SELECT * FROM versions"),
+    "history_with_user": _with(
+        _USERS + "," + _periods("staged", "hist"),
+        """SELECT h.grant_id, h.role_id, h.effective_start, v.user_id, user_sk, user_name, user_email
+FROM hist h JOIN versions v ON h.user_id = v.user_id AND v.effective_start <= h.effective_start
+  AND (v.effective_end IS NULL OR v.effective_end > h.effective_start)""",
+    ),
 }

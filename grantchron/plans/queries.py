@@ -9,14 +9,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantchron.functions.times import covers, ntz
-from grantchron.model import ACTIVE_VIEW, FACT_TABLE, GRANTS, HISTORY_TABLE, WATERMARK_TABLE
+from grantchron.model import ACTIVE_VIEW, FACT_TABLE, GRANT_DIMENSIONS, GRANTS, HISTORY_TABLE, WATERMARK_TABLE
 from grantchron.operators import batch, checks, dims, scd, temporal
 from grantchron.operators.ordered import OrderedRuns
-from grantchron.plans import catalog
+from grantchron.plans import catalog, dimensions
 from grantchron.plans.merge import run_merge
 from grantchron.plans.store import GoldStore
-from grantchron.plans.testdata import DB, EVENT_LOG, EVENT_ROW, ORDERS, TABLE
-from grantchron.plans.testdata import event_log, order_log, table
+from grantchron.plans.testdata import DB, EVENT_LOG, EVENT_ROW, NAMED_LOG, ORDERS, TABLE
+from grantchron.plans.testdata import event_log, named_log, order_log, table
 from grantchron.session import materialize, scratch_path
 from grantchron.sources import bronze, cdc, snapshots
 from grantchron.streaming import streams
@@ -979,3 +979,42 @@ def access_change_two_batches(spark: SparkSession, sf: str) -> DataFrame:
         bronze.append_bronze(part, path)
         run_merge(store, bronze.read_bronze(spark, path, EVENT_LOG), changes="access")
     return store.history().drop("end_day")
+
+
+def _two_loads(spark: SparkSession, sf: str) -> GoldStore:
+    """Facts and dimensions from the two halves of the log with names."""
+    path = scratch_path(spark, "bronze")
+    store = GoldStore(spark, scratch_path(spark, "gold"), dimensions=GRANT_DIMENSIONS)
+    for part in _halves(named_log(spark, sf)):
+        bronze.append_bronze(part, path)
+        run_merge(store, bronze.read_bronze(spark, path, NAMED_LOG))
+    return store
+
+
+def _dimension_by_name(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    database = f"iam_{uuid.uuid4().hex}"
+    catalog.publish_tables(_two_loads(spark, sf), database)
+    return spark.newSession().sql(f"SELECT * FROM {database}.{name}")
+
+
+@query
+def dim_user_in_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions of users from two merges, by name."""
+    return _dimension_by_name(spark, sf, "dim_user")
+
+
+@query
+def dim_role_in_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions of roles from two merges, by name; all roles are known from the first."""
+    return _dimension_by_name(spark, sf, "dim_role")
+
+
+@query
+def history_with_user(spark: SparkSession, sf: str) -> DataFrame:
+    """Periods with what was known of their user when they started."""
+    store = _two_loads(spark, sf)
+    user = GRANT_DIMENSIONS[0]
+    facts = store.history().select("grant_id", "user_id", "role_id", "effective_start")
+    return dimensions.described(facts, store.dimension(user), user).select(
+        "grant_id", "role_id", "effective_start", "user_id", "user_sk", "user_name", "user_email"
+    )

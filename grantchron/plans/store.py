@@ -6,6 +6,7 @@ record. Readers follow the newest record, so they see a whole merge or none of i
   history/batch=B/is_current=false/slot=<day of effective_end>     added to only
   history/batch=B/is_current=true/slot=<bucket of the key>         replaced per bucket
   current/batch=B/slot=<bucket of the key>                         replaced per bucket
+  dims/<name>/...                                                  versions, as history
   quarantine/batch=B
   taken/batch=B/capture_day=D                                      who was merged
   _commits/<version>.json
@@ -30,6 +31,7 @@ from grantchron.model import (
     HISTORY_TABLE,
     WATERMARK_SCHEMA,
     ChangeSpec,
+    Dimension,
 )
 from grantchron.operators.batch import identity_columns
 
@@ -53,6 +55,8 @@ class Commit:
     quarantine: list[str] = field(default_factory=list)
     taken: list[str] = field(default_factory=list)  # batches whose events are known by identity
     changes: str = "record"  # what starts a period: a change of the record, or of access only
+    # Of each dimension the batches with closed versions, bucket -> batch with open ones, and keys given.
+    dims: dict[str, dict] = field(default_factory=dict)
 
 
 class GoldStore:
@@ -64,15 +68,19 @@ class GoldStore:
         buckets: int = 8,
         fact_schema: T.StructType = FACT_SCHEMA,
         history_schema: T.StructType = HISTORY_SCHEMA,
+        dimensions: tuple[Dimension, ...] = (),
     ):
-        """buckets: fixed for the life of the store; about live rows / 1-2 million."""
+        """buckets: fixed for the life of the store; about live rows / 1-2 million.
+
+        dimensions are loaded by the same merges; bronze must have their columns.
+        """
         self.spark, self.path, self.spec, self.buckets = spark, path.rstrip("/"), spec, buckets
         self.fact_schema, self.history_schema = fact_schema, history_schema
+        self.dimensions = tuple(dimensions)
 
     def with_session(self, spark: SparkSession) -> "GoldStore":
-        return GoldStore(
-            spark, self.path, self.spec, self.buckets, self.fact_schema, self.history_schema
-        )
+        schemas = self.fact_schema, self.history_schema, self.dimensions
+        return GoldStore(spark, self.path, self.spec, self.buckets, *schemas)
 
     # -- commit records ------------------------------------------------------------
 
@@ -187,6 +195,19 @@ class GoldStore:
             now.withColumn("end_day", F.col("effective_end").cast("date"))
         )
 
+    def open_versions(self, dim: Dimension, commit: Commit, buckets=None) -> DataFrame:
+        slots = _pick(commit.dims.get(dim.name, {}).get("open", {}), buckets)
+        rows = self._read(f"dims/{dim.name}", dim.stored, sorted(set(slots.values())), _PERIOD)
+        return rows.filter(F.col("is_current") & self._live(slots)).select(*dim.stored.names)
+
+    def dimension(self, dim: Dimension, commit: Commit | None = None) -> DataFrame:
+        """All versions, each with its surrogate key."""
+        commit = commit or self.latest()
+        closed = commit.dims.get(dim.name, {}).get("closed", [])
+        rows = self._read(f"dims/{dim.name}", dim.stored, closed, _PERIOD)
+        ended = rows.filter(~F.col("is_current")).select(*dim.stored.names)
+        return ended.unionByName(self.open_versions(dim, commit))
+
     def quarantine(self, commit: Commit | None = None) -> DataFrame | None:
         commit = commit or self.latest()
         paths = [f"{self.path}/quarantine/batch={b}" for b in commit.quarantine]
@@ -226,18 +247,24 @@ class GoldStore:
 
     # -- writing -------------------------------------------------------------------
 
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.spec.key), F.lit(self.buckets)).cast("string")
+    def bucket(self, *key: str) -> Column:
+        return F.pmod(F.xxhash64(*(key or self.spec.key)), F.lit(self.buckets)).cast("string")
 
     def write_history(self, rows: DataFrame, batch: str) -> None:
-        """Rows are gathered by folder, and sorted so that row groups can be skipped by start."""
-        day = F.date_format(F.col("effective_end"), "yyyy-MM-dd")
         if "pending" in rows.columns:
             rows = rows.withColumn("is_current", F.col("is_current") | F.col("pending")).drop("pending")
-        placed = rows.withColumn("slot", F.when(F.col("is_current"), self.bucket()).otherwise(day))
+        self._write_periods(rows, f"history/batch={batch}", self.bucket())
+
+    def write_dimension(self, dim: Dimension, rows: DataFrame, batch: str) -> None:
+        self._write_periods(rows, f"dims/{dim.name}/batch={batch}", self.bucket(dim.key))
+
+    def _write_periods(self, rows: DataFrame, folder: str, bucket: Column) -> None:
+        """Rows are gathered by folder, and sorted so that row groups can be skipped by start."""
+        day = F.date_format(F.col("effective_end"), "yyyy-MM-dd")
+        placed = rows.withColumn("slot", F.when(F.col("is_current"), bucket).otherwise(day))
         placed.hint("rebalance", F.col("is_current"), F.col("slot")).sortWithinPartitions(
             "is_current", "slot", "effective_start", "effective_end"
-        ).write.partitionBy("is_current", "slot").parquet(f"{self.path}/history/batch={batch}")
+        ).write.partitionBy("is_current", "slot").parquet(f"{self.path}/{folder}")
 
     def write_current(self, rows: DataFrame, batch: str) -> None:
         placed = rows.withColumn("slot", self.bucket())
@@ -271,18 +298,22 @@ class GoldStore:
         jvm, _, fs, _ = self._hadoop()
         kept = self.commits(keep_versions)
         newest = max((c.version for c in kept), default=0)
-        closed = {b for c in kept for b in c.closed}
-        opened = {b for c in kept for b in c.open.values()}
+        periods = {"history": ({b for c in kept for b in c.closed}, {b for c in kept for b in c.open.values()})}
+        for name in {n for c in kept for n in c.dims}:
+            states = [c.dims[name] for c in kept if name in c.dims]
+            closed, opened = ({b for s in states for b in s["closed"]}, {b for s in states for b in s["open"].values()})
+            periods[f"dims/{name}"] = closed, opened
         current = {b for c in kept for b in c.current.values()}
         taken = {b for c in kept for b in c.taken}
         unused = [f"_staging/{n}" for n in self._batches("_staging", newest)]
         unused += [f"current/{n}" for n in self._batches("current", newest) if n[6:] not in current]
         unused += [f"taken/{n}" for n in self._batches("taken", newest) if n[6:] not in taken]
-        for name in self._batches("history", newest):
-            if name[6:] not in closed | opened:
-                unused.append(f"history/{name}")
-            elif name[6:] not in opened:
-                unused.append(f"history/{name}/is_current=true")
+        for table, (closed, opened) in periods.items():
+            for name in self._batches(table, newest):
+                if name[6:] not in closed | opened:
+                    unused.append(f"{table}/{name}")
+                elif name[6:] not in opened:
+                    unused.append(f"{table}/{name}/is_current=true")
         paths = [jvm.org.apache.hadoop.fs.Path(f"{self.path}/{u}") for u in unused]
         return sum(fs.exists(p) and fs.delete(p, True) for p in paths)
 
@@ -293,10 +324,11 @@ class GoldStore:
 
     def drop_staged(self, batch: str) -> None:
         jvm, folder, fs, _ = self._hadoop()
-        fs.delete(jvm.org.apache.hadoop.fs.Path(self.staged(batch)), True)
+        for part in ("", *(dim.name for dim in self.dimensions)):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self.staged(batch, part)), True)
 
-    def staged(self, batch: str) -> str:
-        return f"{self.path}/_staging/batch={batch}"
+    def staged(self, batch: str, part: str = "") -> str:
+        return f"{self.path}/_staging/batch={batch}{part and '-'}{part}"
 
     def reset(self) -> None:
         """M6: drop everything the store holds."""

@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from grantchron.functions.times import capture_ns
-from grantchron.model import GRANTS, ChangeSpec
+from grantchron.model import (
+    DIM_RESOURCE_SCHEMA,
+    DIM_ROLE_SCHEMA,
+    DIM_USER_SCHEMA,
+    GRANTS,
+    ChangeSpec,
+)
 from grantchron.operators.ordered import OrderedRuns
 from grantchron.session import materialize, use_utc
 
@@ -94,6 +100,30 @@ def event_log(spark: SparkSession, sf: str, hot_limit: int | None = None) -> Dat
     return materialize(log, "event-log") if runs.split else log
 
 
+#: What named_log adds to the log: names of users, roles and resources.
+NAMED_LOG = T.StructType(
+    EVENT_LOG.fields
+    + [f for schema in (DIM_USER_SCHEMA, DIM_ROLE_SCHEMA, DIM_RESOURCE_SCHEMA) for f in schema.fields[1:]]
+)
+
+
+def named_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The log with names; a user's address changes now and then, a role's category once."""
+    said, number = "CAST({} AS string)", F.col("event_id")
+    user, role, resource = (F.expr(said.format(c)) for c in ("user_id", "role_id", "resource_id"))
+    moved = F.floor(number / 50) % 3
+    return event_log(spark, sf).withColumns(
+        {
+            "user_name": F.concat(F.lit("user "), user),
+            "user_email": F.concat(F.lit("u"), user, F.lit("@d"), moved.cast("string"), F.lit(".example")),
+            "role_name": F.concat(F.lit("role "), role),
+            "role_category": F.when(role.isNotNull(), F.when(number < 500, "early").otherwise("late")),
+            "resource_name": F.concat(F.lit("resource "), resource),
+            "resource_type": F.when(F.col("resource_id") % 2 == 0, "database"),
+        }
+    ).select(*NAMED_LOG.names)
+
+
 def order_log(spark: SparkSession, sf: str, hot_limit: int | None = None) -> DataFrame:
     """orders as a log whose arrival order is not its time order."""
     orders = table(spark, sf, "orders").select(

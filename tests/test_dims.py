@@ -1,8 +1,17 @@
 """Dimensions and record-versus-access changes."""
 
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
 import narrative as story
+from grantchron.model import GRANT_DIMENSIONS
 from grantchron.operators import batch, dims, scd
-from test_semantics import day, event, log
+from grantchron.plans import catalog, dimensions
+from grantchron.plans.merge import run_merge
+from grantchron.plans.store import GoldStore
+from test_semantics import day, event, log, ns
 
 
 def test_latest_dimension_from_bronze(spark):
@@ -48,3 +57,105 @@ def test_record_change_is_not_access_change(spark):
     history = scd.opened_periods(batch.relate_events(changed))
     ends = sorted((r["effective_start"], r["effective_end"]) for r in history.collect())
     assert ends == [(day(0), day(2)), (day(2), day(4))]
+
+
+def _grants(spark, folder, **options):
+    return GoldStore(spark, folder, buckets=3, dimensions=GRANT_DIMENSIONS, **options)
+
+
+def _versions(store, dim):
+    return sorted((tuple(r) for r in store.dimension(dim).collect()), key=repr)
+
+
+def test_dimensions_of_the_story(spark, folder):
+    store = _grants(spark, folder + "/gold")
+    for last in (4, 6, 10):
+        run_merge(store, story.bronze(spark, range(1, last)))
+    user, role, resource = GRANT_DIMENSIONS
+    users = store.dimension(user).collect()
+    assert {r["user_id"]: r["user_name"] for r in users} == story.USERS
+    assert all(r["is_current"] and r["effective_end"] is None for r in users)
+    assert sorted(r["user_sk"] for r in users) == [1, 2, 3, 4, 5]
+    assert {r["user_id"]: r["user_sk"] for r in users}[101] == 1  # of the first merge
+    assert store.dimension(role).count() == 3 and store.dimension(resource).count() == 6
+    found = dimensions.described(store.history(), store.dimension(user), user).collect()
+    assert len(found) == 6 and all(r["user_name"] == story.USERS[r["user_id"]] for r in found)
+
+
+def test_loads_in_any_split_equal_one_pass(spark, folder):
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        user = rng.choice([1, 1, 1, 2, 3, 40, 50, None])
+        name, mail = rng.choice(["a", "b", None]), rng.choice(["x", "x", "x", "y"])
+        op = "d" if user is None else rng.choice("ru")
+        when = day(rng.randint(0, 30)) if op != "d" else None
+        rows.append((i, i % 9, user, name, mail, None, None, when, when, False, op, ns(i)))
+    columns = "event_id long, grant_id long, user_id long, user_name string, user_email string, role_id long, " \
+        "resource_id long, granted_at timestamp_ntz, updated_at timestamp_ntz, is_deleted boolean, " \
+        "__op string, __source_ts_ns long"
+    log = spark.createDataFrame(rows, columns).withColumn("revoked_at", F.lit(None).cast("timestamp_ntz"))
+    user = GRANT_DIMENSIONS[0]
+    told = log.filter("user_id IS NOT NULL")
+    expected = dims.attribute_history(
+        told, "user_id", ["__source_ts_ns", "event_id"], ["user_name", "user_email"], "updated_at"
+    )
+    wanted = sorted((tuple(r) for r in expected.collect()), key=repr)
+    keys = []
+    for n, (cuts, hot) in enumerate((([300], None), ([40, 41, 200, 300], None), ([150, 300], 5))):
+        store = GoldStore(spark, f"{folder}/gold{n}", buckets=3, dimensions=(user,))
+        for cut in cuts:
+            run_merge(store, log.filter(F.col("event_id") < cut), hot_limit=hot)
+        found = _versions(store, user)
+        assert sorted((f[1:] for f in found), key=repr) == wanted
+        by_key = {f[1]: f[0] for f in found}
+        assert sorted(by_key.values()) == [1, 2, 3, 4, 5] and len({f[:2] for f in found}) == 5
+        keys.append(store.latest().dims["dim_user"]["keys"])
+        version = store.latest()
+        assert run_merge(store, log, hot_limit=hot) == version  # nothing new
+    assert keys == [5, 5, 5]
+    store.vacuum(keep_versions=1)
+    assert _versions(store, user) == found
+
+
+def test_dimension_and_facts_are_one_commit(spark, folder, monkeypatch):
+    store = _grants(spark, folder + "/gold")
+    run_merge(store, story.bronze(spark, range(1, 4)))
+    before, version = _versions(store, GRANT_DIMENSIONS[0]), store.latest()
+
+    def fail(self, dim, rows, batch):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(GoldStore, "write_dimension", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_merge(store, story.bronze(spark))
+    assert store.latest() == version and _versions(store, GRANT_DIMENSIONS[0]) == before
+    run_merge(store, story.bronze(spark))
+    assert store.dimension(GRANT_DIMENSIONS[0]).count() == 5 and story.history_rows(store.history()) == story.HISTORY
+
+
+def test_a_batch_that_changes_no_attribute_writes_no_version(spark, folder):
+    store = _grants(spark, folder + "/gold")
+    run_merge(store, story.bronze(spark, range(1, 4)))
+    before = store.latest().dims
+    run_merge(store, story.bronze(spark, range(1, 5)))  # a revocation
+    assert store.latest().dims == before
+
+
+def test_dimensions_by_name(spark, folder):
+    store = _grants(spark, folder + "/gold")
+    catalog.create_star_schema(spark, "iam_dims")
+    try:
+        catalog.publish_tables(store, "iam_dims")
+        assert spark.table("iam_dims.dim_user").isEmpty()
+        run_merge(store, story.bronze(spark))
+        catalog.publish_tables(store, "iam_dims")
+        asked = spark.newSession().sql(
+            "SELECT u.user_name, h.effective_start FROM iam_dims.fact_access_grant_history h "
+            "JOIN iam_dims.dim_user u ON u.user_id = h.user_id AND u.effective_start <= h.effective_start "
+            "AND (u.effective_end IS NULL OR u.effective_end > h.effective_start)"
+        )
+        assert asked.count() == 6
+    finally:
+        catalog.drop_star_schema(spark, "iam_dims")

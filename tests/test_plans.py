@@ -13,6 +13,7 @@ EAGER = {
     "prerevoked_two_merges", "seed_then_stream", "stream_new_checkpoint", "cursor_table",
     "routed_by_table", "completeness_gate", "named_history", "named_state", "named_active",
     "named_cursor", "schema_inventory", "access_change_two_batches",
+    "dim_user_in_schema", "dim_role_in_schema", "history_with_user",
 }
 
 
