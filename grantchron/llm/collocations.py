@@ -91,8 +91,11 @@ class _Words:
         array = pa.BinaryArray.from_buffers(
             pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
-        number = self.number
-        known = [number.setdefault(w, len(number) + 1) for w in array.dictionary.to_pylist()]
+        number, found = self.number, array.dictionary.to_pylist()
+        known = list(map(number.get, found))
+        for i, n in enumerate(known):
+            if n is None:
+                known[i] = number[found[i]] = len(number) + 1
         return np.array(known, np.int64)[np.asarray(array.indices)] if known else np.empty(0, np.int64)
 
 
@@ -130,8 +133,7 @@ def _count(splitters: list[Splitter], burst: int, most: int):
         for paths, row, langs in _chunks(batches, words):
             mine = langs[row]
             for lang in dict.fromkeys(langs[np.unique(row)].tolist()):
-                codes, counts = np.unique(word_trie.pack(paths[:, mine == lang]), return_counts=True)
-                trie.add(lang, codes, counts)
+                trie.add(lang, np.sort(word_trie.pack(paths[:, mine == lang])))
             if len(words.number) > word_trie.WORDS:
                 yield from spilled(1.0)
                 words = _Words()

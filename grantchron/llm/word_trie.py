@@ -1,8 +1,9 @@
 """Counts of word sequences in a HAT-trie that spills sorted runs, with numpy around it.
 
-A sequence is a path (first, second, third) of word numbers; 0 stands for no word. Under each
-first word is a hash container of (second, third); one that grows beyond `burst` entries bursts
-into a node with a container of third words for each second one. When the trie holds `most`
+A sequence is a path (first, second, third) of word numbers; 0 stands for no word. Rare first
+words share a hash container of whole paths; others have one of (second, third) each, which, if
+it grows beyond `burst` entries, bursts into a node with a container of third words for each
+second one. When the trie holds `most`
 entries, its largest subtrees leave it whole, each a sorted run, cut where prefix partitions begin.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import struct
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -39,45 +41,58 @@ class Runs(NamedTuple):
     counts: np.ndarray
 
 
-def _cut(sorted_codes: np.ndarray) -> tuple[list[int], list[int]]:
+class _Root:
+    """What one group's paths begin with: words with a subtree of their own, and all others."""
+
+    def __init__(self) -> None:
+        self.own: dict[int, Counter | Burst] = {}
+        self.mixed: Counter[int] = Counter()  # whole paths
+
+
+def _cut(sorted_codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each run of equal entries starts and ends."""
     edges = np.flatnonzero(np.diff(sorted_codes)) + 1
-    return [0, *edges.tolist()], [*edges.tolist(), len(sorted_codes)]
+    return np.concatenate([[0], edges]), np.concatenate([edges, [len(sorted_codes)]])
 
 
 class Trie:
-    def __init__(self, burst: int = 1 << 14, most: int = 1_000_000):
-        self.burst, self.most = burst, most
-        self.roots: dict[str, dict[int, dict]] = {}
+    def __init__(self, burst: int = 1 << 14, most: int = 1_000_000, own: int = 32):
+        """own: paths added at once from which a first word has a subtree and is not among others."""
+        self.burst, self.most, self.own = burst, most, own
+        self.roots: dict[str, _Root] = {}
         self.size = 0
 
-    def add(self, group: str, codes: np.ndarray, counts: np.ndarray) -> None:
-        """codes: different paths in order, packed as pack() does."""
+    def add(self, group: str, codes: np.ndarray) -> None:
+        """codes: paths in order, packed as pack() does, each as often as it occurs."""
         if not len(codes):
             return
-        root = self.roots.setdefault(group, {})
+        root = self.roots.setdefault(group, _Root())
         first = codes >> (2 * BITS)
-        suffixes, ns = (codes & _SUFFIX).tolist(), counts.tolist()
         lows, highs = _cut(first)
-        for word, low, high in zip(first[lows].tolist(), lows, highs, strict=True):
-            node = root.get(word)
-            if node is None:
-                node = root[word] = dict(zip(suffixes[low:high], ns[low:high], strict=True))
-                self.size += len(node)
-            elif type(node) is Burst:
-                for suffix, n in zip(suffixes[low:high], ns[low:high], strict=True):
-                    container = node.setdefault(suffix >> BITS, {})
-                    third = suffix & _WORD
-                    self.size += third not in container
-                    container[third] = container.get(third, 0) + n
+        words = first[lows].tolist()
+        large = (highs - lows >= self.own) | np.array(list(map(root.own.__contains__, words)), bool)
+        before = len(root.mixed)
+        root.mixed.update(codes[np.repeat(~large, highs - lows)].tolist())
+        self.size += len(root.mixed) - before
+        suffixes = codes & _SUFFIX
+        for i in np.flatnonzero(large).tolist():
+            word, mine = words[i], suffixes[lows[i] : highs[i]]
+            node = root.own.get(word)
+            if type(node) is Burst:
+                seconds = mine >> BITS
+                for low, high in zip(*(x.tolist() for x in _cut(seconds)), strict=True):
+                    container = node.setdefault(int(seconds[low]), Counter())
+                    before = len(container)
+                    container.update((mine[low:high] & _WORD).tolist())
+                    self.size += len(container) - before
                 continue
-            else:
-                before = len(node)
-                for suffix, n in zip(suffixes[low:high], ns[low:high], strict=True):
-                    node[suffix] = node.get(suffix, 0) + n
-                self.size += len(node) - before
+            if node is None:
+                node = root.own[word] = Counter()
+            before = len(node)
+            node.update(mine.tolist())
+            self.size += len(node) - before
             if len(node) > self.burst:
-                root[word] = _burst(node)
+                root.own[word] = _burst(node)
 
     def full(self) -> bool:
         return self.size > self.most
@@ -86,41 +101,40 @@ class Trie:
         """Take the largest subtrees, until this share of the entries is out: a run of each group."""
         leaves = []
         for group, root in self.roots.items():
-            for first, node in root.items():
+            leaves.append((len(root.mixed), group, 0, 0))
+            for first, node in root.own.items():
                 if type(node) is Burst:
                     leaves += [(len(c), group, first, second) for second, c in node.items()]
                 else:
                     leaves.append((len(node), group, first, 0))
         leaves.sort(key=lambda leaf: -leaf[0])
         left = self.size * (1 - share)
-        taken: dict[str, tuple[list[int], list[int], list[int], list[int]]] = {}
+        taken: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for n, group, first, second in leaves:
             if self.size <= left:
                 break
             root = self.roots[group]
-            node = root[first]
-            firsts, shifts, keys, counts = taken.setdefault(group, ([], [], [], []))
-            if type(node) is Burst:
-                container, shift = node.pop(second), second << BITS
+            if not first:
+                container, root.mixed = root.mixed, Counter()
+            elif type(node := root.own[first]) is Burst:
+                container = node.pop(second)
                 if not node:
-                    del root[first]
+                    del root.own[first]
             else:
-                container, shift = root.pop(first), 0
-            firsts += [first] * n
-            shifts += [shift] * n
-            keys += container.keys()
-            counts += container.values()
+                container = root.own.pop(first)
+            codes = np.fromiter(container.keys(), np.int64, n) + (first << 2 * BITS | second << BITS)
+            taken.setdefault(group, []).append((codes, np.fromiter(container.values(), np.int64, n)))
             self.size -= n
-        for group, (firsts, shifts, keys, counts) in taken.items():
-            suffix = np.array(keys, np.int64) + np.array(shifts, np.int64)
-            paths = np.stack([np.array(firsts, np.int64), suffix >> BITS, suffix & _WORD])
-            yield group, in_order(words, paths, np.array(counts, np.int64))
+        for group, parts in taken.items():
+            codes = np.concatenate([c for c, _ in parts])
+            paths = np.stack([codes >> 2 * BITS, codes >> BITS & _WORD, codes & _WORD])
+            yield group, in_order(words, paths, np.concatenate([n for _, n in parts]))
 
 
-def _burst(container: dict[int, int]) -> Burst:
+def _burst(container: Counter[int]) -> Burst:
     node = Burst()
     for suffix, n in container.items():
-        node.setdefault(suffix >> BITS, {})[suffix & _WORD] = n
+        node.setdefault(suffix >> BITS, Counter())[suffix & _WORD] = n
     return node
 
 
