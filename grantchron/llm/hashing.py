@@ -12,8 +12,7 @@ import pyarrow as pa
 import xxhash
 
 U64 = np.uint64
-_WORD_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so that they have inverses
-_LONG_WORD = 1 << 16
+_LONG_WORD = 64  # bytes of the longest word that is hashed with others
 _CHUNK = 1 << 20
 
 
@@ -83,19 +82,21 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 @cache
-def _powers(base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = _CHUNK + _LONG_WORD + 1
-    up, down = np.full(n, base, U64), np.full(n, pow(base, -1, 1 << 64), U64)
-    up[0] = down[0] = 1
-    letters = mix(np.arange(1, 257, dtype=U64) * U64(base))
-    return np.multiply.accumulate(up), np.multiply.accumulate(down), letters
+def _tables(which: int) -> np.ndarray:
+    """A random number for each byte at each place of a word, one row for a place."""
+    numbers = np.arange(_LONG_WORD * 256, dtype=U64) + U64(which << 40)
+    return mix(mix(numbers * U64(0x9E3779B97F4A7C15) + U64(0xC2B2AE3D27D4EB4F))).reshape(_LONG_WORD, 256)
 
 
 def word_hashes(
     data: np.ndarray, starts: np.ndarray, stops: np.ndarray, which: int = 0
 ) -> np.ndarray:
-    """A 64-bit hash of each word; `which` picks one of two independent functions."""
-    up, down, letters = _powers(_WORD_BASES[which])
+    """A 64-bit hash of each word; `which` picks one of two independent functions.
+
+    The sum of a random number for each byte and place (tabulation hashing); long words are
+    hashed one at a time.
+    """
+    table = _tables(which).reshape(-1)
     result = np.empty(len(starts), U64)
     length = stops - starts
     first = 0
@@ -104,13 +105,14 @@ def word_hashes(
         last = max(first + 1, int(np.searchsorted(stops, low + _CHUNK, "right")))
         s, e = starts[first:last] - low, stops[first:last] - low
         if last == first + 1 and e[0] > _LONG_WORD:
-            last_end = 0
-        else:
-            last_end = int(e[-1])
-        sums = np.zeros(last_end + 1, U64)
-        np.cumsum(letters[data[low : low + last_end]] * up[:last_end], out=sums[1:])
-        if last_end:
-            result[first:last] = (sums[e] - sums[s]) * down[s]
+            first = last
+            continue
+        # Up to the next word, bytes between words count as the word's; no sum ends behind them.
+        begin = np.repeat(s.astype(np.int32), np.diff(s, append=e[-1]))
+        place = np.minimum(np.arange(len(begin), dtype=np.int32) - begin, _LONG_WORD - 1)
+        sums = np.zeros(len(place) + 1, U64)
+        np.cumsum(table[(place << 8) | data[low : low + len(place)]], out=sums[1:])
+        result[first:last] = sums[e] - sums[s]
         first = last
     for i in np.flatnonzero(length > _LONG_WORD):
         result[i] = xxhash.xxh3_64_intdigest(data[starts[i] : stops[i]].tobytes(), seed=which)

@@ -165,6 +165,23 @@ def _least_joined(n: int, pairs: np.ndarray) -> np.ndarray:
     return np.array([find(i) for i in range(n)])
 
 
+def _sets(packed: pa.ChunkedArray, n: int, size: int = 2_000_000) -> list[np.ndarray]:
+    """The n-grams of each text, of some `size` bytes of text at a time."""
+    inflate = zstandard.ZstdDecompressor().decompress
+    sets: list[np.ndarray] = []
+    texts: list[bytes] = []
+    left = len(packed)
+    for blob in packed:
+        texts.append(inflate(blob.as_py()))
+        left -= 1
+        if not left or sum(map(len, texts)) >= size:
+            offsets = np.cumsum([0, *map(len, texts)])
+            row, grams = ngrams(np.frombuffer(b"".join(texts), np.uint8), offsets, n)
+            sets += np.split(grams, np.searchsorted(row, np.arange(1, len(texts))))
+            texts = []
+    return sets
+
+
 _LINKS = "id long, n_links long, least long"
 
 
@@ -177,11 +194,7 @@ def _compare(n: int, threshold: float):
         table = table.take(pa.array(order))
         ids, sizes, chunk = (table[c].to_numpy() for c in ("id", "class_size", "chunk"))
         bands = np.array(table["bands"].to_pylist(), np.int64)
-        inflate = zstandard.ZstdDecompressor().decompress
-        sets = []
-        for packed in table["packed"]:
-            data = np.frombuffer(inflate(packed.as_py()), np.uint8)
-            sets.append(ngrams(data, np.array([0, len(data)]), n)[1])
+        sets = _sets(table["packed"], n)
         a, b = np.flatnonzero(chunk == left), np.flatnonzero(chunk == right)
         none = pa.table([pa.array([], pa.int64())] * 3, names=["id", "n_links", "least"])
         if not len(a) or not len(b):

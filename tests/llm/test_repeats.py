@@ -160,3 +160,34 @@ def test_nothing_gives_nothing(spark):
         ngram_join.ngram_join,
     ):
         assert operator(none).collect() == []
+
+
+def thue_morse(n):
+    """Two words of n letters whose polynomials agree for every odd base modulo 2**64."""
+    a = "a"
+    while len(a) < n:
+        a += a.translate({97: 98, 98: 97})
+    return a[:n], a[:n].translate({97: 98, 98: 97})
+
+
+@pytest.mark.parametrize("letters", (8, 64, 65, 1024, 2048, 70_000))
+def test_words_that_weak_hashes_take_for_equal(spark, letters):
+    one, other = thue_morse(letters)
+    rest = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{one} {rest}"), (2, f"{other} {rest}"), (3, f"{one} b c d e"), (4, f"{other} b c d e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    removed = {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(docs, buckets=4).collect()}
+    assert set(removed.values()) == {0}
+    links = {r.doc_id: r.n_links for r in ngram_join.ngram_join(docs).collect()}
+    # Of 16 five-grams of 1 and 2, the first alone differs.
+    assert links == {1: 1, 2: 1, 3: 0, 4: 0}
+
+
+def test_a_text_longer_than_a_step(spark):
+    rng = random.Random(4)
+    words = [f"{rng.randrange(10**6)}" for _ in range(200_000)]
+    words[150_000:150_030] = words[10:40]
+    rows = [(1, " ".join(words)), (2, " ".join(words[100_000:100_025])), (3, "x" * 70_000 + " y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(docs, buckets=4).collect()}
+    assert found == {1: (200_000, 30), 2: (25, 25), 3: (2, 0)}
