@@ -2,25 +2,27 @@
 
 Two logistic models see different things of a document: one its text (hashed byte trigrams and
 style), one what is known about it (columns such as language, source, length). They are fitted
-on labelled documents; then, for some rounds, each labels the unlabelled documents that it is
-sure of for the other. On labelled documents set aside, each view is calibrated and the two are
+on labelled documents; then, for some rounds, each scores all documents and labels those that it
+is surest of for the other. On labelled documents set aside, each view is calibrated and the two are
 combined; the combination scores every document.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import xxhash
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from grantchron.llm.hashing import U64, mix, parts, place_in_row, word_hashes, words
+from grantchron.session import materialize
 
 LABELLED = 6_000  # labelled documents to fit on, by least hash of the id; all if there are fewer
-POOL = 4_000  # unlabelled ones that may get labels from a view, likewise
 SET_ASIDE = 0.3  # share of the labelled ones for calibration
 ROUNDS = 4
 EACH_ROUND = 200  # most labels that a view gives in a round
@@ -123,29 +125,21 @@ class Model(NamedTuple):
         return _sigmoid(a), _sigmoid(b), _sigmoid(c[0] * a + c[1] * b + c[2])
 
 
-def co_train(
-    views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray]
-) -> Model | None:
-    """Fit on labelled rows, with an unlabelled pool; None unless both labels occur in each part."""
+def _taught(views: tuple, y: np.ndarray, taught: tuple) -> list[np.ndarray]:
+    """The weights of both views, on the labelled rows and those that the other view has taught."""
+    weights = []
+    for view, (rows, labels) in zip(views, taught, strict=True):
+        weights.append(logistic(np.vstack((view, rows)), np.append(y, labels)))
+    return weights
+
+
+def _set_aside(y: np.ndarray) -> np.ndarray | None:
+    """Which of the labelled rows calibrate; None unless both labels occur in each part."""
     aside = np.arange(len(y)) < SET_ASIDE * len(y)
-    if len(set(y[aside])) < 2 or len(set(y[~aside])) < 2:
-        return None
-    x = [v[~aside] for v in views]
-    labels = [y[~aside], y[~aside]]
-    free = [np.ones(len(pool[0]), bool) for _ in views]  # what each view may still be taught
-    good = y.mean()
-    for _ in range(ROUNDS):
-        weights = [logistic(a, b) for a, b in zip(x, labels, strict=True)]
-        for teacher in (0, 1):
-            pupil = 1 - teacher
-            p = _sigmoid(pool[teacher] @ weights[teacher])
-            for label, sure, most in ((1.0, p, good), (0.0, 1 - p, 1 - good)):
-                able = np.flatnonzero(free[pupil] & (sure >= SURE))
-                best = able[np.argsort(-sure[able], kind="stable")][: int(EACH_ROUND * most)]
-                free[pupil][best] = False
-                x[pupil] = np.vstack((x[pupil], pool[pupil][best]))
-                labels[pupil] = np.append(labels[pupil], np.full(len(best), label))
-    weights = [logistic(a, b) for a, b in zip(x, labels, strict=True)]
+    return aside if len(set(y[aside])) == len(set(y[~aside])) == 2 else None
+
+
+def _calibrated(views: tuple, y: np.ndarray, aside: np.ndarray, weights: list[np.ndarray]) -> Model:
     scales, logits = [], []
     for view, w in zip(views, weights, strict=True):
         z = view[aside] @ w
@@ -155,6 +149,33 @@ def co_train(
     return Model(*weights, *scales, logistic(both, y[aside], 0.01))
 
 
+def _fitted(table: pa.Table) -> pa.Table:
+    """The model, as five lists of numbers, of rows (pupil, order, label, text, known); or no row.
+
+    pupil is -1 for labelled rows, and the view that a row with a label from the other one teaches.
+    """
+    table = table.sort_by([("order", "ascending"), ("pupil", "ascending")])
+    pupil, label = table["pupil"].to_numpy(), table["label"].to_numpy()
+    both = tuple(np.array(table[c].to_pylist(), np.float32).reshape(len(pupil), -1) for c in ("text", "known"))
+    own = pupil < 0
+    y, aside = label[own], _set_aside(label[own])
+    names = list(Model._fields)
+    if aside is None:
+        return pa.table([pa.array([], pa.list_(pa.float64()))] * len(names), names=names)
+    views = tuple(v[own] for v in both)
+    taught = tuple((both[i][pupil == i], label[pupil == i]) for i in (0, 1))
+    weights = _taught(tuple(v[~aside] for v in views), y[~aside], taught)
+    model = _calibrated(views, y, aside, weights)
+    return pa.table([pa.array([m.tolist()], pa.list_(pa.float64())) for m in model], names=names)
+
+
+def _in_one_task(rows: DataFrame) -> Model | None:
+    """Fitted by an executor: the driver gets some thousand numbers."""
+    schema = ", ".join(f"{name} array<double>" for name in Model._fields)
+    found = rows.groupBy().applyInArrow(_fitted, schema).collect()
+    return Model(*(np.array(m) for m in found[0])) if found else None
+
+
 def _views(docs: DataFrame, id_col: str, text_col: str, categories: tuple, numbers: tuple) -> list:
     """Columns that the views are made of, the id and the text first."""
     return [
@@ -165,6 +186,74 @@ def _views(docs: DataFrame, id_col: str, text_col: str, categories: tuple, numbe
     ]
 
 
+_FEATURES = "id string, order long, label double, text array<float>, known array<float>"
+
+
+def _featured(rows: DataFrame, categories: int, numbers: int) -> DataFrame:
+    """Rows of _FEATURES, of rows (id, text, *views, label)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offsets in parts(batches, 1):
+            ids = part.column(0).cast(pa.string())
+            order = [xxhash.xxh3_64_intdigest(i) >> 1 for i in ids.to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    ids,
+                    pa.array(order, pa.int64()),
+                    part.column(part.num_columns - 1),
+                    pa.array(list(text_view(data, offsets)), pa.list_(pa.float32())),
+                    pa.array(list(known_view(part, categories, numbers)), pa.list_(pa.float32())),
+                ],
+                names=["id", "order", "label", "text", "known"],
+            )
+
+    return rows.mapInArrow(run, _FEATURES)
+
+
+def _surest(
+    model: Model, known: tuple[set, set], categories: int, numbers: int, shares: tuple[float, float], most: int
+):
+    """Of a task's documents those that a view is surest of: (pupil, label, sure, digest, id).
+
+    known: for each pupil the ids that it has a label of; equal texts count once.
+    """
+
+    def best(found: list[tuple]) -> list[tuple]:
+        kept, seen = [], {}
+        for row in sorted(found, key=lambda r: (-r[2], r[3], r[4])):
+            pupil, label, _, digest, _ = row
+            at = seen.setdefault((pupil, label), set())
+            if digest not in at and len(at) < int(most * shares[int(label)]):
+                at.add(digest)
+                kept.append(row)
+        return kept
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+        for part, data, offsets in parts(batches, 1):
+            views = text_view(data, offsets), known_view(part, categories, numbers)
+            ids = part.column(0).cast(pa.string()).to_pylist()
+            for teacher, weights in ((0, model.text), (1, model.known)):
+                p = _sigmoid(views[teacher] @ weights)
+                for label, sure in ((1.0, p), (0.0, 1 - p)):
+                    able = np.flatnonzero(sure >= SURE)
+                    able = able[np.argsort(-sure[able], kind="stable")][: 4 * most]
+                    for i in able.tolist():
+                        if ids[i] is not None and ids[i] not in known[1 - teacher]:
+                            digest = xxhash.xxh3_64_intdigest(data[offsets[i] : offsets[i + 1]].tobytes()) >> 1
+                            found.append((1 - teacher, label, round(float(sure[i]), 9), digest, ids[i]))
+            if len(found) > 40 * most:
+                found = best(found)
+        columns = list(zip(*best(found), strict=True)) or [()] * 5
+        kinds = [pa.int32(), pa.float64(), pa.float64(), pa.int64(), pa.string()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            names=["pupil", "label", "sure", "digest", "id"],
+        )
+
+    return run
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -173,11 +262,18 @@ def fit(
     categories: tuple = CATEGORIES,
     numbers: tuple = NUMBERS,
     label_col: str = "quality",
+    labelled: int = LABELLED,
+    rounds: int = ROUNDS,
+    each_round: int = EACH_ROUND,
 ) -> Model | None:
-    """A model from at most LABELLED labelled and POOL other documents, drawn by hash of the id.
-
-    A document with several labels has the lowest; labels other than 0 and 1, and of unknown
-    documents, are left out. None if the labels do not have both values.
+    """A model from at most `labelled` labelled documents, drawn by hash of the id, and all others.
+
+    In each of `rounds` rounds both views score every document, and each teaches the other the
+    `each_round` different texts, in proportion to the labels, that it is surest of. Documents
+    drawn, or taught before, are not taught; nor are those without an id. Models are fitted in
+    one executor task, on the rows drawn and taught. A document with several labels has the
+    lowest; labels other than 0 and 1, and of unknown documents, are left out; of documents that
+    share an id one is taken, by a hash of its columns. None if the labels do not have both values.
     """
     known = (
         labels.filter(F.col(label_col).isin(0, 1))
@@ -185,46 +281,60 @@ def fit(
         .agg(F.min(label_col).cast("double").alias("label"))
     )
     ids = docs.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
-    drawn = F.xxhash64(F.lit("quality"), "id")
-    labelled = known.join(ids, "id", "left_semi").orderBy(drawn, "id").limit(LABELLED)
-    other = (
-        ids.join(labels.select(F.col(id_col).alias("id")), "id", "left_anti")
-        .orderBy(drawn, "id")
-        .limit(POOL)
-        .withColumn("label", F.lit(-1.0))
-    )
-    sample = F.broadcast(labelled.unionByName(other))  # of a bounded number of rows
+    order = F.xxhash64(F.lit("quality"), "id")
+    drawn = known.join(ids, "id", "left_semi").orderBy(order, "id").limit(labelled)
     columns = _views(docs, id_col, text_col, categories, numbers)
-    named = [c.alias(f"c{i}") for i, c in enumerate(columns)]
-    rows = docs.select(*named).join(sample, F.col("c0") == F.col("id")).dropDuplicates(["id"])
-    order = [*(f"c{i}" for i in range(len(columns))), "label"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in parts(batches, 1):
-            text = text_view(data, offsets)
-            about = known_view(part, len(categories), len(numbers))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0).cast(pa.string()),
-                    part.column(part.num_columns - 1),
-                    pa.array(list(text), pa.list_(pa.float32())),
-                    pa.array(list(about), pa.list_(pa.float32())),
-                ],
-                names=["id", "label", "text", "known"],
-            )
-
-    found = rows.select(*order).mapInArrow(
-        run, "id string, label double, text array<float>, known array<float>"
-    )
-    table = found.toPandas().sort_values("id")
-    if not len(table):
+    named = docs.select(*(c.alias(f"c{i}") for i, c in enumerate(columns)))
+    place = [f"c{i}" for i in range(len(columns))]
+    sizes = len(categories), len(numbers)
+
+    def rows_of(chosen: DataFrame) -> DataFrame:
+        """The features of a bounded number of documents, one row for each id and pupil."""
+        whole = F.struct(*place)
+        rows = named.join(F.broadcast(chosen), F.col("c0").cast("string") == F.col("id"))
+        one = rows.groupBy("id", "pupil", "label").agg(F.min_by(whole, F.xxhash64(*place)).alias("row"))
+        featured = one.select("row.*", "label", "pupil")
+        return reduce(
+            DataFrame.unionByName,
+            [
+                _featured(featured.filter(F.col("pupil") == p).select(*place, "label"), *sizes).withColumn(
+                    "pupil", F.lit(p)
+                )
+                for p in ((-1,) if chosen is first else (0, 1))
+            ],
+        )
+
+    first = drawn.select(F.col("id").cast("string").alias("id"), "label", F.lit(-1).alias("pupil"))
+    seen = materialize(rows_of(first), "quality-labelled")
+    counts = dict(seen.groupBy("label").count().collect())  # two rows
+    if len(counts) < 2:
         return None
-    text, about = np.stack(table["text"]), np.stack(table["known"])
-    label = table["label"].to_numpy()
-    has = np.flatnonzero(label >= 0)
-    has = has[np.argsort(mix(has.astype(U64)), kind="stable")]
-    pool = label < 0
-    return co_train((text[has], about[has]), label[has], (text[pool], about[pool]))
+    good = counts[1.0] / sum(counts.values())
+    own = {r["id"] for r in seen.select("id").collect()}  # at most `labelled`
+    had = own.copy(), own.copy()
+    for _ in range(rounds):
+        model = _in_one_task(seen)
+        if model is None:
+            return None
+        finder = _surest(model, had, *sizes, (1 - good, good), each_round)
+        found = named.select(*place).mapInArrow(
+            finder, "pupil int, label double, sure double, digest long, id string"
+        )
+        different = found.groupBy("pupil", "label", "digest").agg(F.max("sure").alias("sure"), F.min("id").alias("id"))
+        surest = [F.desc("sure"), F.asc("digest")]
+        most = F.when(F.col("label") == 1, int(each_round * good)).otherwise(int(each_round * (1 - good)))
+        salted = Window.partitionBy("pupil", "label", F.pmod("digest", F.lit(64))).orderBy(*surest)
+        whole = Window.partitionBy("pupil", "label").orderBy(*surest)
+        some = different.withColumn("n", F.row_number().over(salted)).filter(F.col("n") <= most)
+        chosen = some.withColumn("n", F.row_number().over(whole)).filter(F.col("n") <= most)
+        taught = chosen.select("id", "label", "pupil").collect()  # at most 2 * each_round
+        if not taught:
+            break
+        for r in taught:
+            had[r["pupil"]].add(r["id"])
+        frame = docs.sparkSession.createDataFrame(taught, "id string, label double, pupil int")
+        seen = materialize(seen.unionByName(rows_of(frame)), "quality-taught")
+    return _in_one_task(seen)
 
 
 def score(

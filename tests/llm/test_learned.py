@@ -2,6 +2,7 @@
 
 import random
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -263,3 +264,29 @@ def test_pipeline_keeps_the_columns_and_only_drops_what_it_decides(spark):
     encoded = corpus_pipeline.run(spark, SF)
     assert encoded.count() == before.count()
     assert {r.doc_id for r in encoded.select("doc_id").collect()} == {r.doc_id for r in before.collect()}
+
+
+def test_pipeline_stages_keep_columns_that_clash(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    own = {c: F.concat(F.lit(f"{c} "), F.col("doc_id")) for c in (
+        "copy", "copies", "size", "source_size", "target", "taken", "score", "keep", "p_text", "p_known",
+        "kept_id", "own_0", "row", "id", "label", "c0", "tie", "shard",
+    )}
+    docs = docs.withColumns(own)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns
+        wrong = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(value) for c, value in own.items()])
+        assert after.count() > 0 and after.filter(wrong).count() == 0, name
+
+
+def test_every_document_may_be_taught(spark):
+    """Of documents of a source without labels some get labels, and the bounds are parameters."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    few = quality.fit(docs, labels, labelled=400, rounds=1, each_round=10)
+    more = quality.fit(docs, labels, labelled=400, rounds=2, each_round=200)
+    again = quality.fit(docs.repartition(7), labels, labelled=400, rounds=2, each_round=200)
+    assert not np.allclose(few.text, more.text) and np.allclose(more.text, again.text)
