@@ -13,7 +13,7 @@ from grantchron.operators.ordered import OrderedRuns
 Cursor = tuple[int, ...]
 
 #: What relate_events adds to the columns of a batch.
-RELATED = ("is_first", "is_last", "next_ts", "next_op", "origin", "had_delete", "changed")
+RELATED = ("is_first", "is_last", "next_ts", "next_op", "next_closes", "origin", "had_delete", "changed")
 
 
 def beyond(columns, values) -> Column:
@@ -51,7 +51,11 @@ def by_position(
 ) -> tuple[DataFrame, DataFrame]:
     """Events with a position, and those that no cursor can pass, as what it compares is missing."""
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.cursor])
-    return bronze.filter(~missing), bronze.filter(missing)
+    unplaced = bronze.filter(missing)
+    if "capture_day" in bronze.columns and spec.cursor == (spec.capture_ns,):
+        # Without a capture time there is no capture day: bronze keeps such rows in one folder.
+        unplaced = unplaced.filter(F.col("capture_day").isNull())
+    return bronze.filter(~missing), unplaced
 
 
 def identity(events: DataFrame, spec: ChangeSpec = GRANTS) -> DataFrame:
@@ -142,7 +146,7 @@ def relate_events(
     """Give each event what the merges need to know of its key's other events in the batch.
 
     is_first, is_last  position within the key
-    next_ts, next_op   business time and op of the following event
+    next_ts, next_op   business time and op of the following event; next_closes: it closes access
     origin             insert-only attributes of the event that began the current row:
                        the last event so far that inserted, that is, a non-delete that
                        comes first or right after a delete
@@ -164,6 +168,7 @@ def relate_events(
             F.lit(True).alias("is_last"),
             F.lit(None).cast("timestamp_ntz").alias("next_ts"),
             F.lit(None).cast("string").alias("next_op"),
+            F.lit(None).cast("boolean").alias("next_closes"),
             F.when(op != "d", origin).alias("origin"),
             F.coalesce(op == "d", F.lit(False)).alias("had_delete"),
             *([F.lit(True).alias("changed")] if tracked else []),
@@ -173,7 +178,7 @@ def relate_events(
     state = F.struct("closes_access", *tracked)
     runs = OrderedRuns(staged, spec.key, spec.order, hot_limit).add(
         prev={"__prev": F.struct("op", state.alias("state"))} if tracked else {"__prev": F.struct("op")},
-        next={"__next": F.struct("business_ts", "op")},
+        next={"__next": F.struct("business_ts", "op", "closes_access")},
     )
     first = F.col("__prev").isNull()
     related = [
@@ -181,6 +186,7 @@ def relate_events(
         F.col("__next").isNull().alias("is_last"),
         F.col("__next.business_ts").alias("next_ts"),
         F.col("__next.op").alias("next_op"),
+        F.col("__next.closes_access").alias("next_closes"),
         *([(~F.col("__prev.state").eqNullSafe(state)).alias("changed")] if tracked else []),
     ]
     if not with_origin:

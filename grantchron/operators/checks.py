@@ -31,6 +31,26 @@ def differences(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def fingerprints(df: DataFrame, *by: str | Column, **more: Column) -> DataFrame:
+    """For each part of df, whatever the order of its rows: their number and two sums of hashes.
+
+    Sums are exact, so those of parts that are put together add up. Nulls are hashed by place.
+    """
+    named = {b for b in by if isinstance(b, str)}
+    own = sorted(c for c in df.columns if c not in named)
+    nulls = [F.col(c).isNull() for c in own]
+
+    def total(seed: int) -> Column:
+        return F.sum(F.xxhash64(F.lit(seed), *own, *nulls).cast("decimal(20,0)")).cast("decimal(38,0)")
+
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"),
+        total(1).alias("sum1"),
+        total(2).alias("sum2"),
+        *[c.alias(n) for n, c in more.items()],
+    )
+
+
 def lost_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     """V4: earlier bronze rows that a later bronze no longer holds."""
     return before.exceptAll(after.select(*before.columns))
@@ -67,17 +87,20 @@ def view_against_history(
 def period_problems(
     history: DataFrame, spec: ChangeSpec = GRANTS, hot_limit: int | None = None
 ) -> DataFrame:
-    """V7: periods that end before they start, are empty, or start before the last one ended."""
+    """V7: periods that end before they start, are empty, or start before an earlier one ended.
+
+    Of the key's earlier periods the one that reaches furthest counts, so periods within a long
+    one are found, whatever lies between.
+    """
+    start, end = F.col("effective_start"), F.col("effective_end")
     rows = OrderedRuns(history, spec.key, PERIOD_ORDER, hot_limit).add(
-        prev={"__prev": F.struct("effective_end")}
+        largest={"__reach": end, "__endless": end.isNull()}
     ).rows()
-    start, end = F.col("effective_start"), F.col("effective_end")
-    previous = F.col("__prev.effective_end")
     problem = F.concat_ws(
         ",",
         F.when(end < start, F.lit("inverted")),
         F.when(end == start, F.lit("zero_length")),
-        F.when(F.col("__prev").isNotNull() & (previous.isNull() | (previous > start)), F.lit("overlap")),
+        F.when(F.col("__endless") | (F.col("__reach") > start), F.lit("overlap")),
     )
     return rows.select(*history.columns, problem.alias("problem")).filter("problem <> ''")
 

@@ -86,14 +86,16 @@ class OrderedRuns:
         next: dict[str, Column] | None = None,
         last: dict[str, Column] | None = None,
         coming: dict[str, Column] | None = None,
+        largest: dict[str, Column] | None = None,
     ) -> "OrderedRuns":
         """Add columns, each named after the value it carries from other rows of the key.
 
         prev, next    the value in the row before or after; asked for as a struct, NULL
                       means that there is no such row
         last, coming  the nearest value that is not NULL, from this row back or after it
+        largest       the largest value of all rows before; NULL if there is none
         """
-        asked = (prev or {}, next or {}, last or {}, coming or {})
+        asked = (prev or {}, next or {}, last or {}, coming or {}, largest or {})
         out = object.__new__(OrderedRuns)
         out.key, out.order = self.key, self.order
         out._plain = self._windowed(self._plain, self.key, *asked)
@@ -110,8 +112,9 @@ class OrderedRuns:
             return self._plain
         return self._plain.unionByName(self._ranged.drop(_RANGE))
 
-    def _windowed(self, df, partition, prev, next, last, coming) -> DataFrame:
+    def _windowed(self, df, partition, prev, next, last, coming, largest) -> DataFrame:
         w = Window.partitionBy(*partition).orderBy(*self.order)
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         back = Window.partitionBy(*partition).orderBy(*[F.col(c).desc() for c in self.order])
         ahead = back.rowsBetween(Window.unboundedPreceding, -1)
@@ -121,9 +124,10 @@ class OrderedRuns:
             *[F.lead(c).over(w).alias(a) for a, c in next.items()],
             *[F.last(c, ignorenulls=True).over(so_far).alias(a) for a, c in last.items()],
             *[F.last(c, ignorenulls=True).over(ahead).alias(a) for a, c in coming.items()],
+            *[F.max(c).over(before).alias(a) for a, c in largest.items()],
         )
 
-    def _linked(self, prev, next, last, coming) -> DataFrame:
+    def _linked(self, prev, next, last, coming, largest) -> DataFrame:
         def some(c: Column) -> Column:
             return F.when(c.isNotNull(), position)
 
@@ -135,7 +139,8 @@ class OrderedRuns:
             **{a: F.min_by(_box(c), some(c)) for a, c in coming.items()},
         }
         edges = self._ranged.groupBy(*self.key, _RANGE).agg(
-            *[box.alias(f"__e_{a}") for a, box in boxes.items()]
+            *[box.alias(f"__e_{a}") for a, box in boxes.items()],
+            *[F.max(c).alias(f"__e_{a}") for a, c in largest.items()],
         )
         w = Window.partitionBy(*self.key).orderBy(_RANGE)
         before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -147,6 +152,7 @@ class OrderedRuns:
             *[F.lead(f"__e_{a}").over(w).alias(f"__x_{a}") for a in next],
             *[F.last(f"__e_{a}", ignorenulls=True).over(before).alias(f"__x_{a}") for a in last],
             *[F.first(f"__e_{a}", ignorenulls=True).over(after).alias(f"__x_{a}") for a in coming],
+            *[F.max(f"__e_{a}").over(before).alias(f"__x_{a}") for a in largest],
         )
         inner = self._windowed(
             self._ranged,
@@ -155,6 +161,7 @@ class OrderedRuns:
             {a: _box(c) for a, c in next.items()},
             {a: F.when(c.isNotNull(), _box(c)) for a, c in last.items()},
             {a: F.when(c.isNotNull(), _box(c)) for a, c in coming.items()},
+            largest,
         )
         on = reduce(
             lambda a, b: a & b,
@@ -163,6 +170,7 @@ class OrderedRuns:
         return inner.join(F.broadcast(edges), on, "left").select(
             *[F.col(c) for c in self._ranged.columns],
             *[F.coalesce(F.col(a), F.col(f"__x_{a}"))["v"].alias(a) for a in boxes],
+            *[F.greatest(F.col(a), F.col(f"__x_{a}")).alias(a) for a in largest],
         )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from grantchron.model import ACCESS, GRANTS, ChangeSpec
 from grantchron.operators.batch import RELATED, relate_events, stage
@@ -13,6 +13,7 @@ def opened_periods(
     spec: ChangeSpec = GRANTS,
     prerevoked: str = "open",
     with_pending: bool = False,
+    endings: bool = False,
 ) -> DataFrame:
     """Every event that does not close access starts a period; the next one ends it.
 
@@ -20,9 +21,12 @@ def opened_periods(
     "closed" gives it the period up to its revocation or, if that comes first, to the next
     event, if that is not empty. Such a period of a key's last event is `pending`: an event
     of a later batch may still end it earlier.
+
+    endings adds the column `ending`, see _ending.
     """
     started = events.filter(~F.col("closes_access"))
     end, current, pending = F.col("next_ts"), F.col("is_last"), F.lit(False)
+    ending = F.when(~F.col("is_last"), _ending(F.col("next_op"), F.col("next_closes")))
     deleted = F.when(F.col("is_last"), F.col(spec.soft_delete)).otherwise(F.col("next_op") == "d")
     if prerevoked == "closed":
         revoked = F.col(spec.revoked_at)
@@ -33,6 +37,7 @@ def opened_periods(
         current = current & ~born_closed
         deleted = F.when(born_closed & outlived, F.col(spec.soft_delete)).otherwise(deleted)
         pending = F.col("is_last") & born_closed
+        ending = F.when(born_closed & outlived, F.lit("revoked")).otherwise(ending)
     elif prerevoked != "open":
         raise ValueError(f"prerevoked must be 'open' or 'closed', not {prerevoked!r}")
     return started.select(
@@ -43,9 +48,15 @@ def opened_periods(
         current.alias("is_current"),
         deleted.alias("is_deleted"),
         *([pending.alias("pending")] if with_pending else []),
+        *([ending.alias("ending")] if endings else []),
     )
 
 
+def _ending(op: Column, closes: Column) -> Column:
+    """A6 by the event that ends a period: a hard delete, a revocation, or the next version."""
+    return F.when(op == "d", F.lit("hard_delete")).when(closes, F.lit("revoked")).otherwise(F.lit("replaced"))
+
+
 def close_open_periods(
     open_rows: DataFrame, events: DataFrame, spec: ChangeSpec = GRANTS, few_keys: bool = False
 ) -> DataFrame:
@@ -60,6 +71,7 @@ def close_open_periods(
         F.col("business_ts").alias("__end"),
         (F.col("op") == "d").alias("__deleted"),
         F.lit(True).alias("__hit"),
+        _ending(F.col("op"), F.col("closes_access")).alias("__ending"),
     )
     if few_keys:
         firsts = F.broadcast(firsts)
@@ -73,6 +85,11 @@ def close_open_periods(
         (F.col("is_current") & ~hit).alias("is_current"),
         F.when(cut, F.col("__deleted")).otherwise(F.col("is_deleted")).alias("is_deleted"),
         *([(F.col("pending") & ~hit).alias("pending")] if "pending" in open_rows.columns else []),
+        *(
+            [F.when(cut, F.col("__ending")).otherwise(F.col("ending")).alias("ending")]
+            if "ending" in open_rows.columns
+            else []
+        ),
     )
 
 
@@ -85,10 +102,11 @@ def scd2_merge(
 ) -> DataFrame:
     """T2 + T3: what becomes of the open rows, plus the periods the batch starts.
 
-    Open rows with a column `pending` (and then rows that are) give a result with it.
+    Open rows with a column `pending` (and then rows that are) give a result with it, and those
+    with a column `ending` one that says how each period ended.
     """
-    with_pending = open_rows is not None and "pending" in open_rows.columns
-    opened = opened_periods(events, spec, prerevoked, with_pending)
+    columns = open_rows.columns if open_rows is not None else []
+    opened = opened_periods(events, spec, prerevoked, "pending" in columns, "ending" in columns)
     if open_rows is None:
         return opened
     return close_open_periods(open_rows, events, spec, few_keys).unionByName(opened)

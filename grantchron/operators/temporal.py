@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from grantchron.functions.times import at, covers, epoch_micros
 from grantchron.model import GRANTS, ChangeSpec
-from grantchron.operators.ordered import OrderedRuns
+from grantchron.operators.ordered import OrderedRuns, find_hot_keys
 from grantchron.session import materialize
 
 # Of periods that start together, the open one is the last.
@@ -152,7 +152,7 @@ def as_of_probes(
     found = kept.filter(probe).select("__probe", "__period")
     reaching = kept.filter(~probe).select(*on, "__from", "__period")
     if not reaching.isEmpty():
-        found = found.unionByName(_stab(reaching, asked, on))
+        found = found.unionByName(_stab(reaching, asked, on, hot_limit))
     return found.select(
         *[F.col("__probe")[c].alias(c) for c in probes.columns],
         *[F.col("__period")[c].alias(c) for c in columns],
@@ -199,12 +199,12 @@ def _level(piece: Column) -> Column:
     return F.lit(_LEVELS) - (F.length(F.bin(piece)) - 1)
 
 
-def _stab(reaching: DataFrame, asked: DataFrame, on) -> DataFrame:
+def _stab(reaching: DataFrame, asked: DataFrame, on, hot_limit: int | None = None) -> DataFrame:
     """Probes with __from <= __t < end, without comparing all pairs of a key.
 
     A period is cut into pieces; a probe names all pieces it lies in. Each pair meets in
     one piece only, and those that meet are answers but for fractions of a second at the
-    ends.
+    ends. A piece with very many periods of a key is dealt over tasks (_dealt).
     """
     end = F.col("__period.effective_end")
     seconds = {
@@ -221,8 +221,30 @@ def _stab(reaching: DataFrame, asked: DataFrame, on) -> DataFrame:
         .withColumn("__second", _second(F.col("__t")))
         .select(*on, _pieces_with(F.col("__second"), levels).alias("__piece"), "__t", "__probe")
     )
+    meeting = [*on, "__piece"]
+    named, cut, meeting = _dealt(named, cut, meeting, hot_limit)
     return (
-        named.join(cut, [*on, "__piece"])
+        named.join(cut, meeting)
         .filter((F.col("__t") >= F.col("__from")) & _after(end, F.col("__t")))
         .select("__probe", "__period")
     )
+
+
+def _dealt(
+    probes: DataFrame, periods: DataFrame, keys: list[str], hot_limit: int | None
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides, and what to join them by: periods of a crowded key go by salt, and its probes to each."""
+    hot = find_hot_keys(periods, keys, hot_limit)
+    if hot is None:
+        return probes, periods, keys
+    crowded = periods.join(F.broadcast(hot.keys), keys, "left_semi")
+    fans = crowded.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / hot.limit).alias("__fan"))
+    fans = F.broadcast(materialize(fans, "crowded"))  # as many rows as hot.keys, which are bounded
+    fan = F.coalesce("__fan", F.lit(1))
+    salt = F.pmod(F.xxhash64("__period", "__from"), fan)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), fan - 1))
+    return (
+        probes.join(fans, keys, "left").withColumn("__salt", every).drop("__fan"),
+        periods.join(fans, keys, "left").withColumn("__salt", salt).drop("__fan"),
+        [*keys, "__salt"],
+    )

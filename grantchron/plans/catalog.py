@@ -17,12 +17,13 @@ TABLES: dict[str, tuple[T.StructType, str | None]] = {
     model.HISTORY_TABLE: (model.HISTORY_SCHEMA, "start_day"),
     model.WATERMARK_TABLE: (model.WATERMARK_SCHEMA, None),
 }
+HISTORY_BY_DAY = model.HISTORY_TABLE + "_by_day"
 ACTIVE = "revoked_at IS NULL AND is_deleted = false"
 EXPECTED = (*TABLES, model.ACTIVE_VIEW)
 
 
 def publish_tables(store: GoldStore, database: str = "iam") -> None:
-    """M1-M4, E3 by name, for any session of the catalog: what the store's newest version holds.
+    """M1-M4, A1-A6, E3 by name, for any session of the catalog: what the store's newest version holds.
 
     Views over the store's files, to be published again after a merge. A table of the same
     name that create_star_schema made, and nothing filled, gives way.
@@ -55,16 +56,12 @@ def publish_tables(store: GoldStore, database: str = "iam") -> None:
         stored("current", fact.names, live(commit.current)) if commit.current else none(fact),
     )
     if commit.open:
-        taken = ", ".join(f"'{b}'" for b in commit.closed)
-        is_open = "effective_end IS NULL"
-        columns = [f"{is_open} AS {c}" if c == "is_current" else c for c in history.names]
-        where = (
-            f"(is_current = 'true' AND {live(commit.open)}) "
-            f"OR (is_current = 'false' AND batch IN ({taken}))"
-        )
-        view(model.HISTORY_TABLE, stored("history", columns, where))
+        view(HISTORY_BY_DAY, _periods_by_day(store, stored, live))
     else:
-        view(model.HISTORY_TABLE, none(history))
+        kinds = [*history.fields, T.StructField("end_day", T.DateType()), T.StructField("ending", T.StringType())]
+        view(HISTORY_BY_DAY, none(T.StructType(kinds)))
+    view(model.HISTORY_TABLE, f"SELECT {', '.join(history.names)} FROM {database}.{HISTORY_BY_DAY}")
+    _publish_questions(spark, database, store.history_schema)
     view(
         model.ACTIVE_VIEW,
         f"SELECT * FROM {database}.{model.FACT_TABLE} WHERE {ACTIVE}",
@@ -90,6 +87,59 @@ def publish_tables(store: GoldStore, database: str = "iam") -> None:
     )
 
 
+def _periods_by_day(store: GoldStore, stored, live) -> str:
+    """The history with end_day, the folder of closed periods, and with how each period ended."""
+    commit, names = store.latest(), store.history_schema.names
+    taken = ", ".join(f"'{b}'" for b in commit.closed)
+    is_open = "effective_end IS NULL"
+    open_columns = [f"{is_open} AS {c}" if c == "is_current" else c for c in names]
+    open_columns += ["CAST(effective_end AS date) AS end_day", f"if({is_open}, 'open', ending) AS ending"]
+    closed_columns = ["false AS is_current" if c == "is_current" else c for c in names]
+    closed_columns += ["try_cast(slot AS date) AS end_day", "ending"]
+    return (
+        stored("history", closed_columns, f"is_current = 'false' AND batch IN ({taken})")
+        + " UNION ALL "
+        + stored("history", open_columns, f"is_current = 'true' AND {live(commit.open)}")
+    )
+
+
+#: The audit questions as table functions: name, parameters, condition on the history.
+QUESTIONS = (
+    (  # A1-A4: add conditions on who and what
+        "access_as_of",
+        "t TIMESTAMP_NTZ",
+        "(end_day IS NULL OR end_day >= CAST(access_as_of.t AS DATE)) AND effective_start <= access_as_of.t "
+        "AND (effective_end IS NULL OR effective_end > access_as_of.t)",
+    ),
+    (  # A5
+        "ended_at",
+        "t TIMESTAMP_NTZ",
+        "end_day = CAST(ended_at.t AS DATE) AND effective_end = ended_at.t",
+    ),
+    (
+        "ended_between",
+        "since TIMESTAMP_NTZ, until TIMESTAMP_NTZ",
+        "end_day BETWEEN CAST(ended_between.since AS DATE) AND CAST(ended_between.until AS DATE) "
+        "AND effective_end >= ended_between.since AND effective_end < ended_between.until",
+    ),
+)
+
+
+def _publish_questions(spark: SparkSession, database: str, schema: T.StructType) -> None:
+    """A1-A6 for SQL users: their bodies name the days to read, so that no other is opened.
+
+    Spark finds table functions in the session's current schema: USE the database first.
+    """
+    fields = [*schema.fields, T.StructField("ending", T.StringType())]
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    names = ", ".join(f.name for f in fields)
+    for name, parameters, condition in QUESTIONS:
+        spark.sql(
+            f"CREATE OR REPLACE FUNCTION {database}.{name}({parameters}) RETURNS TABLE ({columns}) "
+            f"RETURN SELECT {names} FROM {database}.{HISTORY_BY_DAY} WHERE {condition}"
+        )
+
+
 def create_star_schema(spark: SparkSession, database: str = "iam") -> None:
     """M1 + M3: database, dimensions, facts and the active view, where they do not exist."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")

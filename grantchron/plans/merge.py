@@ -20,7 +20,7 @@ from grantchron.operators.batch import (
     stage,
 )
 from grantchron.operators.scd import access_changes, scd1_merge, scd2_merge
-from grantchron.plans import dimensions
+from grantchron.plans import audit, dimensions
 from grantchron.plans.store import Commit, GoldStore, new_batch
 
 # A batch is broadcast if it has no more keys and no more bytes of staged Parquet than these.
@@ -78,6 +78,7 @@ def run_merge(
         F.count("reason").alias("unfit"),
         F.collect_set("bucket").alias("touched"),  # at most store.buckets values
         F.count_if("is_first").alias("keys"),
+        F.count(F.lit(1)).alias("events"),
         *[F.collect_set(_bucket_of(store, dim)).alias(dim.name) for dim in store.dimensions],
     ).first()
     # Mode "latest" stages one event of a key, but has taken all.
@@ -96,6 +97,7 @@ def run_merge(
             streams=streams,
             quarantine=quarantine,
             taken=taken,
+            events=before.events + summary["events"],
         )
         store.publish(commit)
         store.drop_staged(batch)
@@ -131,7 +133,10 @@ def run_merge(
         taken=taken,
         changes=changes,
         dims=dims,
+        events=before.events + summary["events"],
     )
+    if before.prints or not before.closed:  # a store from before there were prints has none
+        commit = replace(commit, prints=audit.prints_after(store, before, commit, batch))
     store.publish(commit)
     store.drop_staged(batch)
     return commit

@@ -75,6 +75,38 @@ state AS (
   SELECT f.grant_id, b.user_id, f.role_id, f.resource_id, b.granted_at, f.revoked_at, f.updated_at, f.is_deleted
   FROM final f JOIN born b ON f.grant_id = b.grant_id WHERE f.op <> 'd')"""
 
+
+def _renamed(ctes: str, names: dict[str, str]) -> str:
+    for old, new in names.items():
+        ctes = ctes.replace(old, new)
+    return ctes
+
+
+# The same after the first of two batches.
+_AFTER_EACH = _STATE + "," + _periods("staged", "hist") + f""",
+half1 AS (SELECT * FROM staged WHERE __source_ts_ns < {_SPLIT}),""" + _latest("half1", "final1") + "," + _periods(
+    "half1", "hist1"
+)
+_AFTER_EACH += _renamed(
+    _STATE[len(_LAST):],
+    {"FROM staged": "FROM half1", "final f": "final1 f", "last_delete": "last_delete1", "born": "born1",
+     "state AS": "state1 AS"},
+)
+
+
+def _apart(a: str, b: str) -> str:
+    """How many rows only one of two tables has."""
+    return f"""(SELECT count(*) FROM (SELECT * FROM {a} EXCEPT ALL SELECT * FROM {b}))
+  + (SELECT count(*) FROM (SELECT * FROM {b} EXCEPT ALL SELECT * FROM {a}))"""
+
+
+_CHANGED_ROWS = f"""
+SELECT 'merge' AS step, 'fact_access_grant' AS table_name, count(*) AS changed_rows FROM state1
+UNION ALL SELECT 'merge', 'fact_access_grant_history', count(*) FROM hist1
+UNION ALL SELECT 'merge again', 'fact_access_grant', {_apart("state1", "state")}
+UNION ALL SELECT 'merge again', 'fact_access_grant_history', {_apart("hist1", "hist")}
+UNION ALL SELECT 'gather', 'fact_access_grant', 0 UNION ALL SELECT 'gather', 'fact_access_grant_history', 0"""
+
 _HALVES = _STAGED + f""",
 half1 AS (SELECT * FROM staged WHERE __source_ts_ns < {_SPLIT}),
 half2 AS (SELECT * FROM staged WHERE __source_ts_ns >= {_SPLIT}),""" + _latest("half1", "b1") + "," + _latest(
@@ -383,6 +415,12 @@ FROM probes p JOIN hist h ON p.resource_id = h.resource_id AND h.effective_start
     "removal_kind": _with(
         _HIST,
         f"""SELECT {_PERIOD}, CASE WHEN is_current THEN 'open' WHEN is_deleted THEN 'hard_delete'
+  WHEN lead(effective_start) OVER (PARTITION BY grant_id ORDER BY effective_start, is_current, effective_end)
+    = effective_end THEN 'replaced' ELSE 'revoked' END AS ending FROM hist""",
+    ),
+    "removal_kind_stored": _with(
+        _HIST,
+        f"""SELECT {_PERIOD}, CASE WHEN is_current THEN 'open' WHEN is_deleted THEN 'hard_delete'
   WHEN lead(effective_start) OVER (PARTITION BY grant_id ORDER BY effective_start, is_current, effective_end)
     = effective_end THEN 'replaced' ELSE 'revoked' END AS ending FROM hist""",
     ),
@@ -424,21 +462,41 @@ UNION ALL SELECT 'fact_access_grant', count(*) FROM state
 UNION ALL SELECT 'fact_access_grant_history', count(*) FROM hist
 UNION ALL SELECT 'current_active_access', count(*) FROM state WHERE {_ACTIVE}""",
     ),
+    "row_count_stored": _with(
+        _STATE + "," + _periods("staged", "hist"),
+        f"""SELECT 'bronze' AS table_name, count(*) AS row_count FROM log
+UNION ALL SELECT 'fact_access_grant', count(*) FROM state
+UNION ALL SELECT 'fact_access_grant_history', count(*) FROM hist
+UNION ALL SELECT 'current_active_access', count(*) FROM state WHERE {_ACTIVE}""",
+    ),
+    "rewritten_without_change": _with(_AFTER_EACH, _CHANGED_ROWS),
     "period_sanity": _with(
         _ARRIVED,
         """SELECT problem, count(*) AS periods FROM (
   SELECT concat_ws(',', CASE WHEN effective_end < effective_start THEN 'inverted' END,
     CASE WHEN effective_end = effective_start THEN 'zero_length' END,
-    CASE WHEN rn > 1 AND (prev_end IS NULL OR prev_end > effective_start) THEN 'overlap' END) AS problem
-  FROM (SELECT *, lag(effective_end) OVER w AS prev_end, row_number() OVER w AS rn FROM ohist
-        WINDOW w AS (PARTITION BY o_custkey ORDER BY effective_start, is_current, effective_end)))
+    CASE WHEN endless OR reach > effective_start THEN 'overlap' END) AS problem
+  FROM (SELECT *, max(effective_end) OVER w AS reach, bool_or(effective_end IS NULL) OVER w AS endless FROM ohist
+        WINDOW w AS (PARTITION BY o_custkey ORDER BY effective_start, is_current, effective_end
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))
 WHERE problem <> '' GROUP BY problem""",
+    ),
+    "period_overlaps": _with(
+        _ARRIVED,
+        """SELECT o_custkey, effective_start, effective_end,
+  concat_ws(',', CASE WHEN effective_end < effective_start THEN 'inverted' END,
+    CASE WHEN effective_end = effective_start THEN 'zero_length' END, 'overlap') AS problem
+FROM (SELECT *, max(effective_end) OVER w AS reach, bool_or(effective_end IS NULL) OVER w AS endless FROM ohist
+      WINDOW w AS (PARTITION BY o_custkey ORDER BY effective_start, is_current, effective_end
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+WHERE endless OR reach > effective_start""",
     ),
     "period_sanity_clean": _with(
         _HIST,
         f"""SELECT {_PERIOD}, 'bad' AS problem FROM (
-  SELECT *, lag(effective_end) OVER (PARTITION BY grant_id ORDER BY effective_start) AS prev_end FROM hist)
-WHERE effective_end <= effective_start OR prev_end > effective_start""",
+  SELECT *, max(effective_end) OVER (PARTITION BY grant_id ORDER BY effective_start
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM hist)
+WHERE effective_end <= effective_start OR reach > effective_start""",
     ),
     "view_vs_history": _with(
         _STATE + "," + _periods("staged", "hist"),
@@ -536,4 +594,12 @@ WHERE p IS DISTINCT FROM o_orderstatus WINDOW w AS (PARTITION BY o_custkey ORDER
 FROM hist h JOIN versions v ON h.user_id = v.user_id AND v.effective_start <= h.effective_start
   AND (v.effective_end IS NULL OR v.effective_end > h.effective_start)""",
     ),
+    "sql_as_of": _with(_HIST, f"SELECT * FROM hist WHERE {_COVERS}"),
+    "sql_ended_between": _with(
+        _HIST,
+        f"SELECT * FROM hist WHERE effective_end >= {_AT} "
+        "AND effective_end < TIMESTAMP '2024-01-16 00:00:00'",
+    ),
+    "snapshot_diff_stored": _with(_SNAPSHOTS, "SELECT * FROM changes"),
+    "business_assertions_stored": _with(_STATE + "," + _periods("staged", "hist"), _ASSERTIONS),
 }

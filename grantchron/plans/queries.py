@@ -12,7 +12,7 @@ from grantchron.functions.times import covers, ntz
 from grantchron.model import ACTIVE_VIEW, FACT_TABLE, GRANT_DIMENSIONS, GRANTS, HISTORY_TABLE, WATERMARK_TABLE
 from grantchron.operators import batch, checks, dims, scd, temporal
 from grantchron.operators.ordered import OrderedRuns
-from grantchron.plans import catalog, dimensions
+from grantchron.plans import audit, catalog, dimensions
 from grantchron.plans.merge import run_merge
 from grantchron.plans.store import GoldStore
 from grantchron.plans.testdata import DB, EVENT_LOG, EVENT_ROW, NAMED_LOG, ORDERS, TABLE
@@ -291,6 +291,27 @@ def named_cursor(spark: SparkSession, sf: str) -> DataFrame:
     return _by_name(spark, sf, WATERMARK_TABLE)
 
 
+def _asked(spark: SparkSession, sf: str, question: str) -> DataFrame:
+    """A question to a table function of a published merge, by another session."""
+    database = f"iam_{uuid.uuid4().hex}"
+    catalog.publish_tables(_stored(spark, sf), database)
+    other = spark.newSession()
+    other.sql(f"USE {database}")  # Spark looks for table functions in the current schema only
+    return other.sql(f"SELECT * FROM {question}").drop("ending")
+
+
+@query
+def sql_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """A1-A4 in SQL."""
+    return _asked(spark, sf, f"access_as_of(TIMESTAMP_NTZ'{INSTANT}')")
+
+
+@query
+def sql_ended_between(spark: SparkSession, sf: str) -> DataFrame:
+    """A5 in SQL, over a day."""
+    return _asked(spark, sf, f"ended_between(TIMESTAMP_NTZ'{INSTANT}', TIMESTAMP_NTZ'{SPLIT}')")
+
+
 @query
 def schema_inventory(spark: SparkSession, sf: str) -> DataFrame:
     """M1, M6, V5: what of the schema is there once created and published, and after a reset."""
@@ -467,6 +488,16 @@ def removal_kind(spark: SparkSession, sf: str) -> DataFrame:
     return temporal.with_ending(_history(spark, sf))
 
 
+@query
+def removal_kind_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """A6 as two merges wrote it when they closed the periods."""
+    path, store = scratch_path(spark, "bronze"), GoldStore(spark, scratch_path(spark, "gold"))
+    for part in _halves(event_log(spark, sf)):
+        bronze.append_bronze(part, path)
+        run_merge(store, bronze.read_bronze(spark, path, EVENT_LOG))
+    return store.history(endings=True).drop("end_day")
+
+
 @query
 def event_trail(spark: SparkSession, sf: str) -> DataFrame:
     """A10 for every key: its events, each with the one before."""
@@ -527,34 +558,54 @@ def idempotency_diff(spark: SparkSession, sf: str) -> DataFrame:
     bronze.append_bronze(event_log(spark, sf), path)
     store = GoldStore(spark, scratch_path(spark, "gold"))
     before = store.latest()
-    reports = []
+    found = []
     for run in (1, 2, 3):
         commit = run_merge(store, bronze.read_bronze(spark, path, EVENT_LOG))
-        fact, history = store.current(commit), store.history(commit)
-        changed = checks.row_counts(
-            fact=checks.differences(store.current(before), fact),
-            history=checks.differences(store.history(before), history),
-        ).withColumnRenamed("row_count", "changed_rows")
-        reports.append(
-            checks.row_counts(fact=fact, history=history)
-            .join(changed, "table_name")
-            .withColumn("run", F.lit(run))
-        )
+        sizes, changed = audit.sizes(commit), audit.changed_rows(store, before, commit)
+        for name, table_name in (("fact", FACT_TABLE), ("history", HISTORY_TABLE)):
+            found.append((name, sizes[table_name], changed[table_name], run))
         before = commit
-    return reduce(DataFrame.unionByName, reports)
+    return spark.createDataFrame(found, "table_name string, row_count long, changed_rows long, run int")
+
+
+@query
+def rewritten_without_change(spark: SparkSession, sf: str) -> DataFrame:
+    """V1 where files differ and rows do not: two merges, then the closed periods gathered."""
+    first, second = _halves(event_log(spark, sf))
+    path, store = scratch_path(spark, "bronze"), GoldStore(spark, scratch_path(spark, "gold"))
+    commits = [store.latest()]
+    for part in (first, second):
+        bronze.append_bronze(part, path)
+        commits.append(run_merge(store, bronze.read_bronze(spark, path, EVENT_LOG)))
+    commits.append(store.compact())
+    found = []
+    for step, (a, b) in zip(("merge", "merge again", "gather"), zip(commits, commits[1:])):
+        found += [(step, name, n) for name, n in audit.changed_rows(store, a, b).items()]
+    return spark.createDataFrame(found, "step string, table_name string, changed_rows long")
 
 
 @query
 def bronze_immutable(spark: SparkSession, sf: str) -> DataFrame:
-    """V4: after a second append, no earlier row is gone."""
+    """V4: after a second append, no earlier row is gone; days without new files are not read."""
     path = scratch_path(spark, "bronze")
     first, second = _halves(event_log(spark, sf))
     bronze.append_bronze(first, path)
-    # A copy: in one plan Spark takes two reads of the same folder for the same data.
-    before = materialize(bronze.read_bronze(spark, path, EVENT_LOG), "bronze-before")
+    before = materialize(audit.day_prints(spark, path, EVENT_LOG), "days-before")
     bronze.append_bronze(second, path)
-    after = bronze.read_bronze(spark, path, EVENT_LOG)
-    return checks.row_counts(before=before, after=after, lost=checks.lost_rows(before, after))
+    after = materialize(audit.day_prints(spark, path, EVENT_LOG, before), "days-after")
+    broken = audit.broken_days(before, bronze.with_capture_day(second), after)
+    found = [
+        days.agg(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("row_count")).withColumn("table_name", F.lit(name))
+        for name, days, n in (("before", before, "rows"), ("after", after, "rows"), ("lost", broken, "expected"))
+    ]
+    return reduce(DataFrame.unionByName, found).select("table_name", "row_count")
+
+
+@query
+def row_count_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """V3 of a stored run, by what its commit says."""
+    found = audit.sizes(_stored(spark, sf).latest())
+    return spark.createDataFrame(list(found.items()), "table_name string, row_count long")
 
 
 @query
@@ -580,6 +631,15 @@ def period_sanity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def period_overlaps(spark: SparkSession, sf: str) -> DataFrame:
+    """V7: the periods of the order log that an earlier one, next to it or not, reaches into."""
+    found = checks.period_problems(_arrivals_merged(spark, sf), ORDERS)
+    return found.filter(F.col("problem").contains("overlap")).select(
+        "o_custkey", "effective_start", "effective_end", "problem"
+    )
+
+
 @query
 def period_sanity_clean(spark: SparkSession, sf: str) -> DataFrame:
     """V7 on the event log, whose times only rise: no rows."""
@@ -658,6 +718,24 @@ def double_load(spark: SparkSession, sf: str) -> DataFrame:
 def business_assertions(spark: SparkSession, sf: str) -> DataFrame:
     """V2: nine answers from gold against the same numbers taken from the events."""
     log = materialize(event_log(spark, sf), "event-log")  # read seven times
+    return _assertions(log, scd.access_history(log), scd.current_state(log))
+
+
+@query
+def business_assertions_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """V2 of gold that two merges stored, asked for by name by another session."""
+    database = f"iam_{uuid.uuid4().hex}"
+    path, store = scratch_path(spark, "bronze"), GoldStore(spark, scratch_path(spark, "gold"))
+    for part in _halves(event_log(spark, sf)):
+        bronze.append_bronze(part, path)
+        run_merge(store, bronze.read_bronze(spark, path, EVENT_LOG))
+    catalog.publish_tables(store, database)
+    other = spark.newSession()
+    gold = [other.table(f"{database}.{name}") for name in (HISTORY_TABLE, FACT_TABLE)]
+    return _assertions(bronze.read_bronze(other, path, EVENT_LOG), *gold)
+
+
+def _assertions(log: DataFrame, history: DataFrame, fact: DataFrame) -> DataFrame:
     staged = batch.stage(log)
     last = batch.latest_per_key(staged)
     at_instant = batch.latest_per_key(staged.filter(F.col("business_ts") <= ntz(INSTANT)))
@@ -679,7 +757,6 @@ def business_assertions(spark: SparkSession, sf: str) -> DataFrame:
         checks.tally(followed.rows(), periods_ended_by_hard_delete=_count(ends)),
         checks.tally(staged, periods_in_history=_count(keeps)),
     ]
-    history, fact = scd.access_history(log), scd.current_state(log)
     current = history.filter("is_current").groupBy("grant_id").agg(_count().alias("n"))
     judged = current.join(last.select("grant_id", "op", "closes_access"), "grant_id")
     actual = [
@@ -783,6 +860,17 @@ def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
     return snapshots.diff_snapshots(old, new, GRANTS.key, SPLIT_NS)
 
 
+@query
+def snapshot_diff_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """S5 between two saved snapshots, by the buckets that differ."""
+    database = f"snapshots_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    names = [f"{database}.before", f"{database}.after"]
+    for name, rows in zip(names, _snapshots(spark, sf), strict=True):
+        snapshots.save_snapshot(rows, name, GRANTS.key, 8, scratch_path(spark, "snapshot"))
+    return snapshots.diff_stored(spark, *names, GRANTS.key, SPLIT_NS)
+
+
 @query
 def incremental_missed(spark: SparkSession, sf: str) -> DataFrame:
     """Hard deletes, which an updated_at extract does not show."""

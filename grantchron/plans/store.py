@@ -57,6 +57,9 @@ class Commit:
     changes: str = "record"  # what starts a period: a change of the record, or of access only
     # Of each dimension the batches with closed versions, bucket -> batch with open ones, and keys given.
     dims: dict[str, dict] = field(default_factory=dict)
+    # Fingerprints (`audit`): of buckets of current and open, of batches of closed.
+    prints: dict[str, dict[str, list]] = field(default_factory=dict)
+    events: int = 0  # taken so far, fit or not
 
 
 class GoldStore:
@@ -170,30 +173,43 @@ class GoldStore:
     ) -> DataFrame:
         commit = commit or self.latest()
         slots = _pick(commit.open, buckets)
-        rows = self._read("history", self.history_schema, sorted(set(slots.values())), _PERIOD)
+        rows = self._read("history", self._periods, sorted(set(slots.values())), _PERIOD)
         # Stored with the open ones are pending periods, whose end an event may still change.
         is_open = F.col("effective_end").isNull()
         return rows.filter(F.col("is_current") & self._live(slots)).select(
             *[is_open.alias(n) if n == "is_current" else n for n in self.history_schema.names],
-            *([(~is_open).alias("pending")] if with_pending else []),
+            *([(~is_open).alias("pending"), "ending"] if with_pending else []),
         )
 
-    def closed_periods(self, commit: Commit | None = None) -> DataFrame:
+    @property
+    def _periods(self) -> T.StructType:
+        """As stored: with how a period ended."""
+        return T.StructType([*self.history_schema.fields, T.StructField("ending", T.StringType())])
+
+    def closed_periods(self, commit: Commit | None = None, batches=None, endings: bool = False) -> DataFrame:
         commit = commit or self.latest()
-        rows = self._read("history", self.history_schema, commit.closed, _PERIOD)
+        rows = self._read("history", self._periods, commit.closed if batches is None else batches, _PERIOD)
         return rows.filter(~F.col("is_current")).select(
             *[F.lit(False).alias(n) if n == "is_current" else n for n in self.history_schema.names],
             # The filter on folders may meet the buckets' names, which are no dates.
             F.col("slot").try_cast("date").alias("end_day"),
+            *(["ending"] if endings else []),
         )
 
-    def history(self, commit: Commit | None = None) -> DataFrame:
-        """All periods, with the end_day (null if open) that questions about a time prune by."""
+    def history(self, commit: Commit | None = None, endings: bool = False) -> DataFrame:
+        """All periods, with the end_day (null if open) that questions about a time prune by.
+
+        endings adds how each ended, as the merge that closed it saw (A6): by a hard delete, by a
+        revocation, or replaced by the next version; without an event to end it, it is open or,
+        with an end that it arrived with, revoked.
+        """
         commit = commit or self.latest()
-        now = self.open_periods(commit)
-        return self.closed_periods(commit).unionByName(
-            now.withColumn("end_day", F.col("effective_end").cast("date"))
-        )
+        now = self.open_periods(commit, with_pending=True).drop("pending")
+        now = now.withColumn("end_day", F.col("effective_end").cast("date"))
+        found = self.closed_periods(commit, endings=True).unionByName(now)
+        if not endings:
+            return found.drop("ending")
+        return found.withColumn("ending", F.when(F.col("is_current"), F.lit("open")).otherwise(F.col("ending")))
 
     def open_versions(self, dim: Dimension, commit: Commit, buckets=None) -> DataFrame:
         slots = _pick(commit.dims.get(dim.name, {}).get("open", {}), buckets)
@@ -284,9 +300,11 @@ class GoldStore:
         if len(commit.closed) < 2:
             return commit
         batch = new_batch(commit.version + 1)
-        self.write_history(self.closed_periods(commit).drop("end_day"), batch)
+        self.write_history(self.closed_periods(commit, endings=True).drop("end_day"), batch)
         self.write_taken(self.taken(commit), batch)
-        compacted = replace(commit, version=commit.version + 1, closed=[batch], taken=[batch])
+        closed = {batch: added_up(commit.prints["closed"].values())} if "closed" in commit.prints else {}
+        prints = {**commit.prints, "closed": closed} if closed else {}
+        compacted = replace(commit, version=commit.version + 1, closed=[batch], taken=[batch], prints=prints)
         self.publish(compacted)
         return compacted
 
@@ -347,6 +365,12 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(1).select(*columns).filter(F.lit(False))
 
 
+def added_up(prints) -> list:
+    """Fingerprints [rows, sum, sum] of parts as that of all of them; sums are kept as text."""
+    prints = list(prints)
+    return [sum(p[0] for p in prints), *(str(sum(int(p[i]) for p in prints)) for i in (1, 2))]
+
+
 def _names(fs, folder) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
 

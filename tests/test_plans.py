@@ -14,6 +14,8 @@ EAGER = {
     "routed_by_table", "completeness_gate", "named_history", "named_state", "named_active",
     "named_cursor", "schema_inventory", "access_change_two_batches",
     "dim_user_in_schema", "dim_role_in_schema", "history_with_user",
+    "rewritten_without_change", "row_count_stored", "removal_kind_stored", "sql_as_of", "sql_ended_between",
+    "snapshot_diff_stored", "business_assertions_stored",
 }
 
 
