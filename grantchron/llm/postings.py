@@ -16,7 +16,6 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from grantchron.llm.hashing import U64, mix
-from grantchron.session import estimated_bytes
 
 NO_ID = np.iinfo(np.int64).max  # stands for a null id: last in order
 ROWS = "bucket int, settled boolean, blob binary"
@@ -108,8 +107,10 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> U64(40)) % U64(buckets)).astype(np.int32)
 
 
-def bucket_of_ids(ids: np.ndarray, buckets: int) -> np.ndarray:
-    return bucket_of(mix(ids.astype(np.int64).view(U64)), buckets)
+def bucket_of_documents(ids: np.ndarray, ties: np.ndarray, buckets: int) -> np.ndarray:
+    """By id and tie, so that documents with one id, or none, are spread."""
+    own = mix(ids.astype(np.int64).view(U64))
+    return bucket_of(mix(own + ties.astype(np.int64).view(U64)), buckets)
 
 
 def dealt(places: Places, bucket: np.ndarray, settled: bool, widths: tuple[int, ...] = ()) -> Iterator[tuple]:
@@ -134,7 +135,7 @@ def by_document(places: Places, buckets: int) -> Iterator[tuple]:
     fresh = new | (np.diff(pos, prepend=-1) != 0)
     first = np.flatnonzero(new)
     unique = Places(ids[first], ties[first], doc[fresh], pos[fresh])
-    yield from dealt(unique, bucket_of_ids(unique.ids, buckets)[unique.doc], True)
+    yield from dealt(unique, bucket_of_documents(unique.ids, unique.ties, buckets)[unique.doc], True)
 
 
 def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -160,10 +161,10 @@ def texts_by_bucket(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
+            ids, ties = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             packed = [compress((t or "").encode()) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket_of_ids(ids, buckets)), b.column(0), b.column(1), pa.array(packed, pa.binary())],
+                [pa.array(bucket_of_documents(ids, ties, buckets)), b.column(0), b.column(1), pa.array(packed, pa.binary())],
                 names=["bucket", "id", "tie", "packed"],
             )
 
@@ -224,9 +225,10 @@ def edges_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(change == 1), np.flatnonzero(change == -1)
 
 
-def buckets_for(docs: DataFrame, least: int = 64, megabytes: int = 16) -> int:
-    """So many that one holds about `megabytes` of input; only the plan depends on it."""
-    return min(max(least, estimated_bytes(docs) // (megabytes << 20)), 1 << 20)
+def buckets_for(docs: DataFrame, text_col: str = "text", least: int = 64, megabytes: int = 26) -> int:
+    """So many that one holds about `megabytes` of text, by a count of them; only the plan depends on it."""
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return min(max(least, size // (megabytes << 20)), 1 << 20)
 
 
 def part_bytes(buckets: int) -> int:

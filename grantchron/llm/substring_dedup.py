@@ -212,7 +212,7 @@ def substring_dedup(
     order of a hash of their text; rows that agree in both are one document, and each gets its
     result. Null or empty texts have no words; other columns of docs are left out.
     """
-    n = buckets or P.buckets_for(docs)
+    n = buckets or P.buckets_for(docs, text_col)
     rows = P.keyed(docs, id_col, text_col)
     texts = P.texts_by_bucket(rows, n)
     hits = (

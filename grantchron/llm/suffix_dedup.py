@@ -222,7 +222,7 @@ def _ranges(ids: np.ndarray, ties: np.ndarray, known: list[tuple], buckets: int)
         doc, pos, count = (np.array(x) for x in zip(*known, strict=True))
         order = np.lexsort((pos, doc))
         places = P.Places(ids, ties, doc[order], pos[order], (count[order].astype(U64),))
-        yield from P.dealt(places, P.bucket_of_ids(ids, buckets)[places.doc], True, _RANGE)
+        yield from P.dealt(places, P.bucket_of_documents(ids, ties, buckets)[places.doc], True, _RANGE)
 
 
 def _first_of_equal(pieces: list[bytes]) -> tuple[list[int], list[int]]:
@@ -388,7 +388,7 @@ def suffix_dedup(
     order of a hash of their text; rows that agree in both are one document, and each gets its
     result. Null or empty texts have no bytes; other columns of docs are left out.
     """
-    n = buckets or P.buckets_for(docs)
+    n = buckets or P.buckets_for(docs, text_col)
     rows = P.keyed(docs, id_col, text_col)
     texts = P.texts_by_bucket(rows, n)
     hits = rows.mapInArrow(_anchors(n), P.ROWS).groupBy("bucket").applyInArrow(_hits(n), P.ROWS)

@@ -10,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 
 import brute
 import samples
-from grantchron.llm import exact_dedup, ngram_join, substring_dedup, suffix_dedup
+from grantchron.llm import exact_dedup, ngram_join, postings, substring_dedup, suffix_dedup
 from grantchron.llm.suffix_array import suffix_array
 from pyspark.sql import functions as F
 
@@ -191,3 +191,18 @@ def test_a_text_longer_than_a_step(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(docs, buckets=4).collect()}
     assert found == {1: (200_000, 30), 2: (25, 25), 3: (2, 0)}
+
+
+def test_documents_without_an_id_are_spread_over_buckets(spark):
+    rows = [(None, f"text {i}") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = postings.texts_by_bucket(postings.keyed(docs, "doc_id", "text"), 64)
+    most = texts.groupBy("bucket").count().agg(F.max("count"), F.count("bucket")).first()
+    assert most[0] < 50 and most[1] > 55
+
+
+def test_buckets_follow_the_bytes_of_text(spark):
+    docs = spark.createDataFrame([(1, "x" * 1000)] * 300, "doc_id long, text string")
+    joined = docs.join(docs.select("doc_id").distinct(), "doc_id")
+    assert postings.buckets_for(joined, least=1, megabytes=1) == 1
+    assert postings.buckets_for(docs.crossJoin(spark.range(10)), least=1, megabytes=1) == 2
