@@ -144,8 +144,14 @@ def encode(
 
 
 @cache
-def _words(path: str) -> list[bytes]:
-    return sorted(read_ranks(path), key=read_ranks(path).get)
+def _words(path: str) -> list[bytes | None]:
+    """For each id its bytes, by the reverse of the byte table; None for numbers that are no id."""
+    byte_of = {c: b for b, c in enumerate(byte_characters())}
+    named = rank_tokenizer(path).get_vocab()
+    words: list[bytes | None] = [None] * (max(named.values(), default=-1) + 1)
+    for name, i in named.items():
+        words[i] = bytes([byte_of[c] for c in name])
+    return words
 
 
 def _joined(column: pa.Array, path: str) -> Iterator[bytes | None]:
