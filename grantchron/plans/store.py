@@ -36,6 +36,7 @@ from grantchron.model import (
 from grantchron.operators.batch import identity_columns
 
 
+MANY_BATCHES = 100  # from which a table's folders are not named to the reader one by one
 ATOMIC_RENAME = ("file", "hdfs", "abfs", "abfss")
 
 
@@ -150,9 +151,11 @@ class GoldStore:
             + [T.StructField(n, t) for n, t in (("batch", T.StringType()), *partitions)]
         )
         root = f"{self.path}/{table}"
-        paths = [f"{root}/batch={b}" for b in batches]
-        if not paths:
+        if not batches:
             return empty(self.spark, schema)
+        if len(batches) > MANY_BATCHES:  # tasks list the folders, and the predicate picks them
+            return self.spark.read.schema(schema).parquet(root).filter(F.col("batch").isin(list(batches)))
+        paths = [f"{root}/batch={b}" for b in batches]
         return self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
 
     @staticmethod

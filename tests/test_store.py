@@ -260,3 +260,16 @@ def test_access_only_periods_over_merges(spark, folder):
         run_merge(store, log(spark, *done, event(10, "d", 9)))
     with pytest.raises(ValueError, match="prerevoked"):
         run_merge(store, log(spark, *done), changes="access", prerevoked="closed")
+
+
+def test_many_batches_are_picked_by_predicate(spark, folder, monkeypatch):
+    store = GoldStore(spark, folder + "/gold", buckets=2)
+    for last in range(2, 10):
+        run_merge(store, story.bronze(spark, range(1, last)))
+    one_by_one = content(store)
+    monkeypatch.setattr("grantchron.plans.store.MANY_BATCHES", 1)
+    assert content(store) == one_by_one
+    run_merge(store, story.bronze(spark))
+    assert content(store) == (story.HISTORY, [1, 2, 3, 4, 6])
+    text = store.closed_periods()._jdf.queryExecution().executedPlan().toString()
+    assert "batch" in text.split("PartitionFilters")[1].split("PushedFilters")[0]
