@@ -168,7 +168,7 @@ def test_every_conversation_survives_loss_of_all_its_rows():
     assert any(v == (0,) * 6 + ("", hashlib.sha256(b"").hexdigest()) for v in expected(rows).values())
 
 
-@pytest.mark.parametrize(("tasks", "piece_rows"), [(1, 1000), (9, 1000), (40, 7)])
+@pytest.mark.parametrize(("tasks", "piece_rows"), [(1, 1000), (5, 1000), (17, 7)])
 def test_conversations_against_plain_repair(spark, tasks, piece_rows):
     rows = conversations()
     rows += [(2000 + i, 0, "user", "a.", 1, "r", "i", 2) for i in range(60)]
