@@ -28,7 +28,7 @@ _UNCOMMON = re.compile("[^\x00-\x1b\x20-ԯ‐-‧‰-⁞]")
 #: What a worker keeps of pre-tokens it has met; beyond either it starts anew.
 CACHE_PIECES, CACHE_CHARS = 150_000, 3_000_000
 #: Characters of text that a worker handles at once.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 700_000
 
 
 @cache

@@ -29,6 +29,7 @@ EACH_ROUND = 200  # most labels that a view gives in a round
 SURE = 0.95
 REJECT_BELOW = 0.5  # combined probability of good quality
 
+AT_ONCE = 1_000_000  # bytes of text whose features a worker makes at once
 CATEGORIES, NUMBERS = ("lang", "source"), ("n_chars",)  # what is known about a document
 _TRIGRAMS, _CATEGORY = 256, 32
 _RIDGE = 1.0
@@ -193,7 +194,7 @@ def _featured(rows: DataFrame, categories: int, numbers: int) -> DataFrame:
     """Rows of _FEATURES, of rows (id, text, *views, label)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in parts(batches, 1):
+        for part, data, offsets in parts(batches, 1, AT_ONCE):
             ids = part.column(0).cast(pa.string())
             order = [xxhash.xxh3_64_intdigest(i) >> 1 for i in ids.to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -230,7 +231,7 @@ def _surest(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
-        for part, data, offsets in parts(batches, 1):
+        for part, data, offsets in parts(batches, 1, AT_ONCE):
             views = text_view(data, offsets), known_view(part, categories, numbers)
             ids = part.column(0).cast(pa.string()).to_pylist()
             for teacher, weights in ((0, model.text), (1, model.known)):
@@ -368,7 +369,7 @@ def score(
     sent = [F.lit(0), F.col(text_col), *views[2:], *(F.col(c) for c in others)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in parts(batches, 1):
+        for part, data, offsets in parts(batches, 1, AT_ONCE):
             probabilities = model.scores(
                 text_view(data, offsets), known_view(part, len(categories), len(numbers))
             )
