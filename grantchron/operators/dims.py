@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from grantchron.model import ACCESS, GRANTS, ChangeSpec
-from grantchron.operators.ordered import OrderedRuns
-from grantchron.session import materialize
+from grantchron.operators.ordered import NO_HOT_KEYS, OrderedRuns, find_hot_keys, same
+from grantchron.session import estimated_bytes, hot_key_rows, materialize, small_input_bytes
+
+
+# A key is busy with more events than this part of those of a hot one.
+BUSY_SHARE = 10
 
 
 def latest_dimension(events: DataFrame, key, attributes, order) -> DataFrame:
@@ -74,6 +80,51 @@ def changed_only(
     return rows.filter(~F.col("__prev").eqNullSafe(state)).select(*events.columns)
 
 
+def without_quiet_hours(
+    events: DataFrame, attributes, spec: ChangeSpec = GRANTS, hot_limit: int | None = None
+) -> tuple[DataFrame, float | None]:
+    """The events without some that tell the attributes of a busy key as the event before them does.
+
+    In an hour of capture in which all events of the key tell the same, only the first can differ
+    from its predecessor; of such hours it alone stays, found before the shuffle. Hours that tell
+    different things, and keys with few events for a hot one, stay whole. So each event that changes the
+    attributes stays, and what an event that stays follows still tells what its predecessor told.
+
+    Also the hot_limit of what is left: NO_HOT_KEYS where it is known to have none.
+    """
+    if hot_limit is None and estimated_bytes(events) < small_input_bytes(events.sparkSession):
+        return events, NO_HOT_KEYS
+    limit = hot_limit or hot_key_rows(events.sparkSession)
+    hot = find_hot_keys(events, spec.key, max(1, limit // BUSY_SHARE))
+    if hot is None:
+        return events, NO_HOT_KEYS
+    on = same(events, hot.keys, spec.key)
+    plain = events.join(F.broadcast(hot.keys), on, "left_anti")
+    busy = events.join(F.broadcast(hot.keys), on, "left_semi").withColumn(
+        "__hour", F.expr(f"`{spec.capture_ns}` div {3600 * 10**9}")
+    )
+    hour = [*spec.key, "__hour"]
+    others = [c for c in events.columns if c not in (*spec.key, *attributes, *spec.order)]
+    # One row for each thing told in an hour of a key: written, as all that follows starts from it.
+    told = materialize(
+        busy.groupBy(*hour, *attributes).agg(
+            F.min(F.struct(*spec.order, *others)).alias("__first"), F.count(F.lit(1)).alias("__n")
+        ),
+        "told-by-hour",
+    )
+    hours = told.groupBy(*hour).agg(F.count(F.lit(1)).alias("__told"), F.sum("__n").alias("__n"))
+    loud = F.col("__told") > 1
+    left = hours.groupBy(*spec.key).agg(F.sum(F.when(loud, F.col("__n")).otherwise(1)).alias("__n"))
+    still_hot = hot.limit > limit or not left.filter(F.col("__n") > limit).isEmpty()
+    mixed = hours.filter(loud).select(*hour)
+    kept = [
+        plain,
+        told.join(mixed, same(told, mixed, hour), "left_anti").select(*spec.key, *attributes, "__first.*"),
+        busy.join(mixed, same(busy, mixed, hour), "left_semi").drop("__hour"),
+    ]
+    return reduce(DataFrame.unionByName, kept), hot_limit if still_hot else NO_HOT_KEYS
+
+
 def attribute_history(
     events: DataFrame, key, order, attributes, changed_at: str, hot_limit: int | None = None
 ) -> DataFrame:

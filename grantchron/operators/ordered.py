@@ -18,9 +18,11 @@ from grantchron.session import estimated_bytes, hot_key_rows, materialize, small
 _RANGE = "__range"
 # Where more ranges than this would be needed, each may hold more rows.
 MAX_RANGES = 20_000
+# As a limit: the caller knows that no key is hot, and none is looked for.
+NO_HOT_KEYS = float("inf")
 
 
-def _same(left: DataFrame, right: DataFrame, names) -> Column:
+def same(left: DataFrame, right: DataFrame, names) -> Column:
     """Equality that also matches NULL to NULL, as a window partition does."""
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
 
@@ -37,9 +39,11 @@ class HotKeys:
         return max(2, -(-2 * self.n_rows // self.limit))
 
 
-def find_hot_keys(df: DataFrame, key, limit: int | None = None) -> HotKeys | None:
+def find_hot_keys(df: DataFrame, key, limit: float | None = None) -> HotKeys | None:
     """Keys with more rows than `limit`, which rises with the data: at most MAX_RANGES / 2."""
     spark = df.sparkSession
+    if limit == NO_HOT_KEYS:
+        return None
     if limit is None:
         if estimated_bytes(df) < small_input_bytes(spark):
             return None
@@ -70,7 +74,7 @@ class OrderedRuns:
             return
         # At most MAX_RANGES / 2 keys, so broadcasting them is bounded.
         keys = F.broadcast(hot.keys)
-        on = _same(df, hot.keys, self.key)
+        on = same(df, hot.keys, self.key)
         self._plain = df.join(keys, on, "left_anti")
         # Written out, so that every later use sees the same range numbers.
         self._ranged = materialize(
@@ -87,6 +91,7 @@ class OrderedRuns:
         last: dict[str, Column] | None = None,
         coming: dict[str, Column] | None = None,
         largest: dict[str, Column] | None = None,
+        before: dict[str, Column] | None = None,
     ) -> "OrderedRuns":
         """Add columns, each named after the value it carries from other rows of the key.
 
@@ -94,8 +99,9 @@ class OrderedRuns:
                       means that there is no such row
         last, coming  the nearest value that is not NULL, from this row back or after it
         largest       the largest value of all rows before; NULL if there is none
+        before        the nearest value that is not NULL of the rows before
         """
-        asked = (prev or {}, next or {}, last or {}, coming or {}, largest or {})
+        asked = (prev or {}, next or {}, last or {}, coming or {}, largest or {}, before or {})
         out = object.__new__(OrderedRuns)
         out.key, out.order = self.key, self.order
         out._plain = self._windowed(self._plain, self.key, *asked)
@@ -112,9 +118,9 @@ class OrderedRuns:
             return self._plain
         return self._plain.unionByName(self._ranged.drop(_RANGE))
 
-    def _windowed(self, df, partition, prev, next, last, coming, largest) -> DataFrame:
+    def _windowed(self, df, partition, prev, next, last, coming, largest, before) -> DataFrame:
         w = Window.partitionBy(*partition).orderBy(*self.order)
-        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        above = w.rowsBetween(Window.unboundedPreceding, -1)
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         back = Window.partitionBy(*partition).orderBy(*[F.col(c).desc() for c in self.order])
         ahead = back.rowsBetween(Window.unboundedPreceding, -1)
@@ -124,10 +130,11 @@ class OrderedRuns:
             *[F.lead(c).over(w).alias(a) for a, c in next.items()],
             *[F.last(c, ignorenulls=True).over(so_far).alias(a) for a, c in last.items()],
             *[F.last(c, ignorenulls=True).over(ahead).alias(a) for a, c in coming.items()],
-            *[F.max(c).over(before).alias(a) for a, c in largest.items()],
+            *[F.max(c).over(above).alias(a) for a, c in largest.items()],
+            *[F.last(c, ignorenulls=True).over(above).alias(a) for a, c in before.items()],
         )
 
-    def _linked(self, prev, next, last, coming, largest) -> DataFrame:
+    def _linked(self, prev, next, last, coming, largest, before) -> DataFrame:
         def some(c: Column) -> Column:
             return F.when(c.isNotNull(), position)
 
@@ -135,7 +142,7 @@ class OrderedRuns:
         boxes = {
             **{a: F.max_by(_box(c), position) for a, c in prev.items()},
             **{a: F.min_by(_box(c), position) for a, c in next.items()},
-            **{a: F.max_by(_box(c), some(c)) for a, c in last.items()},
+            **{a: F.max_by(_box(c), some(c)) for a, c in (last | before).items()},
             **{a: F.min_by(_box(c), some(c)) for a, c in coming.items()},
         }
         edges = self._ranged.groupBy(*self.key, _RANGE).agg(
@@ -143,16 +150,16 @@ class OrderedRuns:
             *[F.max(c).alias(f"__e_{a}") for a, c in largest.items()],
         )
         w = Window.partitionBy(*self.key).orderBy(_RANGE)
-        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        above = w.rowsBetween(Window.unboundedPreceding, -1)
         after = w.rowsBetween(1, Window.unboundedFollowing)
         # One row per (key, range): at most the number of ranges plus the number of hot keys.
         edges = edges.select(
             *[F.col(k).alias(f"__k_{k}") for k in (*self.key, _RANGE)],
             *[F.lag(f"__e_{a}").over(w).alias(f"__x_{a}") for a in prev],
             *[F.lead(f"__e_{a}").over(w).alias(f"__x_{a}") for a in next],
-            *[F.last(f"__e_{a}", ignorenulls=True).over(before).alias(f"__x_{a}") for a in last],
+            *[F.last(f"__e_{a}", ignorenulls=True).over(above).alias(f"__x_{a}") for a in last | before],
             *[F.first(f"__e_{a}", ignorenulls=True).over(after).alias(f"__x_{a}") for a in coming],
-            *[F.max(f"__e_{a}").over(before).alias(f"__x_{a}") for a in largest],
+            *[F.max(f"__e_{a}").over(above).alias(f"__x_{a}") for a in largest],
         )
         inner = self._windowed(
             self._ranged,
@@ -162,6 +169,7 @@ class OrderedRuns:
             {a: F.when(c.isNotNull(), _box(c)) for a, c in last.items()},
             {a: F.when(c.isNotNull(), _box(c)) for a, c in coming.items()},
             largest,
+            {a: F.when(c.isNotNull(), _box(c)) for a, c in before.items()},
         )
         on = reduce(
             lambda a, b: a & b,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from grantchron.model import Dimension
 from grantchron.operators.batch import relate_events
-from grantchron.operators.dims import dense_key
+from grantchron.operators.dims import dense_key, without_quiet_hours
 from grantchron.operators.scd import access_changes, scd2_merge
 from grantchron.operators.temporal import as_of_probes
 from grantchron.plans.store import Commit, GoldStore
@@ -36,13 +36,14 @@ def load(
         F.lit(False).alias("closes_access"),
         never,
     )
+    told, hot_limit = without_quiet_hours(told, dim.attributes, spec, hot_limit)
     related = relate_events(told, spec, "all", hot_limit, with_origin=False, tracked=dim.attributes)
+    # Written, as access_changes starts from them several times.
+    related = store.stage(related.filter("is_first OR changed"), batch, f"{dim.name}-told")
     changes = access_changes(
         related, store.open_versions(dim, before, touched), spec, dim.attributes, hot_limit=hot_limit
     )
-    path = store.staged(batch, dim.name)
-    changes.write.parquet(path)
-    changes = store.spark.read.schema(changes.schema).parquet(path)
+    changes = store.stage(changes, batch, dim.name)
     changed = changes.agg(F.collect_set(store.bucket(dim.key))).first()[0]  # at most store.buckets values
     if not changed:
         return None

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, functions as F
@@ -112,16 +113,6 @@ def run_merge(
         starting = access_changes(related, open_rows, spec, access, few_keys, hot_limit)
     writes.append((store.write_history, scd2_merge(open_rows, starting, spec, prerevoked, few_keys)))
     writes.append((store.write_current, scd1_merge(current, related, spec, few_keys)))
-    dims = dict(before.dims)
-    loads = [
-        (dimensions.load, store, before, dim, related, batch, summary[dim.name], hot_limit)
-        for dim in store.dimensions
-    ]
-    for dim, found in zip(store.dimensions, _together(store, loads), strict=True):
-        if found:
-            write, versions, dims[dim.name] = found
-            writes.append((write, versions))
-    _write_together(store, writes, batch)
     commit = Commit(
         version=before.version + 1,
         cursor=_further(before.cursor, summary["reached"]),
@@ -132,11 +123,27 @@ def run_merge(
         quarantine=quarantine,
         taken=taken,
         changes=changes,
-        dims=dims,
         events=before.events + summary["events"],
     )
-    if before.prints or not before.closed:  # a store from before there were prints has none
-        commit = replace(commit, prints=audit.prints_after(store, before, commit, batch))
+
+    def facts() -> dict:
+        _write_together(store, writes, batch)
+        if before.prints or not before.closed:  # a store from before there were prints has none
+            return audit.prints_after(store, before, commit, batch)
+        return {}
+
+    def dimension(dim: Dimension) -> dict[str, dict]:
+        found = dimensions.load(store, before, dim, related, batch, summary[dim.name], hot_limit)
+        if not found:
+            return {}
+        write, versions, state = found
+        write(versions, batch)
+        return {dim.name: state}
+
+    # Facts and dimensions do not need each other; all are written before the commit.
+    prints, *found = _together(store, [(facts,), *[(dimension, dim) for dim in store.dimensions]])
+    dims = reduce(lambda states, state: {**states, **state}, found, before.dims)
+    commit = replace(commit, dims=dims, prints=prints)
     store.publish(commit)
     store.drop_staged(batch)
     return commit
@@ -196,9 +203,7 @@ def _write_staged(
             "reason": F.when(~fit, F.col("reason")),
         }
     )
-    path = store.staged(batch)
-    rows.write.parquet(path)
-    return store.spark.read.schema(rows.schema).parquet(path)
+    return store.stage(rows, batch)
 
 
 def _further(old, reached) -> list[int]:

@@ -345,9 +345,15 @@ class GoldStore:
 
     def drop_staged(self, batch: str) -> None:
         jvm, folder, fs, _ = self._hadoop()
-        for part in ("", *(dim.name for dim in self.dimensions)):
+        for part in ("", *(f"{dim.name}{of}" for dim in self.dimensions for of in ("", "-told"))):
             fs.delete(jvm.org.apache.hadoop.fs.Path(self.staged(batch, part)), True)
 
+    def stage(self, rows: DataFrame, batch: str, part: str = "") -> DataFrame:
+        """The rows as written for later steps of this merge, which drop_staged removes."""
+        path = self.staged(batch, part)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def staged(self, batch: str, part: str = "") -> str:
         return f"{self.path}/_staging/batch={batch}{part and '-'}{part}"
 

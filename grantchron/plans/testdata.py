@@ -57,8 +57,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
-def event_log(spark: SparkSession, sf: str, hot_limit: int | None = None) -> DataFrame:
-    """events as a bronze log: one grant per user_id."""
+def event_log(
+    spark: SparkSession, sf: str, hot_limit: int | None = None, before_ns: int | None = None
+) -> DataFrame:
+    """events as a bronze log: one grant per user_id. An event is told by those before it, so that
+    the log up to a capture time (before_ns, itself left out) needs none of the later events.
+    """
     kind, ts = F.col("event_type"), F.col("ts")
     events = table(spark, sf, "events").select(
         "event_id",
@@ -67,6 +71,8 @@ def event_log(spark: SparkSession, sf: str, hot_limit: int | None = None) -> Dat
         "ts",
         capture_ns(ts).alias("__source_ts_ns"),
     )
+    if before_ns is not None:
+        events = events.filter(F.col("__source_ts_ns") < before_ns)
     runs = OrderedRuns(events, GRANTS.key, GRANTS.order, hot_limit).add(
         prev={"__prev": F.struct("event_type")}
     )
@@ -107,12 +113,12 @@ NAMED_LOG = T.StructType(
 )
 
 
-def named_log(spark: SparkSession, sf: str) -> DataFrame:
+def named_log(spark: SparkSession, sf: str, before_ns: int | None = None) -> DataFrame:
     """The log with names; a user's address changes now and then, a role's category once."""
     said, number = "CAST({} AS string)", F.col("event_id")
     user, role, resource = (F.expr(said.format(c)) for c in ("user_id", "role_id", "resource_id"))
     moved = F.floor(number / 50) % 3
-    return event_log(spark, sf).withColumns(
+    return event_log(spark, sf, before_ns=before_ns).withColumns(
         {
             "user_name": F.concat(F.lit("user "), user),
             "user_email": F.concat(F.lit("u"), user, F.lit("@d"), moved.cast("string"), F.lit(".example")),

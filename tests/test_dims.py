@@ -118,6 +118,50 @@ def test_loads_in_any_split_equal_one_pass(spark, folder):
     assert _versions(store, user) == found
 
 
+def test_a_busy_key_is_thinned_before_it_is_put_in_order(spark, folder, monkeypatch):
+    """A user with an event a minute over ten hours, told otherwise twice within one of them."""
+    start, minute = ns(0), 60 * 10**9
+    names = ["b" if 330 <= i < 335 else None if i >= 500 else "a" for i in range(600)]
+    rows = [
+        (i, i % 50, 7 if i % 60 else 8, name, "x", 1, 1, day(0), day(i), False, "r", start + i * minute)
+        for i, name in enumerate(names)
+    ]
+    columns = "event_id long, grant_id long, user_id long, user_name string, user_email string, role_id long, " \
+        "resource_id long, granted_at timestamp_ntz, updated_at timestamp_ntz, is_deleted boolean, " \
+        "__op string, __source_ts_ns long"
+    log = spark.createDataFrame(rows, columns).withColumn("revoked_at", F.lit(None).cast("timestamp_ntz"))
+    user, seen, relate = GRANT_DIMENSIONS[0], [], dimensions.relate_events
+
+    def counted(told, *args, **kwargs):
+        seen.append(told.count())
+        return relate(told, *args, **kwargs)
+
+    monkeypatch.setattr(dimensions, "relate_events", counted)
+    found = []
+    for n, hot_limit in enumerate((10**9, 100, 1000)):
+        store = GoldStore(spark, f"{folder}/gold{n}", buckets=3, dimensions=(user,))
+        for cut in (200, 600):
+            run_merge(store, log.filter(F.col("event_id") < cut), hot_limit=hot_limit)
+        found.append(_versions(store, user))
+    assert seen[:2] == [200, 400] and max(seen[2:]) < 200
+    assert found[0] == found[1] == found[2]
+    of_seven = sorted((v for v in found[0] if v[1] == 7), key=lambda v: v[4])
+    assert [(v[2], v[4]) for v in of_seven] == [("a", day(1)), ("b", day(330)), ("a", day(335)), (None, day(500))]
+
+
+def test_a_batch_s_changes_are_written_before_they_are_related(spark, folder, monkeypatch):
+    """Or else each use of them puts the whole batch in order again."""
+    store, related, plans = _grants(spark, folder + "/gold"), dimensions.access_changes, []
+
+    def planned(rows, *args, **kwargs):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return related(rows, *args, **kwargs)
+
+    monkeypatch.setattr(dimensions, "access_changes", planned)
+    run_merge(store, story.bronze(spark))
+    assert len(plans) == len(store.dimensions) and not any("Window" in p for p in plans)
+
+
 def test_dimension_and_facts_are_one_commit(spark, folder, monkeypatch):
     store = _grants(spark, folder + "/gold")
     run_merge(store, story.bronze(spark, range(1, 4)))

@@ -112,3 +112,13 @@ def _folder():
     from pyspark.sql import functions as F
 
     return F.date_format("effective_end", "yyyy-MM-dd").alias("day")
+
+
+def test_the_log_up_to_a_time_is_derived_alone(spark):
+    from grantchron.operators import checks
+    from grantchron.plans.queries import SPLIT_NS
+
+    alone = event_log(spark, SF, before_ns=SPLIT_NS)
+    assert checks.differences(alone, event_log(spark, SF).filter(f"__source_ts_ns < {SPLIT_NS}")).isEmpty()
+    below = plan(alone).split("Exchange hashpartitioning")[1]
+    assert f"< {SPLIT_NS}" in below  # later events are left out before the shuffle
