@@ -131,21 +131,19 @@ def as_of_probes(
         asked.withColumn("__is_probe", F.lit(True)), allowMissingColumns=True
     )
     probe = F.col("__is_probe")
+    # The period before: of a probe the one that may cover it, of a period the one that may reach
+    # past its start. One pass in one order finds both.
     ordered = (
         OrderedRuns(both, on, ("__t", "__is_probe", "__tie"), hot_limit)
-        .add(
-            last={"__found": F.col("__period")},
-            coming={"__from": F.when(~probe, F.col("__t"))},
-        )
+        .add(before={"__found": F.col("__period")})
         .rows()
     )
-    found_end = F.col("__found.effective_end")
-    answers = probe & F.col("__found").isNotNull() & _after(found_end, F.col("__t"))
-    reaches = ~probe & F.col("__from").isNotNull() & _after(found_end, F.col("__from"))
+    # A probe gets its answer; a period that reaches on goes from the start of the later one.
+    covered = F.col("__found").isNotNull() & _after(F.col("__found.effective_end"), F.col("__t"))
     # Written once, as both its parts are used; usually no period reaches that far.
     kept = materialize(
-        ordered.filter(answers | reaches).select(
-            *on, "__is_probe", "__probe", F.col("__found").alias("__period"), "__from"
+        ordered.filter(covered).select(
+            *on, "__is_probe", "__probe", F.col("__found").alias("__period"), F.col("__t").alias("__from")
         ),
         "probed",
     )

@@ -146,6 +146,35 @@ def test_batched_as_of_equals_brute_force(spark, clean, hot_limit):
     assert sorted((r["probe"], r["period"]) for r in found.collect()) == wanted
 
 
+@pytest.mark.parametrize("hot_limit", [1, 10, 1000])
+def test_values_before_a_row_in_ranges_equal_a_loop(spark, hot_limit):
+    rng = random.Random(4)
+    rows = [(rng.choice([1, 1, 1, 2, None]), i, rng.choice([None, None, i])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k bigint, i bigint, sparse bigint")
+    found = OrderedRuns(df, ["k"], ["i"], hot_limit).add(before={"b": F.col("sparse")}).rows()
+    known, wanted = {}, {}
+    for k, i, sparse in rows:
+        wanted[i] = known.get(k)
+        known[k] = known.get(k) if sparse is None else sparse
+    assert {r["i"]: r["b"] for r in found.collect()} == wanted
+
+
+def test_probes_and_periods_are_sorted_once(spark, monkeypatch):
+    plans = []
+
+    def planned(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, label)
+
+    monkeypatch.setattr(temporal, "materialize", planned)
+    history = spark.createDataFrame(
+        [(1, 5, T0, None)], "user_id bigint, period bigint, effective_start timestamp_ntz, effective_end timestamp_ntz"
+    )
+    asked = spark.createDataFrame([(9, 1, T0)], "probe bigint, user_id bigint, t timestamp_ntz")
+    assert temporal.as_of_probes(history, asked, ["user_id"], "t").count() == 1
+    assert len(plans) == 1 and plans[0].count("Sort [") == 1
+
+
 @pytest.mark.parametrize("hot_limit", [1, 10, 1000])
 def test_ordered_runs_in_ranges_equal_a_plain_window(spark, hot_limit):
     """One key holds most rows, one key is NULL, and values are NULL here and there."""
