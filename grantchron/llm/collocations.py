@@ -10,11 +10,13 @@ then find the counts of their parts by joins.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from grantchron.llm import hashing, word_trie
@@ -27,6 +29,7 @@ SAMPLES, MOST_SAMPLES = 30, 1_000_000  # paths for a partition, and in all, to p
 _SAMPLED_FROM_ONE = 32  # paths of one document
 _SPLITTER_BYTES = 64  # of a word in a splitter
 CHUNK = 400_000  # words numbered at a time
+BLOCK = 100_000  # phrases written at once
 HOT_ROWS = 100_000
 _SALTS = 64
 NO_LANG = "und"
@@ -136,7 +139,7 @@ def _count(splitters: list[Splitter], burst: int, most: int):
                 trie.add(lang, np.sort(word_trie.pack(paths[:, mine == lang])))
             if len(words.number) > word_trie.WORDS:
                 yield from spilled(1.0)
-                words = _Words()
+                words.number.clear()  # the same object: _chunks numbers by it
             elif trie.full():
                 yield from spilled(0.5)
         yield from spilled(1.0)
@@ -187,32 +190,36 @@ def splitters(texts: DataFrame, part_bytes: int = PART_BYTES) -> list[Splitter]:
     return sorted({paths[i] for i in places.tolist() if 0 < i < len(paths)})
 
 
-def _prefix_sums(part: int, lang: str, runs: word_trie.Runs, borders: list[Splitter], least: int) -> list[tuple]:
-    """(words, phrase, f) of sequences in the partition: those of `least` at least, or cut by its borders."""
+def _prefix_sums(
+    part: int, lang: str, runs: word_trie.Runs, borders: list[Splitter], least: int
+) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """(words, phrases, f) of sequences in the partition: those of `least` at least, or cut by its borders."""
     (first, second, third), counts, words = runs.paths, runs.counts, runs.words
     ends = [s for s in borders[max(part - 1, 0) : part + 1] if s[0] == lang.encode()]
-    rows = [(0, b"", int(counts.sum()))]
-    whole = (third > 0) & (counts >= least)
-    rows += [
-        (3, b" ".join((words[a - 1], words[b - 1], words[c - 1])), n)
-        for a, b, c, n in zip(*(x[whole].tolist() for x in (first, second, third, counts)), strict=True)
-    ]
-    for n_words, keys in ((2, first << 32 | second), (1, first)):
+    names = pa.array(words, pa.binary())
+    space = pa.scalar(b" ", pa.binary())
+
+    def phrases(chosen: np.ndarray, f: np.ndarray, *levels: np.ndarray) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+        for low in range(0, len(chosen), BLOCK):
+            at = chosen[low : low + BLOCK]
+            parts = [names.take(pa.array(level[at] - 1)) for level in levels]
+            whole = pc.binary_join_element_wise(*parts, space) if len(parts) > 1 else parts[0]
+            yield len(levels), whole, f[low : low + BLOCK]
+
+    yield 0, pa.array([b""], pa.binary()), np.array([counts.sum()])
+    whole = np.flatnonzero((third > 0) & (counts >= least))
+    yield from phrases(whole, counts[whole], first, second, third)
+    for levels, keys in (((first, second), first << 32 | second), ((first,), first)):
         starts = np.flatnonzero(np.diff(keys, prepend=-1))
         sums = np.add.reduceat(counts, starts)
-        cut = {s[1 : n_words + 1] for s in ends}
-        known = {w: i + 1 for i, w in enumerate(words) if any(w in c for c in cut)}
         kept = sums >= least
-        for c in cut:
-            if all(w in known for w in c):
-                key = known[c[0]] << 32 | known[c[1]] if n_words == 2 else known[c[0]]
-                kept |= keys[starts] == key
-        if n_words == 2:
+        for cut in {s[1 : len(levels) + 1] for s in ends}:
+            at = [bisect_left(words, w) for w in cut]
+            if all(i < len(words) and words[i] == w for i, w in zip(at, cut, strict=True)):
+                kept |= keys[starts] == (at[0] + 1 << 32 | at[1] + 1 if len(at) > 1 else at[0] + 1)
+        if len(levels) > 1:
             kept &= second[starts] > 0
-        chosen = starts[kept]
-        names = zip(first[chosen].tolist(), second[chosen].tolist(), sums[kept].tolist(), strict=True)
-        rows += [(n_words, b" ".join([words[a - 1], words[b - 1]][:n_words]), n) for a, b, n in names]
-    return rows
+        yield from phrases(starts[kept], sums[kept], *levels)
 
 
 def phrase_counts(
@@ -241,17 +248,18 @@ def phrase_counts(
             for lang, blob in zip(batch["lang"].to_pylist(), batch["run"].to_pylist(), strict=True):
                 blobs.setdefault(lang, []).append(blob)
         for lang in sorted(blobs):
-            found = _prefix_sums(part, lang, word_trie.merged(blobs.pop(lang)), borders, least)
-            n_words, phrases, f = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(f), pa.string()),
-                    pa.array(n_words, pa.int32()),
-                    pa.array(phrases, pa.binary()),
-                    pa.array(f, pa.int64()),
-                ],
-                names=["lang", "words", "phrase", "f"],
-            )
+            runs = word_trie.merged(blobs.pop(lang))
+            for n_words, phrases, f in _prefix_sums(part, lang, runs, borders, least):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang] * len(f), pa.string()),
+                        pa.array(np.full(len(f), n_words, np.int32)),
+                        phrases,
+                        pa.array(f, pa.int64()),
+                    ],
+                    names=["lang", "words", "phrase", "f"],
+                )
+            del runs
         hashing.give_back_memory()
 
     partial = runs.groupBy("part").applyInArrow(merge, _COUNTS)

@@ -22,6 +22,7 @@ import zstandard
 
 BITS = 21  # of a word number: words are numbered anew after WORDS of them
 WORDS = 1 << 20
+PACKED_BITS = 63  # of a number that holds a path
 _SUFFIX = (1 << 2 * BITS) - 1
 _WORD = (1 << BITS) - 1
 
@@ -215,42 +216,79 @@ def dump(runs: Runs) -> bytes:
 
 
 def load(blob: bytes) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
-    """Words, paths as places among them from 1 on, counts."""
+    """Words, paths as places among them from 1 on, counts; nothing of it holds on to the whole run."""
     data = memoryview(zstandard.ZstdDecompressor().decompress(blob))
     n_words, n = struct.unpack_from("<II", data)
     at = 8
     lengths = _from_planes(data[at:], np.uint32, n_words)
     at += 4 * n_words
-    first, second, third = (_from_planes(data[at + 4 * n * i :], np.uint32, n) for i in range(3))
+    paths = np.empty((3, n), np.uint32)
+    for i in range(3):
+        paths[i] = _from_planes(data[at + 4 * n * i :], np.uint32, n)
+    np.cumsum(paths[0], out=paths[0])
     at += 12 * n
     counts = _from_planes(data[at:], np.int64, n)
     at += 8 * n
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    words = pa.BinaryArray.from_buffers(pa.binary(), n_words, [None, pa.py_buffer(offsets), pa.py_buffer(data[at:])])
-    paths = np.stack([np.cumsum(first), second, third]).astype(np.int64)
+    words = pa.BinaryArray.from_buffers(pa.binary(), n_words, [None, pa.py_buffer(offsets), pa.py_buffer(bytes(data[at:]))])
     return words, paths, counts
 
 
+def _in_one_order(loaded: list[pa.BinaryArray]) -> tuple[pa.BinaryArray, list[np.ndarray]]:
+    """The words of all runs in order, and for each run the places of its own words, 0 in front."""
+    every = pa.concat_arrays(loaded).dictionary_encode()
+    order = pc.sort_indices(every.dictionary)
+    rank = np.empty(len(order), np.uint32)
+    rank[order.to_numpy()] = np.arange(1, len(order) + 1, dtype=np.uint32)
+    numbers = rank[np.asarray(every.indices)]
+    edges = np.cumsum([0, *map(len, loaded)])
+    places = [np.concatenate([[0], numbers[a:b]]).astype(np.uint32) for a, b in zip(edges, edges[1:], strict=False)]
+    return every.dictionary.take(order), places
+
+
 def merged(blobs: list[bytes]) -> Runs:
-    """Sorted runs of one group as one, with the counts of equal paths added up."""
-    loaded = [load(b) for b in blobs]
-    every = pa.concat_arrays([words for words, _, _ in loaded]).dictionary_encode()
-    order = pc.sort_indices(every.dictionary).to_numpy()
-    rank = np.empty(len(order) + 1, np.int64)
-    rank[0] = 0
-    rank[order + 1] = np.arange(1, len(order) + 1)
-    numbers = np.asarray(every.indices, np.int64) + 1
-    parts, at = [], 0
-    for words, paths, _ in loaded:
-        own = np.concatenate([[0], numbers[at : at + len(words)]])
-        parts.append(rank[own[paths]])
-        at += len(words)
-    paths = np.concatenate(parts, axis=1)
-    counts = np.concatenate([c for _, _, c in loaded])
-    by = np.lexsort(paths[::-1])
-    paths = paths[:, by]
-    new = np.ones(paths.shape[1], bool)
-    new[1:] = (paths[:, 1:] != paths[:, :-1]).any(axis=0)
+    """Sorted runs of one group as one, with the counts of equal paths added up; takes the blobs out of the list.
+
+    Beside the runs, with 20 bytes a path, there is one number a path, and its place in the order.
+    """
+    words, paths, counts = [], [], []
+    while blobs:
+        for kind, part in zip((words, paths, counts), load(blobs.pop()), strict=True):
+            kind.append(part)
+    names, places = _in_one_order(words)
+    words.clear()
+    counts = np.concatenate(counts)
+    bits = len(names).bit_length()
+    if 3 * bits > PACKED_BITS:
+        return _merged_wide(names, paths, places, counts)
+    codes, at = np.empty(len(counts), np.int64), 0
+    for i, own in enumerate(places):
+        first, second, third = own[paths[i]].astype(np.int64)
+        codes[at : at + len(first)] = first << 2 * bits | second << bits | third
+        at += len(first)
+        paths[i] = None
+    by = np.argsort(codes)
+    codes, counts = codes[by], counts[by]
+    del by
+    starts, sums = _added_up(codes[1:] != codes[:-1], counts)
+    codes, low = codes[starts], (1 << bits) - 1
+    return Runs(names.to_pylist(), np.stack([codes >> 2 * bits, codes >> bits & low, codes & low]), sums)
+
+
+def _added_up(unlike: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where entries begin that are unlike the one before, and the sums of their counts."""
+    new = np.ones(len(counts), bool)
+    new[1:] = unlike
     starts = np.flatnonzero(new)
-    sums = np.add.reduceat(counts[by], starts) if len(starts) else counts
-    return Runs(every.dictionary.take(pa.array(order)).to_pylist(), paths[:, starts], sums)
+    return starts, np.add.reduceat(counts, starts) if len(starts) else counts
+
+
+def _merged_wide(
+    names: pa.BinaryArray, paths: list[np.ndarray], places: list[np.ndarray], counts: np.ndarray
+) -> Runs:
+    """As merged(), if there are so many words that three of their places are more than one number."""
+    whole = np.concatenate([own[path] for own, path in zip(places, paths, strict=True)], axis=1).astype(np.int64)
+    by = np.lexsort(whole[::-1])
+    whole = whole[:, by]
+    starts, sums = _added_up((whole[:, 1:] != whole[:, :-1]).any(axis=0), counts[by])
+    return Runs(names.to_pylist(), whole[:, starts], sums)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -128,3 +129,69 @@ def test_tries_spill_runs_by_partition():
         for path, n in zip(runs.paths.T.tolist(), runs.counts.tolist()):
             got[tuple(runs.words[i - 1] for i in path)] += n
     assert got == expected and trie.size == 0
+
+
+def runs_of(n_runs, n_paths, n_words):
+    """Dumped runs of one group, and the counts of their paths by words."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    words = sorted(b"word%06d" % i for i in range(n_words))
+    blobs, counts = [], Counter()
+    for _ in range(n_runs):
+        paths = np.stack([rng.integers(1, min(40, n_words + 1), n_paths), *rng.integers(0, n_words + 1, (2, n_paths))])
+        paths[2, paths[1] == 0] = 0
+        run = word_trie.in_order(words, paths, rng.integers(1, 4, n_paths))
+        blobs.append(word_trie.dump(run))
+        for path, n in zip(run.paths.T.tolist(), run.counts.tolist()):
+            counts[tuple(run.words[i - 1] if i else b"" for i in path)] += n
+    return blobs, counts
+
+
+@pytest.mark.parametrize("bits", [63, 0])
+def test_merged_runs_have_sums_in_order(monkeypatch, bits):
+    monkeypatch.setattr(word_trie, "PACKED_BITS", bits)
+    blobs, counts = runs_of(5, 400, 12)
+    found = word_trie.merged(blobs)
+    paths = [tuple(found.words[i - 1] if i else b"" for i in path) for path in found.paths.T.tolist()]
+    assert paths == sorted(counts) and found.words == sorted(found.words)
+    assert dict(zip(paths, found.counts.tolist())) == counts
+
+
+@pytest.mark.parametrize("least", [1, 10])
+def test_merge_of_a_partition_holds_few_bytes_a_path(monkeypatch, least):
+    n_runs, n_paths = 600, 500
+    list(collocations._prefix_sums(0, "en", word_trie.merged(runs_of(1, 9, 9)[0]), [], 1))  # imports what it needs
+    blobs, counts = runs_of(n_runs, n_paths, 3_000)
+    tracemalloc.start()
+    try:
+        runs = word_trie.merged(blobs)
+        n = 0
+        for found in collocations._prefix_sums(0, "en", runs, [], least):
+            n += len(found[1]) if len(found) == 3 and isinstance(found[2], type(runs.counts)) else 1
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    ones, pairs = Counter(), Counter()
+    for path, f in counts.items():
+        ones[path[0]] += f
+        if path[1]:
+            pairs[path[:2]] += f
+    whole = {p: f for p, f in counts.items() if p[2]}
+    assert n == 1 + sum(f >= least for c in (ones, pairs, whole) for f in c.values())
+    assert peak / (n_runs * n_paths) < 120
+
+
+def test_words_are_numbered_anew_within_a_task(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(word_trie, "WORDS", 30)
+    monkeypatch.setattr(collocations, "CHUNK", 20)
+    rng = random.Random(5)
+    rows = [(" ".join(f"w{rng.randint(0, 15 + i)}" for _ in range(50)), "en") for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*((x, t) for t, x in rows))], names=["lang", "text"])
+    blobs = [b for out in collocations._count([], 1 << 14, 10**6)(iter([batch])) for b in out["run"].to_pylist()]
+    assert len(blobs) > 5
+    found = collocations._prefix_sums(0, "en", word_trie.merged(blobs), [], 2)
+    counts = {("en", n, p.decode()): f for n, phrases, fs in found for p, f in zip(phrases.to_pylist(), fs.tolist())}
+    assert counts == plain_counts(rows, 2)
